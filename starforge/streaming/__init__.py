@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source project is batch only: no stream reads or writes, watermarks,
+windows over event time or state exist in it, so nothing is built here.
+The silver jobs are pure per-row projections (plus one per-client
+rollup), so they can be applied unchanged to a file stream if that is
+ever needed.
+"""
