@@ -70,8 +70,9 @@ def parse_date_us(col) -> Column:
 
 
 def as_date(col) -> Column:
-    """Date, timestamp or ISO text -> date (the un-patterned ``to_date``)."""
-    return F.try_to_date(_c(col).cast("string"))
+    """Date, timestamp or ISO text -> date (the un-patterned ``to_date``);
+    a date passes through unchanged, a timestamp is truncated."""
+    return F.try_to_date(_c(col))
 
 
 def resolution_days(end, start) -> Column:
