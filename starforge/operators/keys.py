@@ -11,15 +11,17 @@ all partitions:
    at most ``CHUNK`` rows;
 2. the chunks are range-partitioned on the total order (every chunk is a
    distinct sort key, so even a hot group of copies is spread out), the
-   copies are re-expanded inside their partition, sorted within the
-   partition, and the result is checkpointed to the session's reliable
-   checkpoint folder -- both later passes see the same partitions, and a
-   lost executor does not change the numbering;
-3. one small aggregation counts rows per partition (one row per
-   partition, broadcast) and gives each partition its offset;
-4. key = partition offset + position inside the partition, read from
-   ``monotonically_increasing_id`` on the checkpointed data (no second
-   shuffle, no window).
+   copies are re-expanded inside their partition and sorted within the
+   partition;
+3. in the same pass every row records its partition id and its position
+   inside the partition, and the rows are written once as a Parquet
+   table under the session's shared checkpoint folder (this cuts the
+   lineage: later passes read the same rows, and a lost executor cannot
+   renumber anything);
+4. one small aggregation over the partition-id column counts rows per
+   partition; only these counts (one number per partition, bounded by the
+   partition count, not by the data) reach the driver, where they become
+   running offsets that are broadcast back; key = offset + position + 1.
 
 Rows that are fully identical are interchangeable, so the result set is
 exactly that of the global ``row_number`` over the same order.
@@ -27,10 +29,10 @@ exactly that of the global ``row_number`` over the same order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starforge.session import ensure_checkpoint_dir
+from starforge.session import ensure_checkpoint_dir, materialize, remember_rows
 
 CHUNK = 1 << 20
 _POS_MASK = (1 << 33) - 1
@@ -77,18 +79,24 @@ def dense_key(df: DataFrame, name: str, order_by: list[str] | None = None,
                         .drop("_sk_n", "_sk_chunk"))
 
     ordered = staged.sortWithinPartitions(*_asc(order), F.col("_sk_copy").asc())
-    ck = ordered.checkpoint(eager=True)
-
-    placed = ck.select(*cols, F.spark_partition_id().alias("_sk_p"),
-                       F.monotonically_increasing_id().alias("_sk_m"))
-    per_part = placed.groupBy("_sk_p").agg(F.count(F.lit(1)).alias("_sk_cnt"))
-    # one row per partition: a bounded input for the running sum and the broadcast
-    offsets = per_part.select(
-        "_sk_p",
-        (F.sum("_sk_cnt").over(Window.orderBy("_sk_p")) - F.col("_sk_cnt")).alias("_sk_off"))
-    keyed = placed.join(F.broadcast(offsets), "_sk_p", "inner")
-    key = (F.col("_sk_off") + F.col("_sk_m").bitwiseAND(F.lit(_POS_MASK)) + 1).cast(key_type)
-    return keyed.select(key.alias(name), *cols)
+    placed = ordered.select(
+        *cols, F.spark_partition_id().alias("_sk_p"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)).alias("_sk_pos"))
+    stored = materialize(placed, "dense_key")
+
+    counts = sorted(tuple(r) for r in
+                    stored.groupBy("_sk_p").agg(F.count(F.lit(1))).collect())
+    rows, running = [], 0
+    for pid, n in counts:
+        rows.append((pid, running))
+        running += n
+    spark = df.sparkSession
+    offsets = spark.createDataFrame(rows, "_sk_p int, _sk_off bigint")
+    keyed = stored.join(F.broadcast(offsets), "_sk_p", "inner")
+    key = (F.col("_sk_off") + F.col("_sk_pos") + 1).cast(key_type)
+    out = keyed.select(key.alias(name), *cols)
+    remember_rows(out, running)
+    return out
 
 
 def surrogate_key(df: DataFrame, name: str, order_by: list[str],

@@ -16,14 +16,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starforge.session import known_rows, remember_rows
+
 BROADCAST_MAX_ROWS = 1_000_000
 
 KeyPair = tuple["str | Column", str]
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def row_count_of(dim: DataFrame) -> int:
+    """Row count of a dimension: known from how it was built, or counted
+    once (dimensions are written tables, so this is cheap) and remembered."""
+    n = known_rows(dim)
+    if n is None:
+        n = dim.count()
+        remember_rows(dim, n)
+    return n
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       rows: int | None = None) -> DataFrame:
     """Hint ``dim`` for broadcast only if its row count is proven small."""
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
+    n = row_count_of(dim) if rows is None else rows
+    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def _fact_col(c) -> Column:
@@ -54,7 +68,7 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[KeyPair], take: Sequenc
     """
     small, cond, tmp = _prepare(dim, on, take, tag)
     if broadcast == "auto":
-        small = broadcast_if_small(small, max_rows)
+        small = broadcast_if_small(small, max_rows, row_count_of(dim))
     elif broadcast:
         small = F.broadcast(small)
     joined = fact.join(small, cond, how)
@@ -67,7 +81,7 @@ def require_in(fact: DataFrame, dim: DataFrame, on: Sequence[KeyPair],
     (``left_semi``; never multiplies rows)."""
     small, cond, _ = _prepare(dim, on, [], "rq")
     if broadcast == "auto":
-        small = broadcast_if_small(small, max_rows)
+        small = broadcast_if_small(small, max_rows, row_count_of(dim))
     elif broadcast:
         small = F.broadcast(small)
     return fact.join(small, cond, "left_semi")
@@ -79,7 +93,7 @@ def rejects(fact: DataFrame, dim: DataFrame, on: Sequence[KeyPair],
     key), as a ``left_anti`` join."""
     small, cond, _ = _prepare(dim, on, [], "rj")
     if broadcast == "auto":
-        small = broadcast_if_small(small, max_rows)
+        small = broadcast_if_small(small, max_rows, row_count_of(dim))
     elif broadcast:
         small = F.broadcast(small)
     return fact.join(small, cond, "left_anti")
@@ -96,7 +110,7 @@ def role_join(fact: DataFrame, dim: DataFrame, key: str, value: str,
     columns, so the dimension is scanned/broadcast once and reused.
     """
     small = dim.select(key, value)
-    hint = bool(broadcast) if broadcast != "auto" else small.count() <= BROADCAST_MAX_ROWS
+    hint = bool(broadcast) if broadcast != "auto" else row_count_of(dim) <= BROADCAST_MAX_ROWS
     out = fact
     for i, (alias, fcol) in enumerate(roles.items()):
         d = small.select(F.col(key).alias(f"_rl{i}_k"), F.col(value).alias(alias))

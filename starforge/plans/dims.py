@@ -18,7 +18,8 @@ def dim_time(clients: DataFrame, tickets: DataFrame, history: DataFrame,
     """PL11: calendar of the dates observed as last contract date, ticket
     creation date and proposal upload date (plus ``extra_dates``), keyed
     by the smart key ``yyyyMMdd``.  Its size is bounded by the date span,
-    not by the data volume."""
+    not by the data volume.  ``clients`` may be the contract rows or the
+    per-client rollup: only its ``dt_ultimo_contrato`` column is read."""
     dates = observed_dates((clients, "dt_ultimo_contrato"), (tickets, "dt_criacao"),
                            (history, "dt_upload"), *(extra_dates or []))
     cal = dates.select(*calendar_attributes("DATA"))

@@ -22,10 +22,8 @@ def _ordered(df: DataFrame, entity: str) -> DataFrame:
     return df.select(*SILVER[entity].names)
 
 
-def silver_clients(bronze: DataFrame, with_span: bool = True) -> DataFrame:
-    """PL1: contract rows.  ``with_span`` adds each client's first and last
-    contract date to every row (consumed by the client and calendar
-    dimensions)."""
+def silver_clients_raw(bronze: DataFrame) -> DataFrame:
+    """PL1 without the contract span: parsed, renamed, null-filled."""
     df = rename_project(bronze, {
         "cd_cliente": "CD_CLIENTE",
         "dt_assinatura_contrato": parse_date(col("DT_ASSINATURA_CONTRATO"), ISO_DATE),
@@ -42,13 +40,20 @@ def silver_clients(bronze: DataFrame, with_span: bool = True) -> DataFrame:
         "uf": "UF",
         "situacao_contrato": "SITUACAO_CONTRATO",
     })
-    df = fill_unknown(df, ["ds_subsegmento", "marca_totvs", "modal_comerc"])
-    if with_span:
-        df = attach_contract_span(df)
-    else:
-        df = df.withColumn("dt_inicio_contrato", F.lit(None).cast("date")) \
-               .withColumn("dt_ultimo_contrato", F.lit(None).cast("date"))
-    return _ordered(df, "clientes")
+    return fill_unknown(df, ["ds_subsegmento", "marca_totvs", "modal_comerc"])
+
+
+def with_contract_span(raw: DataFrame) -> DataFrame:
+    """Add each client's first and last contract date to every row."""
+    return _ordered(attach_contract_span(raw), "clientes")
+
+
+def silver_clients(bronze: DataFrame, with_span: bool = True) -> DataFrame:
+    """PL1: contract rows.  ``with_span`` adds each client's first and last
+    contract date to every row (consumed by the client and calendar
+    dimensions)."""
+    raw = silver_clients_raw(bronze)
+    return with_contract_span(raw) if with_span else raw
 
 
 def silver_contracts_12m(bronze: DataFrame) -> DataFrame:

@@ -4,9 +4,9 @@ dimensions/facts, built lazily and each built once.
 ``Warehouse(spark, sf_dir)`` derives the bronze extracts from the test
 tables under ``sf_dir``; ``Warehouse(spark, layers=Layers(root))`` reads
 bronze text files landed under ``root/bronze`` instead.  Gold dimensions
-are cut from their lineage once (the dense keys checkpoint; the calendar
-is checkpointed explicitly because it is counted for a broadcast decision
-and then joined), so facts never recompute them.
+are cut from their lineage once (the dense keys write their numbered rows;
+the calendar is written explicitly because it is counted for a broadcast
+decision and then joined), so facts never recompute them.
 """
 
 from __future__ import annotations
@@ -14,21 +14,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starforge.plans import dims, facts
-from starforge.plans.silver import SILVER_JOBS
+from starforge.operators import contract_span
+from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
 from starforge.schemas import BRONZE, BRONZE_FILES
-from starforge.session import ensure_checkpoint_dir
+from starforge.session import ensure_checkpoint_dir, materialize
 from starforge.sources import Layers, read_csv
 from starforge.sources import fixtures
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
-                 layers: Layers | None = None):
+                 layers: Layers | None = None, stage_silver: bool = False):
         if (sf_dir is None) == (layers is None):
             raise ValueError("give exactly one of sf_dir or layers")
         self.spark = spark
         self.sf_dir = sf_dir
         self.layers = layers
+        self.stage_silver = stage_silver
         self._memo: dict[str, DataFrame] = {}
         ensure_checkpoint_dir(spark)
 
@@ -45,21 +47,38 @@ class Warehouse:
         return read_csv(self.spark, f"{self.layers.bronze('')}{name}", BRONZE[entity], sep=sep)
 
     def silver(self, entity: str) -> DataFrame:
+        """Silver table ``entity``.  With ``stage_silver`` each table is
+        computed once and written to the shared scratch folder (the silver
+        layer of the medallion); every consumer reads that copy with column
+        pruning instead of re-deriving it."""
         source, job = SILVER_JOBS[entity]
-        return job(self.bronze(source))
+        if not self.stage_silver:
+            return job(self.bronze(source))
+        if entity == "clientes":
+            return with_contract_span(self.clients_raw())
+        return self._once(f"silver:{entity}", lambda: materialize(
+            job(self.bronze(source)), f"silver_{entity}"))
+
+    def clients_raw(self) -> DataFrame:
+        """Contract rows without the per-client span (what every consumer
+        but the client dimension needs)."""
+        if not self.stage_silver:
+            return silver_clients_raw(self.bronze("dados_clientes"))
+        return self._once("silver:clientes_raw", lambda: materialize(
+            silver_clients_raw(self.bronze("dados_clientes")), "silver_clientes"))
 
     # -- gold dimensions --
     def dim_time(self) -> DataFrame:
-        return self._once("dim_time", lambda: dims.dim_time(
-            self.silver("clientes"), self.silver("tickets"), self.silver("historico"),
-            sort=False).checkpoint(eager=True))
+        return self._once("dim_time", lambda: materialize(dims.dim_time(
+            contract_span(self.clients_raw()), self.silver("tickets"),
+            self.silver("historico"), sort=False), "dim_tempo"))
 
     def dim_client(self) -> DataFrame:
         return self._once("dim_client", lambda: dims.dim_client(self.silver("clientes")))
 
     def dim_product(self) -> DataFrame:
         return self._once("dim_product", lambda: dims.dim_product(
-            self.silver("historico"), self.silver("clientes")))
+            self.silver("historico"), self.clients_raw()))
 
     def dim_priority(self) -> DataFrame:
         return self._once("dim_priority", lambda: dims.dim_priority(self.silver("tickets")))

@@ -66,3 +66,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = root.rstrip("/")
     # the checkpoint dir itself is <dir>/<uuid>; scratch lives beside it
     return f"{os.path.dirname(root) if '/' in root else root}/starforge-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared scratch folder and
+    return a DataFrame reading it back: a lineage cut that survives lost
+    executors (the data lives in shared storage, not on a node)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_ROWS_ATTR = "_starforge_rows"
+
+
+def remember_rows(df, n: int) -> None:
+    """Record a row count already known for ``df`` (so size checks on it
+    need no extra job)."""
+    object.__setattr__(df, _ROWS_ATTR, int(n))
+
+
+def known_rows(df) -> int | None:
+    return df.__dict__.get(_ROWS_ATTR)
