@@ -7,7 +7,8 @@ from starforge.operators.dedup import (attach_contract_span, contract_span,
                                        keep_one)
 from starforge.operators.inference import (cooccurrence_pairs_per_client,
                                            infer_product_map)
-from starforge.operators.keys import dense_key, surrogate_key, total_order
+from starforge.operators.keys import (ROW_ID, dense_key, identity_of, surrogate_key,
+                                     total_order, with_row_identity)
 from starforge.operators.lookup import (broadcast_if_small, enrich, lookup,
                                         rejects, require_in, role_join)
 from starforge.operators.nulls import fill_missing_score, fill_unknown, fill_zero
@@ -16,6 +17,7 @@ from starforge.operators.shaping import (col, null_col, rename_project,
                                          replace_column, tag, to_gold_names)
 
 __all__ = [
+    "ROW_ID", "identity_of", "with_row_identity",
     "attach_contract_span", "broadcast_if_small", "col", "contract_span",
     "cooccurrence_pairs_per_client", "dense_key", "distinct_rows",
     "drop_duplicates_all", "enrich", "fill_missing_score", "fill_unknown",

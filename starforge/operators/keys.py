@@ -25,6 +25,12 @@ all partitions:
 
 Rows that are fully identical are interchangeable, so the result set is
 exactly that of the global ``row_number`` over the same order.
+
+When the rows carry a stable source identity (``tiebreak``: e.g. the file
+and row index of the Parquet row they come from, see
+:func:`with_row_identity`), that identity ends the sort key: the order is
+then strict, copies are already distinct keys for the range partitioner,
+and step 1 (a full shuffle of the input) is skipped.
 """
 
 from __future__ import annotations
@@ -37,6 +43,25 @@ from starforge.session import ensure_checkpoint_dir, materialize, remember_rows
 CHUNK = 1 << 20
 _POS_MASK = (1 << 33) - 1
 
+# columns of a source-row identity (see with_row_identity)
+ROW_ID = ["_rid_file", "_rid_row"]
+
+
+def with_row_identity(df: DataFrame) -> DataFrame:
+    """Add a stable identity of each source row: a 64-bit hash of its
+    Parquet file path and its row index in that file.  Must be applied to
+    a file scan (before any join); it is the same on every recomputation,
+    so it is a safe final tie-breaker for :func:`dense_key`.  Two rows can
+    only share it if their file hashes collide at the same index, which at
+    worst leaves the order of those two rows open -- harmless, as then
+    nothing after the identity decides anything."""
+    return df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias(ROW_ID[0]),
+                     F.col("_metadata.row_index").alias(ROW_ID[1]))
+
+
+def identity_of(df: DataFrame) -> list[str] | None:
+    return ROW_ID if all(c in df.columns for c in ROW_ID) else None
+
 
 def total_order(df: DataFrame, order_by: list[str] | None = None) -> list[str]:
     """``order_by`` followed by every other column in schema order."""
@@ -50,14 +75,18 @@ def _asc(names: list[str]) -> list[Column]:
 
 def dense_key(df: DataFrame, name: str, order_by: list[str] | None = None,
               unique: bool = False, key_type: str = "bigint",
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None,
+              tiebreak: list[str] | None = None) -> DataFrame:
     """Add ``name`` = 1..n following the total order ``order_by`` + all
     remaining columns (ascending, NULLs first).  ``unique=True`` skips the
-    copy collapse when rows are known to be distinct.  Returns the key
-    followed by the original columns."""
+    copy collapse when rows are known to be distinct; ``tiebreak`` names
+    columns that end the sort key and make it strict (they are not part
+    of the output).  Returns the key followed by the original columns."""
     ensure_checkpoint_dir(df.sparkSession)
-    cols = df.columns
-    order = total_order(df, order_by)
+    extra = list(tiebreak or [])
+    cols = [c for c in df.columns if c not in extra]
+    order = total_order(df.select(*cols), order_by) + extra
+    unique = unique or bool(extra)
 
     def _range(d: DataFrame, keys: list[Column]) -> DataFrame:
         if num_partitions:

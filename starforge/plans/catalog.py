@@ -19,7 +19,7 @@ from starforge.functions import (as_date, calendar_attributes, date_key,
                                  decimal_comma, parse_date, parse_date_us,
                                  parse_ts_date, to_int)
 from starforge.functions.parsing import ISO_DATE
-from starforge.operators import (broadcast_if_small, contract_span,
+from starforge.operators import (ROW_ID, contract_span, with_row_identity,
                                  cooccurrence_pairs_per_client, dense_key,
                                  distinct_rows, drop_duplicates_all, enrich,
                                  fill_zero, infer_product_map, keep_one, lookup,
@@ -593,8 +593,9 @@ _HIST_COLS = SILVER["historico"].names
                                           ["nr_proposta", "item_proposta"])))
 def q_dense_key(spark, sf_dir):
     """Dense bigint key over every proposal item (copies included)."""
-    h = W(spark, sf_dir).silver("historico")
-    return dense_key(h, "SK_ITEM", order_by=["nr_proposta", "item_proposta"])
+    h = with_row_identity(W(spark, sf_dir).silver("historico"))
+    return dense_key(h, "SK_ITEM", order_by=["nr_proposta", "item_proposta"],
+                     tiebreak=ROW_ID)
 
 
 # ---------------------------------------------------------------- sort/set

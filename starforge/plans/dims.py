@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.functions import calendar_attributes
-from starforge.operators import (dense_key, drop_duplicates_all,
+from starforge.operators import (dense_key, drop_duplicates_all, identity_of,
                                  infer_product_map, keep_one, observed_dates,
                                  surrogate_key, to_gold_names)
 from starforge.schemas import GOLD_COLUMNS
@@ -30,8 +30,10 @@ def dim_client(clients: DataFrame) -> DataFrame:
     """PL12: one row per contract row (the source keeps that grain on
     purpose), SK_CLIENTE numbered by client code, ties broken by all other
     columns."""
-    gold = to_gold_names(clients, GOLD_COLUMNS["dim_cliente"][1:])
-    return dense_key(gold, "SK_CLIENTE", order_by=["CD_CLIENTE"], key_type="bigint")
+    rid = identity_of(clients)
+    gold = to_gold_names(clients, GOLD_COLUMNS["dim_cliente"][1:] + (rid or []))
+    return dense_key(gold, "SK_CLIENTE", order_by=["CD_CLIENTE"], key_type="bigint",
+                     tiebreak=rid)
 
 
 def client_keys(dim: DataFrame) -> DataFrame:

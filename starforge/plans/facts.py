@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.functions import as_date, resolution_days
-from starforge.operators import (dense_key, enrich, fill_zero, lookup,
+from starforge.operators import (dense_key, enrich, fill_zero, identity_of, lookup,
                                  replace_column, require_in, role_join,
                                  union_by_name)
 from starforge.plans.dims import client_keys, products_by_name
@@ -46,7 +46,8 @@ def contracts_base(history: DataFrame, contracts_12m: DataFrame, dim_client: Dat
         "SK_CLIENTE", "SK_PRODUTO", "SK_TEMPO",
         F.col("vl_total").alias("VL_TOTAL_CONTRATO"),
         F.col("vl_desconto").alias("VL_DESCONTO"),
-        F.col("vlr_contratacoes_12m").alias("VL_CONTRATACOES_12M"))
+        F.col("vlr_contratacoes_12m").alias("VL_CONTRATACOES_12M"),
+        *(identity_of(history) or []))
     return fill_zero(out, ["VL_CONTRATACOES_12M"])
 
 
@@ -54,7 +55,8 @@ def fact_contracts(history, contracts_12m, dim_client, dim_product, dim_time,
                    expand_grain: bool = False) -> DataFrame:
     base = contracts_base(history, contracts_12m, dim_client, dim_product, dim_time,
                           expand_grain)
-    return dense_key(base, "SK_CONTRATACAO").select(*GOLD_COLUMNS["fato_contratacoes"])
+    return dense_key(base, "SK_CONTRATACAO", tiebreak=identity_of(base)) \
+        .select(*GOLD_COLUMNS["fato_contratacoes"])
 
 
 def tickets_base(tickets: DataFrame, dim_client: DataFrame, dim_priority: DataFrame,
@@ -77,13 +79,15 @@ def tickets_base(tickets: DataFrame, dim_client: DataFrame, dim_priority: DataFr
     df = require_in(df, dim_time, [(as_date("dt_atualizacao"), "DATA")])
     return df.select("SK_CLIENTE", F.col("SK_TEMPO_CRIACAO").alias("SK_TEMPO"),
                      "SK_PRIORIDADE", F.col("sk_ticket").alias("SK_TICKET"),
-                     F.col("tempo_resolucao_dias").alias("TEMPO_RESOLUCAO_DIAS"))
+                     F.col("tempo_resolucao_dias").alias("TEMPO_RESOLUCAO_DIAS"),
+                     *(identity_of(tickets) or []))
 
 
 def fact_tickets(tickets, dim_client, dim_priority, dim_ticket, dim_time,
                  partial_key: bool = False) -> DataFrame:
     base = tickets_base(tickets, dim_client, dim_priority, dim_ticket, dim_time, partial_key)
-    return dense_key(base, "SK_FATO_TICKET").select(*GOLD_COLUMNS["fato_tickets"])
+    return dense_key(base, "SK_FATO_TICKET", tiebreak=identity_of(base)) \
+        .select(*GOLD_COLUMNS["fato_tickets"])
 
 
 def ticket_dates(tickets: DataFrame, one_per_ticket: bool = True) -> DataFrame:
@@ -110,14 +114,19 @@ def product_enriched(product_nps: DataFrame, dim_product: DataFrame) -> DataFram
 def unified_surveys(acquisition, onboarding, product, relational, support,
                     tickets, dim_product, one_per_ticket: bool = True) -> DataFrame:
     """The five survey feeds as one polymorphic table."""
+    branches = [acquisition, onboarding, product, relational, support]
+    rid = identity_of(branches[0]) if all(identity_of(b) for b in branches) else None
+
     def std(df, prod=None):
         return df.select("cd_cliente", "dt_resposta", F.col("nota_nps").alias("ds_nota"),
                          "tipo_nps", (prod if prod is not None
-                                      else F.lit(None).cast("string")).alias("cd_prod"))
+                                      else F.lit(None).cast("string")).alias("cd_prod"),
+                         *(rid or []))
     sup = std(support_enriched(support, tickets, one_per_ticket))
     prd = std(product_enriched(product, dim_product), F.col("CD_PRODUTO"))
+    schema = _schema(SURVEY_SCHEMA + (", _rid_file bigint, _rid_row bigint" if rid else ""))
     return union_by_name([std(acquisition), std(onboarding), prd, std(relational), sup],
-                         schema=_schema(SURVEY_SCHEMA))
+                         schema=schema)
 
 
 def _schema(spec: str):
@@ -134,9 +143,10 @@ def nps_base(surveys: DataFrame, dim_client: DataFrame, dim_time: DataFrame,
                 ["SK_CLIENTE"])
     df = lookup(df, dim_time, [(as_date("dt_resposta"), "DATA")], ["SK_TEMPO"])
     return df.select("SK_CLIENTE", "SK_TEMPO", F.col("ds_nota").alias("NOTA_NPS"),
-                     F.col("tipo_nps").alias("TIPO_NPS"))
+                     F.col("tipo_nps").alias("TIPO_NPS"), *(identity_of(surveys) or []))
 
 
 def fact_nps(surveys, dim_client, dim_time) -> DataFrame:
     base = nps_base(surveys, dim_client, dim_time)
-    return dense_key(base, "SK_FATO_NPS").select(*GOLD_COLUMNS["fato_nps"])
+    return dense_key(base, "SK_FATO_NPS", tiebreak=identity_of(base)) \
+        .select(*GOLD_COLUMNS["fato_nps"])

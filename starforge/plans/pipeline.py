@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starforge.operators import with_row_identity
 from starforge.plans import dims, facts
 from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
 from starforge.schemas import BRONZE, BRONZE_FILES, SILVER
@@ -122,7 +123,7 @@ DIM_BUILDERS = {
     "dim_tempo": lambda s, l: dims.dim_time(
         silver(s, l, "clientes"), silver(s, l, "tickets"), silver(s, l, "historico"),
         sort=False),
-    "dim_cliente": lambda s, l: dims.dim_client(silver(s, l, "clientes")),
+    "dim_cliente": lambda s, l: dims.dim_client(with_row_identity(silver(s, l, "clientes"))),
     "dim_produto": lambda s, l: dims.dim_product(silver(s, l, "historico"),
                                                  silver(s, l, "clientes")),
     "dim_prioridade": lambda s, l: dims.dim_priority(silver(s, l, "tickets")),
@@ -140,17 +141,20 @@ def dim_job(spark: SparkSession, layers: Layers, table: str,
 
 def _fact_df(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
     s = lambda e: silver(spark, layers, e)
+    # fact rows carry their silver source-row identity (final tie-breaker
+    # of the fact key, so numbering needs no copy-collapsing shuffle)
+    r = lambda e: with_row_identity(s(e))
     g = lambda t: gold(spark, layers, t)
     if table == "fato_contratacoes":
-        return facts.fact_contracts(s("historico"), s("contratacoes"), g("dim_cliente"),
+        return facts.fact_contracts(r("historico"), s("contratacoes"), g("dim_cliente"),
                                     g("dim_produto"), g("dim_tempo"))
     if table == "fato_tickets":
-        return facts.fact_tickets(s("tickets"), g("dim_cliente"), g("dim_prioridade"),
+        return facts.fact_tickets(r("tickets"), g("dim_cliente"), g("dim_prioridade"),
                                   g("dim_ticket"), g("dim_tempo"))
     if table == "fato_nps":
         surveys = facts.unified_surveys(
-            s("nps_transacional_aquisicao"), s("nps_transacional_onboarding"),
-            s("nps_transacional_produto"), s("nps_relacional"), s("nps_transacional_suporte"),
+            r("nps_transacional_aquisicao"), r("nps_transacional_onboarding"),
+            r("nps_transacional_produto"), r("nps_relacional"), r("nps_transacional_suporte"),
             s("tickets"), g("dim_produto"))
         return facts.fact_nps(surveys, g("dim_cliente"), g("dim_tempo"))
     raise KeyError(table)

@@ -12,7 +12,7 @@ from starforge.functions import (as_date, decimal_comma, parse_date,
                                  parse_date_us, parse_ts_date, resolution_days,
                                  to_double, to_int, to_long)
 from starforge.functions.parsing import ISO_DATE
-from starforge.operators import (attach_contract_span, fill_missing_score,
+from starforge.operators import (ROW_ID, attach_contract_span, fill_missing_score,
                                  fill_unknown, rename_project, tag)
 from starforge.operators.shaping import col
 from starforge.schemas import NPS_TAGS, SILVER
@@ -44,8 +44,11 @@ def silver_clients_raw(bronze: DataFrame) -> DataFrame:
 
 
 def with_contract_span(raw: DataFrame) -> DataFrame:
-    """Add each client's first and last contract date to every row."""
-    return _ordered(attach_contract_span(raw), "clientes")
+    """Add each client's first and last contract date to every row (a
+    source-row identity on ``raw`` is kept)."""
+    spanned = attach_contract_span(raw)
+    keep = [c for c in ROW_ID if c in raw.columns]
+    return spanned.select(*SILVER["clientes"].names, *keep)
 
 
 def silver_clients(bronze: DataFrame, with_span: bool = True) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starforge.plans import dims, facts
-from starforge.operators import contract_span
+from starforge.operators import contract_span, with_row_identity
 from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
 from starforge.schemas import BRONZE, BRONZE_FILES
 from starforge.session import ensure_checkpoint_dir, materialize
@@ -24,7 +24,7 @@ from starforge.sources import fixtures
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
-                 layers: Layers | None = None, stage_silver: bool = False):
+                 layers: Layers | None = None, stage_silver: bool = True):
         if (sf_dir is None) == (layers is None):
             raise ValueError("give exactly one of sf_dir or layers")
         self.spark = spark
@@ -73,8 +73,14 @@ class Warehouse:
             contract_span(self.clients_raw()), self.silver("tickets"),
             self.silver("historico"), sort=False), "dim_tempo"))
 
+    def _sourced(self, df: DataFrame) -> DataFrame:
+        """``df`` with its source-row identity when it is a staged (Parquet)
+        table, so dense keys need no copy-collapsing shuffle."""
+        return with_row_identity(df) if self.stage_silver else df
+
     def dim_client(self) -> DataFrame:
-        return self._once("dim_client", lambda: dims.dim_client(self.silver("clientes")))
+        return self._once("dim_client", lambda: dims.dim_client(
+            with_contract_span(self._sourced(self.clients_raw()))))
 
     def dim_product(self) -> DataFrame:
         return self._once("dim_product", lambda: dims.dim_product(
@@ -87,21 +93,25 @@ class Warehouse:
         return self._once("dim_ticket", lambda: dims.dim_ticket(self.silver("tickets")))
 
     # -- gold facts --
-    def surveys(self, one_per_ticket: bool = True) -> DataFrame:
-        s = self.silver
+    def surveys(self, one_per_ticket: bool = True, identity: bool = False) -> DataFrame:
+        """The unified survey table; ``identity`` keeps each answer's
+        source-row identity (used to number the survey fact)."""
+        s = lambda e: (self._sourced(self.silver(e)) if identity
+                       else self.silver(e))
         return facts.unified_surveys(
             s("nps_transacional_aquisicao"), s("nps_transacional_onboarding"),
             s("nps_transacional_produto"), s("nps_relacional"),
-            s("nps_transacional_suporte"), s("tickets"), self.dim_product(),
+            s("nps_transacional_suporte"), self.silver("tickets"), self.dim_product(),
             one_per_ticket)
 
     def fact_contracts(self) -> DataFrame:
-        return facts.fact_contracts(self.silver("historico"), self.silver("contratacoes"),
+        return facts.fact_contracts(self._sourced(self.silver("historico")),
+                                    self.silver("contratacoes"),
                                     self.dim_client(), self.dim_product(), self.dim_time())
 
     def fact_tickets(self) -> DataFrame:
-        return facts.fact_tickets(self.silver("tickets"), self.dim_client(),
+        return facts.fact_tickets(self._sourced(self.silver("tickets")), self.dim_client(),
                                   self.dim_priority(), self.dim_ticket(), self.dim_time())
 
     def fact_nps(self) -> DataFrame:
-        return facts.fact_nps(self.surveys(), self.dim_client(), self.dim_time())
+        return facts.fact_nps(self.surveys(identity=True), self.dim_client(), self.dim_time())
