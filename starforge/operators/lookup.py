@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from starforge.session import known_rows, remember_rows
 
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 256 << 20
+# bytes per value used for size estimates (variable-width types: 20)
+_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
+          "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 
 KeyPair = tuple["str | Column", str]
 
@@ -33,11 +37,23 @@ def row_count_of(dim: DataFrame) -> int:
     return n
 
 
+def estimated_bytes(dim: DataFrame, rows: int) -> int:
+    """Upper-bound style estimate: rows x the schema's default row width
+    (strings count as 20 bytes, as in Spark's own size estimates)."""
+    width = sum(_WIDTH.get(f.dataType.typeName(), 20) for f in dim.schema.fields) + 8
+    return rows * width
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       rows: int | None = None) -> DataFrame:
-    """Hint ``dim`` for broadcast only if its row count is proven small."""
+                       rows: int | None = None,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint ``dim`` (already projected to the columns the join needs) for
+    broadcast only if its row count -- and so its size -- is proven small;
+    otherwise leave the join to the planner (shuffle join, AQE skew split,
+    or a runtime broadcast from measured sizes)."""
     n = row_count_of(dim) if rows is None else rows
-    return F.broadcast(dim) if n <= max_rows else dim
+    small = n <= max_rows and estimated_bytes(dim, n) <= max_bytes
+    return F.broadcast(dim) if small else dim
 
 
 def _fact_col(c) -> Column:
@@ -110,7 +126,11 @@ def role_join(fact: DataFrame, dim: DataFrame, key: str, value: str,
     columns, so the dimension is scanned/broadcast once and reused.
     """
     small = dim.select(key, value)
-    hint = bool(broadcast) if broadcast != "auto" else row_count_of(dim) <= BROADCAST_MAX_ROWS
+    if broadcast == "auto":
+        n = row_count_of(dim)
+        hint = n <= BROADCAST_MAX_ROWS and estimated_bytes(small, n) <= BROADCAST_MAX_BYTES
+    else:
+        hint = bool(broadcast)
     out = fact
     for i, (alias, fcol) in enumerate(roles.items()):
         d = small.select(F.col(key).alias(f"_rl{i}_k"), F.col(value).alias(alias))
