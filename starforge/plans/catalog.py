@@ -34,7 +34,7 @@ from starforge.plans.silver import (silver_clients, silver_contracts_12m,
                                     silver_nps_relational, silver_nps_support,
                                     silver_telemetry, silver_tickets)
 from starforge.plans.warehouse import Warehouse
-from starforge.schemas import BRONZE, GOLD_COLUMNS, SILVER
+from starforge.schemas import BRONZE, SILVER
 from starforge.session import scratch_path
 from starforge.sinks import publish, write_parquet
 from starforge.sources import read_csv, read_parquet, write_csv

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from starforge.operators import with_row_identity
 from starforge.plans import dims, facts
 from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
-from starforge.schemas import BRONZE, BRONZE_FILES, SILVER
+from starforge.schemas import BRONZE, BRONZE_FILES, SILVER, assert_schema
 from starforge.session import materialize
 from starforge.sinks import JdbcTarget, publish, run_step, write_parquet
 from starforge.sources import Layers, read_csv, read_parquet, write_csv
@@ -87,6 +87,7 @@ def silver_job(spark: SparkSession, layers: Layers, entity: str) -> StepReport:
         out = with_contract_span(raw)
     else:
         out = job(bronze)
+    assert_schema(out, SILVER[entity])      # analysis only: no job
     res = publish(out, layers.silver(entity))
     if not res[0].ok:
         raise RuntimeError(res[0].error)

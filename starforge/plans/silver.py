@@ -6,7 +6,6 @@ in :mod:`starforge.plans.pipeline`."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starforge.functions import (as_date, decimal_comma, parse_date,
                                  parse_date_us, parse_ts_date, resolution_days,
