@@ -28,8 +28,8 @@ KeyPair = tuple["str | Column", str]
 
 
 def row_count_of(dim: DataFrame) -> int:
-    """Row count of a dimension: known from how it was built, or counted
-    once (dimensions are written tables, so this is cheap) and remembered."""
+    """Row count of a dimension (or a proven upper bound of it): known from
+    how it was built or written, or counted once and remembered."""
     n = known_rows(dim)
     if n is None:
         n = dim.count()

@@ -10,6 +10,7 @@ from starforge.operators import (dense_key, drop_duplicates_all, identity_of,
                                  infer_product_map, keep_one, observed_dates,
                                  surrogate_key, to_gold_names)
 from starforge.schemas import GOLD_COLUMNS
+from starforge.session import known_rows, remember_rows
 
 
 def dim_time(clients: DataFrame, tickets: DataFrame, history: DataFrame,
@@ -39,7 +40,11 @@ def dim_client(clients: DataFrame) -> DataFrame:
 def client_keys(dim: DataFrame) -> DataFrame:
     """One surviving key per client code for fact lookups: the smallest
     SK_CLIENTE of the code (a partial aggregation, no window)."""
-    return dim.groupBy("CD_CLIENTE").agg(F.min("SK_CLIENTE").alias("SK_CLIENTE"))
+    keys = dim.groupBy("CD_CLIENTE").agg(F.min("SK_CLIENTE").alias("SK_CLIENTE"))
+    n = known_rows(dim)
+    if n is not None:
+        remember_rows(keys, n)      # an upper bound: at most one row per dim row
+    return keys
 
 
 def dim_product(history: DataFrame, clients: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from starforge.operators import with_row_identity
 from starforge.plans import dims, facts
 from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
 from starforge.schemas import BRONZE, BRONZE_FILES, SILVER, assert_schema
-from starforge.session import materialize
+from starforge.session import materialize, remember_rows, rows_at
 from starforge.sinks import JdbcTarget, publish, run_step, write_parquet
 from starforge.sources import Layers, read_csv, read_parquet, write_csv
 from starforge.sources import fixtures
@@ -105,7 +105,13 @@ def silver(spark: SparkSession, layers: Layers, entity: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
-    return read_parquet(spark, layers.gold(table))
+    """A gold table; its row count is carried along when this process
+    wrote it (observed during the write), so size checks need no job."""
+    df = read_parquet(spark, layers.gold(table))
+    n = rows_at(layers.gold(table))
+    if n is not None:
+        remember_rows(df, n)
+    return df
 
 
 def _publish(df: DataFrame, layers: Layers, table: str, jdbc: JdbcConnection | None,

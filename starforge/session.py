@@ -71,11 +71,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared scratch folder and
     return a DataFrame reading it back: a lineage cut that survives lost
-    executors (the data lives in shared storage, not on a node)."""
+    executors (the data lives in shared storage, not on a node).  The row
+    count is observed during the write and remembered on the result."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    remember_rows(out, obs.get["rows"])
+    record_rows(path, obs.get["rows"])
+    return out
 
 
 _ROWS_ATTR = "_starforge_rows"
@@ -89,3 +96,16 @@ def remember_rows(df, n: int) -> None:
 
 def known_rows(df) -> int | None:
     return df.__dict__.get(_ROWS_ATTR)
+
+
+# row counts of tables written by this process (observed during the write)
+_WRITTEN_ROWS: dict[str, int] = {}
+
+
+def record_rows(path: str, n: int | None) -> None:
+    if n is not None:
+        _WRITTEN_ROWS[path.rstrip("/")] = int(n)
+
+
+def rows_at(path: str) -> int | None:
+    return _WRITTEN_ROWS.get(path.rstrip("/"))

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from starforge.operators.audit import observe_rows
+from starforge.session import record_rows
 from starforge.sinks.jdbc import write_jdbc
 from starforge.sinks.parquet import write_parquet
 
@@ -43,7 +44,10 @@ def publish(df: DataFrame, parquet_path: str, jdbc: JdbcTarget | None = None,
     observed, obs = observe_rows(df)
     try:
         write_parquet(observed, parquet_path, parquet_mode, sort_within)
-        results.append(SinkResult("parquet", True, obs.get.get("rows")))
+        rows = obs.get.get("rows")
+        if parquet_mode == "overwrite":
+            record_rows(parquet_path, rows)
+        results.append(SinkResult("parquet", True, rows))
     except Exception as e:  # noqa: BLE001 - reported, other sinks still run
         results.append(SinkResult("parquet", False, error=str(e)[:500]))
     if jdbc is not None:
