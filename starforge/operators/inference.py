@@ -16,7 +16,9 @@ code through some client) without emitting those pairs:
    match is an N:1 join;
 2. fallback for codes without a match: the smallest (description, line)
    held by any of the code's clients -- per client the smallest pair is
-   found first (one row per client), then an N:1 join and a min per code.
+   found first (one row per client), attached to the code's (client,
+   code) pairs by an N:1 join, and reduced per code in the same
+   aggregation that fingerprints the code's client set.
 
 Every step is a partial aggregation or an N:1 join; no step emits all
 pairs within a client.  ``cooccurrence_pairs_per_client`` reports how
@@ -31,16 +33,12 @@ from pyspark.sql import functions as F
 _FP = ["_fp_n", "_fp_x64", "_fp_min", "_fp_max", "_fp_x32"]
 
 
-def _fingerprint(df: DataFrame, keys: list[str], member: str = "cd_cliente") -> DataFrame:
+def _fingerprint_aggs(member: str = "cd_cliente") -> list:
     h64 = F.xxhash64(F.col(member))
     h32 = F.hash(F.col(member)).cast("bigint")
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_fp_n"),
-        F.bit_xor(h64).alias("_fp_x64"),
-        F.min(h64).alias("_fp_min"),
-        F.max(h64).alias("_fp_max"),
-        F.bit_xor(h32).alias("_fp_x32"),
-    )
+    return [F.count(F.lit(1)).alias("_fp_n"), F.bit_xor(h64).alias("_fp_x64"),
+            F.min(h64).alias("_fp_min"), F.max(h64).alias("_fp_max"),
+            F.bit_xor(h32).alias("_fp_x32")]
 
 
 def client_codes(history: DataFrame) -> DataFrame:
@@ -64,17 +62,21 @@ def infer_product_map(history: DataFrame, clients: DataFrame) -> DataFrame:
     descs = client_descriptions(clients)
     pair = F.struct(F.col("DS_PRODUTO").alias("d"), F.col("DS_LINHA_RECEITA").alias("l"))
 
-    code_fp = _fingerprint(codes, ["CD_PRODUTO"])
-    desc_fp = _fingerprint(descs, ["DS_PRODUTO", "DS_LINHA_RECEITA"])
-    best_per_fp = desc_fp.groupBy(*_FP).agg(F.min(pair).alias("_exact"))
-    exact = code_fp.join(best_per_fp, _FP, "inner").select("CD_PRODUTO", "_exact")
-
+    # per client: its smallest (description, line) -- one row per client
     client_min = descs.groupBy("cd_cliente").agg(F.min(pair).alias("_cmin"))
-    fallback = (codes.join(client_min, "cd_cliente", "inner")
-                     .groupBy("CD_PRODUTO").agg(F.min("_cmin").alias("_fall")))
+    # per code, in one aggregation over its (client, code) pairs: the
+    # fingerprint of its client set and the fallback choice
+    code_side = (codes.join(client_min, "cd_cliente", "left")
+                      .groupBy("CD_PRODUTO")
+                      .agg(*_fingerprint_aggs(), F.min("_cmin").alias("_fall")))
+    # per description: the fingerprint of its client set; per fingerprint
+    # only the smallest description survives, so the match is N:1
+    desc_fp = descs.groupBy("DS_PRODUTO", "DS_LINHA_RECEITA").agg(*_fingerprint_aggs())
+    best_per_fp = desc_fp.groupBy(*_FP).agg(F.min(pair).alias("_exact"))
 
-    chosen = fallback.join(exact, "CD_PRODUTO", "left") \
-                     .select("CD_PRODUTO", F.coalesce("_exact", "_fall").alias("_p"))
+    chosen = (code_side.join(best_per_fp, _FP, "left")
+                       .select("CD_PRODUTO", F.coalesce("_exact", "_fall").alias("_p"))
+                       .filter(F.col("_p").isNotNull()))
     return chosen.select("CD_PRODUTO", F.col("_p.d").alias("DS_PRODUTO"),
                          F.col("_p.l").alias("DS_LINHA_RECEITA"))
 
