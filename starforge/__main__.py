@@ -37,6 +37,8 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None)
     ap.add_argument("--jdbc-url", default=None)
     ap.add_argument("--jdbc-prop", action="append", default=[])
+    ap.add_argument("--calendar-all-dates", action="store_true",
+                    help="calendar also covers survey and ticket-update dates")
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)
@@ -53,8 +55,12 @@ def main(argv=None) -> int:
         tables = args.names or list(pipeline.DIM_BUILDERS) + [
             "fato_contratacoes", "fato_tickets", "fato_nps"]
         for t in tables:
-            job = pipeline.dim_job if t in pipeline.DIM_BUILDERS else pipeline.fact_job
-            reports.append(run_step(f"gold:{t}", lambda t=t, job=job: job(spark, layers, t, jdbc)))
+            if t in pipeline.DIM_BUILDERS:
+                fn = lambda t=t: pipeline.dim_job(spark, layers, t, jdbc,
+                                                  args.calendar_all_dates)
+            else:
+                fn = lambda t=t: pipeline.fact_job(spark, layers, t, jdbc)
+            reports.append(run_step(f"gold:{t}", fn))
     for r in reports:
         print(json.dumps({"step": r.step, "seconds": round(r.seconds, 3), "rows": r.rows,
                           "sinks": [vars(x) for x in r.sinks]}))

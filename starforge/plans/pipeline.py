@@ -126,10 +126,21 @@ def _publish(df: DataFrame, layers: Layers, table: str, jdbc: JdbcConnection | N
     return StepReport(name, time.perf_counter() - t0, res[0].rows, res)
 
 
+SURVEY_ENTITIES = ("nps_relacional", "nps_transacional_produto", "nps_transacional_aquisicao",
+                   "nps_transacional_onboarding")
+
+
+def calendar_extra_dates(spark: SparkSession, layers: Layers) -> list:
+    """Dates the source's calendar leaves out (survey answers, ticket
+    updates), for a calendar that covers every fact date."""
+    extra = [(silver(spark, layers, e), "dt_resposta") for e in SURVEY_ENTITIES]
+    return extra + [(silver(spark, layers, "tickets"), "dt_atualizacao")]
+
+
 DIM_BUILDERS = {
-    "dim_tempo": lambda s, l: dims.dim_time(
+    "dim_tempo": lambda s, l, all_dates=False: dims.dim_time(
         silver(s, l, "clientes"), silver(s, l, "tickets"), silver(s, l, "historico"),
-        sort=False),
+        extra_dates=calendar_extra_dates(s, l) if all_dates else None, sort=False),
     "dim_cliente": lambda s, l: dims.dim_client(with_row_identity(silver(s, l, "clientes"))),
     "dim_produto": lambda s, l: dims.dim_product(silver(s, l, "historico"),
                                                  silver(s, l, "clientes")),
@@ -139,9 +150,13 @@ DIM_BUILDERS = {
 
 
 def dim_job(spark: SparkSession, layers: Layers, table: str,
-            jdbc: JdbcConnection | None = None) -> StepReport:
+            jdbc: JdbcConnection | None = None, calendar_all_dates: bool = False) -> StepReport:
+    """One dimension.  ``calendar_all_dates`` makes the calendar cover the
+    survey and ticket-update dates too (the source's calendar does not, so
+    facts on those dates are dropped by the inner calendar lookups)."""
     t0 = time.perf_counter()
-    df = DIM_BUILDERS[table](spark, layers)
+    build = DIM_BUILDERS[table]
+    df = build(spark, layers, calendar_all_dates) if table == "dim_tempo" else build(spark, layers)
     return _publish(df, layers, table, jdbc, jdbc.dim_mode if jdbc else "overwrite",
                     f"gold:{table}", t0)
 
@@ -175,9 +190,10 @@ def fact_job(spark: SparkSession, layers: Layers, table: str,
                     f"gold:{table}", t0)
 
 
-def run_gold(spark: SparkSession, layers: Layers,
-             jdbc: JdbcConnection | None = None) -> list[StepReport]:
-    out = [run_step(f"gold:{t}", lambda t=t: dim_job(spark, layers, t, jdbc))
+def run_gold(spark: SparkSession, layers: Layers, jdbc: JdbcConnection | None = None,
+             calendar_all_dates: bool = False) -> list[StepReport]:
+    out = [run_step(f"gold:{t}", lambda t=t: dim_job(spark, layers, t, jdbc,
+                                                      calendar_all_dates))
            for t in DIM_BUILDERS]
     out += [run_step(f"gold:{t}", lambda t=t: fact_job(spark, layers, t, jdbc))
             for t in ("fato_contratacoes", "fato_tickets", "fato_nps")]

@@ -26,3 +26,14 @@ def test_pipeline_gold_matches_oracle_and_is_stable(spark, con, sf_small, tmp_pa
     pipeline.run_gold(spark, layers)
     again = sorted(tuple(r) for r in pipeline.gold(spark, layers, "fato_tickets").collect())
     assert first == again
+
+
+def test_calendar_all_dates_keeps_every_survey_answer(spark, sf_small, tmp_path):
+    layers = Layers(str(tmp_path / "lake2"))
+    pipeline.land_bronze(spark, sf_small, layers)
+    pipeline.run_silver(spark, layers)
+    pipeline.dim_job(spark, layers, "dim_tempo", calendar_all_dates=True)
+    cal = pipeline.gold(spark, layers, "dim_tempo")
+    for e in pipeline.SURVEY_ENTITIES:
+        dates = pipeline.silver(spark, layers, e).select("dt_resposta").dropna().distinct()
+        assert dates.join(cal, dates.dt_resposta == cal.DATA, "left_anti").count() == 0
