@@ -240,7 +240,7 @@ def q_lookup_rejects(spark, sf_dir):
     w = W(spark, sf_dir)
     h = w.silver("historico").select("nr_proposta", "item_proposta", "cd_cliente", "cd_prod",
                                      "dt_upload")
-    by_client = rejects(h, dims.client_keys(w.dim_client()), [("cd_cliente", "CD_CLIENTE")])
+    by_client = rejects(h, w.client_map(), [("cd_cliente", "CD_CLIENTE")])
     by_product = rejects(h, w.dim_product(), [("cd_prod", "CD_PRODUTO")])
     by_date = rejects(h, w.dim_time(), [(as_date("dt_upload"), "DATA")])
     return (by_client.withColumn("reason", F.lit("cliente"))
@@ -406,7 +406,7 @@ def q_lookup_client(spark, sf_dir):
     """Differently named keys; one surviving key per client."""
     w = W(spark, sf_dir)
     h = w.silver("historico").select("nr_proposta", "item_proposta", "cd_cliente")
-    return lookup(h, dims.client_keys(w.dim_client()), [("cd_cliente", "CD_CLIENTE")],
+    return lookup(h, w.client_map(), [("cd_cliente", "CD_CLIENTE")],
                   ["SK_CLIENTE"])
 
 

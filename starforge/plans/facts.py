@@ -24,8 +24,14 @@ SURVEY_SCHEMA = "cd_cliente string, dt_resposta date, ds_nota int, tipo_nps stri
 
 
 def _clients(dim_client: DataFrame, expand_grain: bool) -> DataFrame:
+    """The client lookup side: the dimension itself for the literal,
+    row-multiplying variant; otherwise one surviving key per client code.
+    A ready key map (exactly CD_CLIENTE, SK_CLIENTE -- the pipeline
+    publishes one with the client dimension) is used as it is."""
     if expand_grain:
         return dim_client.select("CD_CLIENTE", "SK_CLIENTE")
+    if sorted(dim_client.columns) == ["CD_CLIENTE", "SK_CLIENTE"]:
+        return dim_client
     return client_keys(dim_client)
 
 

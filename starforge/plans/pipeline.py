@@ -38,6 +38,11 @@ GOLD_TABLES = {
     "fato_nps": "FATO_NPS",
 }
 
+# one surviving SK_CLIENTE per client code, published with the client
+# dimension: facts look clients up in this client-grain table instead of
+# re-aggregating the contract-row-grain dimension in every fact job
+CLIENT_KEY_MAP = "dim_cliente_chave"
+
 
 @dataclass
 class JdbcConnection:
@@ -157,8 +162,14 @@ def dim_job(spark: SparkSession, layers: Layers, table: str,
     t0 = time.perf_counter()
     build = DIM_BUILDERS[table]
     df = build(spark, layers, calendar_all_dates) if table == "dim_tempo" else build(spark, layers)
-    return _publish(df, layers, table, jdbc, jdbc.dim_mode if jdbc else "overwrite",
-                    f"gold:{table}", t0)
+    report = _publish(df, layers, table, jdbc, jdbc.dim_mode if jdbc else "overwrite",
+                      f"gold:{table}", t0)
+    if table == "dim_cliente":
+        keys = publish(dims.client_keys(gold(spark, layers, table)),
+                       layers.gold(CLIENT_KEY_MAP))
+        report.sinks += keys
+        report.seconds = time.perf_counter() - t0
+    return report
 
 
 def _fact_df(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
@@ -167,18 +178,19 @@ def _fact_df(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
     # of the fact key, so numbering needs no copy-collapsing shuffle)
     r = lambda e: with_row_identity(s(e))
     g = lambda t: gold(spark, layers, t)
+    clients = g(CLIENT_KEY_MAP)
     if table == "fato_contratacoes":
-        return facts.fact_contracts(r("historico"), s("contratacoes"), g("dim_cliente"),
+        return facts.fact_contracts(r("historico"), s("contratacoes"), clients,
                                     g("dim_produto"), g("dim_tempo"))
     if table == "fato_tickets":
-        return facts.fact_tickets(r("tickets"), g("dim_cliente"), g("dim_prioridade"),
+        return facts.fact_tickets(r("tickets"), clients, g("dim_prioridade"),
                                   g("dim_ticket"), g("dim_tempo"))
     if table == "fato_nps":
         surveys = facts.unified_surveys(
             r("nps_transacional_aquisicao"), r("nps_transacional_onboarding"),
             r("nps_transacional_produto"), r("nps_relacional"), r("nps_transacional_suporte"),
             s("tickets"), g("dim_produto"))
-        return facts.fact_nps(surveys, g("dim_cliente"), g("dim_tempo"))
+        return facts.fact_nps(surveys, clients, g("dim_tempo"))
     raise KeyError(table)
 
 

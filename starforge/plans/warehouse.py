@@ -82,6 +82,12 @@ class Warehouse:
         return self._once("dim_client", lambda: dims.dim_client(
             with_contract_span(self._sourced(self.clients_raw()))))
 
+    def client_map(self) -> DataFrame:
+        """One surviving SK_CLIENTE per client code, written once and shared
+        by every fact lookup."""
+        return self._once("client_map", lambda: materialize(
+            dims.client_keys(self.dim_client()), "dim_cliente_chave"))
+
     def dim_product(self) -> DataFrame:
         return self._once("dim_product", lambda: dims.dim_product(
             self.silver("historico"), self.clients_raw()))
@@ -107,11 +113,11 @@ class Warehouse:
     def fact_contracts(self) -> DataFrame:
         return facts.fact_contracts(self._sourced(self.silver("historico")),
                                     self.silver("contratacoes"),
-                                    self.dim_client(), self.dim_product(), self.dim_time())
+                                    self.client_map(), self.dim_product(), self.dim_time())
 
     def fact_tickets(self) -> DataFrame:
-        return facts.fact_tickets(self._sourced(self.silver("tickets")), self.dim_client(),
+        return facts.fact_tickets(self._sourced(self.silver("tickets")), self.client_map(),
                                   self.dim_priority(), self.dim_ticket(), self.dim_time())
 
     def fact_nps(self) -> DataFrame:
-        return facts.fact_nps(self.surveys(identity=True), self.dim_client(), self.dim_time())
+        return facts.fact_nps(self.surveys(identity=True), self.client_map(), self.dim_time())
