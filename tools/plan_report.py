@@ -56,15 +56,15 @@ def main():
         "gold:dim_prioridade (before key)": lambda: s("tickets").select("prioridade_ticket")
         .dropDuplicates(),
         "gold:fato_contratacoes (before key)": lambda: facts.contracts_base(
-            r("historico"), s("contratacoes"), g("dim_cliente"), g("dim_produto"),
+            r("historico"), s("contratacoes"), g(pipeline.CLIENT_KEY_MAP), g("dim_produto"),
             g("dim_tempo")),
         "gold:fato_tickets (before key)": lambda: facts.tickets_base(
-            r("tickets"), g("dim_cliente"), g("dim_prioridade"), g("dim_ticket"),
+            r("tickets"), g(pipeline.CLIENT_KEY_MAP), g("dim_prioridade"), g("dim_ticket"),
             g("dim_tempo")),
         "gold:fato_nps (before key)": lambda: facts.nps_base(facts.unified_surveys(
             r("nps_transacional_aquisicao"), r("nps_transacional_onboarding"),
             r("nps_transacional_produto"), r("nps_relacional"), r("nps_transacional_suporte"),
-            s("tickets"), g("dim_produto")), g("dim_cliente"), g("dim_tempo")),
+            s("tickets"), g("dim_produto")), g(pipeline.CLIENT_KEY_MAP), g("dim_tempo")),
         "gold:dim_cliente (keys read back)": lambda: dims.dim_client(r("clientes")),
     })
     for name, build in jobs.items():
