@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starforge.session import known_rows
+
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
@@ -47,8 +49,14 @@ def attach_contract_span(df: DataFrame, key: str = "cd_cliente",
 
     Rolled up per key and joined back (one row per key on the right), not
     a window partitioned by key, so a client holding a large share of
-    the rows is aggregated map-side and the join can be split by AQE.
+    the rows is aggregated map-side.  The rollup is written once (its row
+    count observed during the write) and broadcast when that count proves
+    it small, so the rows themselves are not shuffled; beyond the bound it
+    is a shuffle join that AQE can split on a hot key.
     """
-    span = contract_span(df, key, date, first, last).withColumnRenamed(key, "_span_key")
+    from starforge.operators.lookup import broadcast_if_small
+    from starforge.session import materialize
+    span = materialize(contract_span(df, key, date, first, last), "contract_span")
+    span = broadcast_if_small(span.withColumnRenamed(key, "_span_key"), rows=known_rows(span))
     joined = df.join(span, F.col(key) == F.col("_span_key"), "left")
     return joined.select(*df.columns, first, last)
