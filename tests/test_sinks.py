@@ -36,3 +36,13 @@ def test_csv_glob_and_header(spark, tmp_path):
     # both directories are read, each header skipped, empty cells are NULL
     got = sorted(((r.a, r.b) for r in back.collect()), key=lambda t: (t[0], t[1] or ""))
     assert got == [("1", "x"), ("1", "x"), ("2", None), ("2", None)]
+
+
+def test_failed_jdbc_copy_does_not_block_parquet(spark, tmp_path):
+    # no database is contacted: the URL names no driver, so the JDBC copy fails
+    from starforge.sinks import JdbcTarget
+    res = publish(spark.range(7), str(tmp_path / "g2"),
+                  jdbc=JdbcTarget("jdbc:nodriver:nowhere", "T", "overwrite"))
+    assert res[0].sink == "parquet" and res[0].ok and res[0].rows == 7
+    assert res[1].sink == "jdbc" and not res[1].ok and res[1].error
+    assert spark.read.parquet(str(tmp_path / "g2")).count() == 7
