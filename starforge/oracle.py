@@ -11,7 +11,7 @@ DuckDB only evaluates the parts a statement references.
 
 from __future__ import annotations
 
-from starforge.schemas import BRONZE, GOLD_COLUMNS, SILVER
+from starforge.schemas import BRONZE, FILL_SCORE, GOLD_COLUMNS, RENAMES, SILVER
 
 
 def money(c: str, sep: str = ",") -> str:
@@ -156,21 +156,15 @@ def subs(mapping: dict[str, str]) -> str:
                      for dst, src in mapping.items())
 
 
-REL_SUBS = {"nota_unidade": "resposta_unidade", "nota_suporte_agilidade": "Nota_SupTec_Agilidade",
-            "nota_suporte_atendimento": "Nota_SupTec_Atendimento", "nota_comercial": "Nota_Comercial",
-            "nota_custos": "Nota_Custos", "nota_admfin_atendimento": "Nota_AdmFin_Atendimento",
-            "nota_software": "Nota_Software", "nota_software_atualizacao": "Nota_Software_Atualizacao"}
-ACQ_SUBS = {"nota_agilidade": "Nota Agilidade", "nota_conhecimento": "Nota Conhecimento",
-            "nota_custo": "Nota Custo", "nota_facilidade": "Nota Facilidade",
-            "nota_flexibilidade": "Nota Flexibilidade"}
-ONB_SUBS = {"nota_atendimento_cs": "Nota atendimento CS",
-            "nota_duracao_reuniao": "Nota duracao reuniao",
-            "nota_clareza_acesso": "Nota clareza acesso",
-            "nota_clareza_informacoes": "Nota clareza informacoes",
-            "nota_expectativas": "Nota expectativas"}
-SUP_SUBS = {"nota_conhecimento_agente": "Nota_ConhecimentoAgente", "nota_solucao": "Nota_Solucao",
-            "nota_tempo_retorno": "Nota_TempoRetorno", "nota_facilidade": "Nota_Facilidade",
-            "nota_satisfacao": "Nota_Satisfacao"}
+def _score_sources(extract: str) -> dict[str, str]:
+    """silver sub-score -> source header, from the fixed tables."""
+    return {dst: src for src, dst in RENAMES[extract] if dst in FILL_SCORE[extract]}
+
+
+REL_SUBS = _score_sources("nps_relacional")
+ACQ_SUBS = _score_sources("nps_transacional_aquisicao")
+ONB_SUBS = _score_sources("nps_transacional_onboarding")
+SUP_SUBS = _score_sources("nps_transacional_suporte")
 
 SILVER_SQL = {
     "s_clientes_raw": f"""

@@ -1,7 +1,12 @@
 """Bronze -> silver jobs (PL1-PL10): one projection each (rename, ANSI-safe
 parse, null policy, discriminator), no shuffle except the per-client
 contract span of PL1.  Functions take and return DataFrames; I/O lives
-in :mod:`starforge.plans.pipeline`."""
+in :mod:`starforge.plans.pipeline`.
+
+The names come from the fixed tables in :mod:`starforge.schemas`
+(``RENAMES``, ``FILL_TEXT``, ``FILL_SCORE``); this module only says how
+each column is parsed from its text.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +17,53 @@ from starforge.functions import (as_date, decimal_comma, parse_date,
                                  to_double, to_int, to_long)
 from starforge.functions.parsing import ISO_DATE
 from starforge.operators import (ROW_ID, attach_contract_span, fill_missing_score,
-                                 fill_unknown, rename_project, tag)
+                                 fill_unknown, tag)
 from starforge.operators.shaping import col
-from starforge.schemas import NPS_TAGS, SILVER
+from starforge.schemas import FILL_SCORE, FILL_TEXT, NPS_TAGS, RENAMES, SILVER
+
+
+def _iso(c):
+    return parse_date(c, ISO_DATE)
+
+
+# how each silver column is parsed from its text; unlisted columns stay
+# text, except survey sub-scores, which are numbers (to_double)
+PARSERS = {
+    "dados_clientes": {"dt_assinatura_contrato": _iso, "vl_total_contrato": decimal_comma},
+    "contratacoes_ultimos_12_meses": {"qtd_contratacoes_12m": to_int,
+                                      "vlr_contratacoes_12m": decimal_comma},
+    "historico": {"item_proposta": to_int, "dt_upload": _iso, "qtd": decimal_comma,
+                  "meses_bonif": to_int, "vl_total": decimal_comma, "vl_full": decimal_comma,
+                  "vl_desconto": decimal_comma},
+    "tickets": {"bk_ticket": to_long, "dt_criacao": _iso, "dt_atualizacao": _iso},
+    "telemetria": {"duracao_evento": to_double, "dt_referencia": as_date},
+    "nps_relacional": {"dt_resposta": as_date, "nota_nps": to_int},
+    "nps_transacional_produto": {"dt_resposta": parse_date_us, "nota_nps": to_int},
+    "nps_transacional_aquisicao": {"dt_resposta": _iso, "nota_nps": to_int},
+    "nps_transacional_onboarding": {"dt_resposta": parse_ts_date, "nota_nps": to_int},
+    "nps_transacional_suporte": {"bk_ticket": to_long, "nota_nps": to_int},
+}
+
+
+def _parser(extract: str, column: str):
+    if column in PARSERS[extract]:
+        return PARSERS[extract][column]
+    if column in FILL_SCORE.get(extract, ()):
+        return to_double
+    return lambda c: c
+
+
+def clean(bronze: DataFrame, extract: str) -> DataFrame:
+    """Rename, parse and null-fill one extract in a single projection."""
+    df = bronze.select(*[_parser(extract, dst)(col(src)).alias(dst)
+                         for src, dst in RENAMES[extract]])
+    if extract in FILL_TEXT:
+        df = fill_unknown(df, FILL_TEXT[extract])
+    if extract in FILL_SCORE:
+        df = fill_missing_score(df, FILL_SCORE[extract])
+    if extract in NPS_TAGS:
+        df = tag(df, "tipo_nps", NPS_TAGS[extract])
+    return df
 
 
 def _ordered(df: DataFrame, entity: str) -> DataFrame:
@@ -23,23 +72,7 @@ def _ordered(df: DataFrame, entity: str) -> DataFrame:
 
 def silver_clients_raw(bronze: DataFrame) -> DataFrame:
     """PL1 without the contract span: parsed, renamed, null-filled."""
-    df = rename_project(bronze, {
-        "cd_cliente": "CD_CLIENTE",
-        "dt_assinatura_contrato": parse_date(col("DT_ASSINATURA_CONTRATO"), ISO_DATE),
-        "vl_total_contrato": decimal_comma(col("VL_TOTAL_CONTRATO")),
-        "cidade": "CIDADE",
-        "ds_cnae": "DS_CNAE",
-        "ds_segmento": "DS_SEGMENTO",
-        "ds_subsegmento": "DS_SUBSEGMENTO",
-        "ds_prod": "DS_PROD",
-        "ds_lin_rec": "DS_LIN_REC",
-        "fat_faixa": "FAT_FAIXA",
-        "marca_totvs": "MARCA_TOTVS",
-        "modal_comerc": "MODAL_COMERC",
-        "uf": "UF",
-        "situacao_contrato": "SITUACAO_CONTRATO",
-    })
-    return fill_unknown(df, ["ds_subsegmento", "marca_totvs", "modal_comerc"])
+    return clean(bronze, "dados_clientes")
 
 
 def with_contract_span(raw: DataFrame) -> DataFrame:
@@ -60,161 +93,50 @@ def silver_clients(bronze: DataFrame, with_span: bool = True) -> DataFrame:
 
 def silver_contracts_12m(bronze: DataFrame) -> DataFrame:
     """PL2: the pre-aggregated 12-month contract rollup."""
-    return rename_project(bronze, {
-        "cd_cliente": "CD_CLIENTE",
-        "qtd_contratacoes_12m": to_int(col("QTD_CONTRATACOES_12M")),
-        "vlr_contratacoes_12m": decimal_comma(col("VLR_CONTRATACOES_12M")),
-    })
+    return _ordered(clean(bronze, "contratacoes_ultimos_12_meses"), "contratacoes")
 
 
 def silver_history(bronze: DataFrame) -> DataFrame:
     """PL3: proposal items."""
-    df = rename_project(bronze, {
-        "nr_proposta": "NR_PROPOSTA",
-        "item_proposta": to_int(col("ITEM_PROPOSTA")),
-        "dt_upload": parse_date(col("DT_UPLOAD"), ISO_DATE),
-        "hospedagem": "HOSPEDAGEM",
-        "cd_cliente": "CD_CLI",
-        "fat_faixa": "FAT_FAIXA",
-        "cd_prod": "CD_PROD",
-        "qtd": decimal_comma(col("QTD")),
-        "meses_bonif": to_int(col("MESES_BONIF")),
-        "vl_total": decimal_comma(col("VL_TOTAL")),
-        "vl_full": decimal_comma(col("VL_FULL")),
-        "vl_desconto": decimal_comma(col("VL_DESCONTO")),
-    })
-    return _ordered(fill_unknown(df, ["hospedagem"]), "historico")
+    return _ordered(clean(bronze, "historico"), "historico")
 
 
 def silver_tickets(bronze: DataFrame) -> DataFrame:
     """PL4: support tickets with the resolution time in days."""
-    created = parse_date(col("DT_CRIACAO"), ISO_DATE)
-    updated = parse_date(col("DT_ATUALIZACAO"), ISO_DATE)
-    df = rename_project(bronze, {
-        "cd_cliente": "CODIGO_ORGANIZACAO",
-        "nome_grupo": "NOME_GRUPO",
-        "tipo_ticket": "TIPO_TICKET",
-        "status_ticket": "STATUS_TICKET",
-        "prioridade_ticket": "PRIORIDADE_TICKET",
-        "bk_ticket": to_long(col("BK_TICKET")),
-        "dt_criacao": created,
-        "dt_atualizacao": updated,
-        "tempo_resolucao_dias": resolution_days(updated, created),
-    })
-    return _ordered(fill_unknown(df, ["nome_grupo"]), "tickets")
+    df = clean(bronze, "tickets")
+    df = df.withColumn("tempo_resolucao_dias", resolution_days("dt_atualizacao", "dt_criacao"))
+    return _ordered(df, "tickets")
 
 
 def silver_telemetry(bronze: DataFrame) -> DataFrame:
     """PL5: product telemetry (read by no gold job)."""
-    return rename_project(bronze, {
-        "cd_cliente": "clienteid",
-        "duracao_evento": to_double(col("eventduration")),
-        "id_modulo": "moduloid",
-        "id_linha_produto": "productlineid",
-        "dt_referencia": as_date(col("referencedatestart")),
-        "status_licenca": "statuslicenca",
-    })
-
-
-_REL_SUBS = {
-    "nota_unidade": "resposta_unidade",
-    "nota_suporte_agilidade": "Nota_SupTec_Agilidade",
-    "nota_suporte_atendimento": "Nota_SupTec_Atendimento",
-    "nota_comercial": "Nota_Comercial",
-    "nota_custos": "Nota_Custos",
-    "nota_admfin_atendimento": "Nota_AdmFin_Atendimento",
-    "nota_software": "Nota_Software",
-    "nota_software_atualizacao": "Nota_Software_Atualizacao",
-}
+    return _ordered(clean(bronze, "telemetria"), "telemetria")
 
 
 def silver_nps_relational(bronze: DataFrame) -> DataFrame:
     """PL6: relational survey."""
-    df = rename_project(bronze, {
-        "dt_resposta": as_date(col("respondedAt")),
-        "cd_cliente": "metadata_codcliente",
-        "nota_nps": to_int(col("resposta_NPS")),
-        **{k: to_double(col(v)) for k, v in _REL_SUBS.items()},
-    })
-    df = tag(df, "tipo_nps", NPS_TAGS["nps_relacional"])
-    return _ordered(fill_missing_score(df, list(_REL_SUBS)), "nps_relacional")
+    return _ordered(clean(bronze, "nps_relacional"), "nps_relacional")
 
 
 def silver_nps_product(bronze: DataFrame) -> DataFrame:
     """PL7: product survey (US date-time with meridiem)."""
-    df = rename_project(bronze, {
-        "dt_resposta": parse_date_us(col("Data da Resposta")),
-        "linha_produto": "Linha de Produto",
-        "nome_produto": "Nome do Produto",
-        "nota_nps": to_int(col("Nota")),
-        "cd_cliente": "Cod Cliente",
-    })
-    df = tag(df, "tipo_nps", NPS_TAGS["nps_transacional_produto"])
-    return _ordered(fill_unknown(df, ["nome_produto"]), "nps_transacional_produto")
-
-
-_ACQ_SUBS = {
-    "nota_agilidade": "Nota Agilidade",
-    "nota_conhecimento": "Nota Conhecimento",
-    "nota_custo": "Nota Custo",
-    "nota_facilidade": "Nota Facilidade",
-    "nota_flexibilidade": "Nota Flexibilidade",
-}
+    return _ordered(clean(bronze, "nps_transacional_produto"), "nps_transacional_produto")
 
 
 def silver_nps_acquisition(bronze: DataFrame) -> DataFrame:
     """PL8: acquisition survey (ISO date)."""
-    df = rename_project(bronze, {
-        "cd_cliente": "Cod Cliente",
-        "dt_resposta": parse_date(col("Data da Resposta"), ISO_DATE),
-        "nota_nps": to_int(col("Nota NPS")),
-        **{k: to_double(col(v)) for k, v in _ACQ_SUBS.items()},
-    })
-    df = tag(df, "tipo_nps", NPS_TAGS["nps_transacional_aquisicao"])
-    return _ordered(fill_missing_score(df, list(_ACQ_SUBS)), "nps_transacional_aquisicao")
-
-
-_ONB_SUBS = {
-    "nota_atendimento_cs": "Nota atendimento CS",
-    "nota_duracao_reuniao": "Nota duracao reuniao",
-    "nota_clareza_acesso": "Nota clareza acesso",
-    "nota_clareza_informacoes": "Nota clareza informacoes",
-    "nota_expectativas": "Nota expectativas",
-}
+    return _ordered(clean(bronze, "nps_transacional_aquisicao"), "nps_transacional_aquisicao")
 
 
 def silver_nps_onboarding(bronze: DataFrame) -> DataFrame:
     """PL9: onboarding survey (ISO-T timestamp reduced to a date)."""
-    df = rename_project(bronze, {
-        "dt_resposta": parse_ts_date(col("Data de resposta")),
-        "cd_cliente": "Cod Cliente",
-        "nota_nps": to_int(col("Nota NPS onboarding")),
-        **{k: to_double(col(v)) for k, v in _ONB_SUBS.items()},
-    })
-    df = tag(df, "tipo_nps", NPS_TAGS["nps_transacional_onboarding"])
-    return _ordered(fill_missing_score(df, list(_ONB_SUBS)), "nps_transacional_onboarding")
-
-
-_SUP_SUBS = {
-    "nota_conhecimento_agente": "Nota_ConhecimentoAgente",
-    "nota_solucao": "Nota_Solucao",
-    "nota_tempo_retorno": "Nota_TempoRetorno",
-    "nota_facilidade": "Nota_Facilidade",
-    "nota_satisfacao": "Nota_Satisfacao",
-}
+    return _ordered(clean(bronze, "nps_transacional_onboarding"),
+                    "nps_transacional_onboarding")
 
 
 def silver_nps_support(bronze: DataFrame) -> DataFrame:
     """PL10: support survey (no date of its own; keyed by ticket)."""
-    df = rename_project(bronze, {
-        "bk_ticket": to_long(col("ticket")),
-        "nota_nps": to_int(col("resposta_NPS")),
-        "grupo_nps": "grupo_NPS",
-        **{k: to_double(col(v)) for k, v in _SUP_SUBS.items()},
-        "cd_cliente": "cliente",
-    })
-    df = tag(df, "tipo_nps", NPS_TAGS["nps_transacional_suporte"])
-    return _ordered(fill_missing_score(df, list(_SUP_SUBS)), "nps_transacional_suporte")
+    return _ordered(clean(bronze, "nps_transacional_suporte"), "nps_transacional_suporte")
 
 
 SILVER_JOBS = {

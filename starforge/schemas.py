@@ -143,6 +143,89 @@ GOLD_COLUMNS = {
     "fato_nps": ["SK_FATO_NPS", "SK_CLIENTE", "SK_TEMPO", "NOTA_NPS", "TIPO_NPS"],
 }
 
+# fixed values: source header -> silver column of every extract, in the
+# extract's column order
+RENAMES = {
+    "dados_clientes": [
+        ("CD_CLIENTE", "cd_cliente"), ("CIDADE", "cidade"), ("DS_CNAE", "ds_cnae"),
+        ("DS_SEGMENTO", "ds_segmento"), ("DS_SUBSEGMENTO", "ds_subsegmento"),
+        ("DS_PROD", "ds_prod"), ("DS_LIN_REC", "ds_lin_rec"), ("FAT_FAIXA", "fat_faixa"),
+        ("MARCA_TOTVS", "marca_totvs"), ("MODAL_COMERC", "modal_comerc"),
+        ("SITUACAO_CONTRATO", "situacao_contrato"), ("UF", "uf"),
+        ("VL_TOTAL_CONTRATO", "vl_total_contrato"),
+        ("DT_ASSINATURA_CONTRATO", "dt_assinatura_contrato")],
+    "contratacoes_ultimos_12_meses": [
+        ("CD_CLIENTE", "cd_cliente"), ("QTD_CONTRATACOES_12M", "qtd_contratacoes_12m"),
+        ("VLR_CONTRATACOES_12M", "vlr_contratacoes_12m")],
+    "historico": [
+        ("NR_PROPOSTA", "nr_proposta"), ("ITEM_PROPOSTA", "item_proposta"),
+        ("DT_UPLOAD", "dt_upload"), ("HOSPEDAGEM", "hospedagem"), ("CD_CLI", "cd_cliente"),
+        ("FAT_FAIXA", "fat_faixa"), ("CD_PROD", "cd_prod"), ("QTD", "qtd"),
+        ("MESES_BONIF", "meses_bonif"), ("VL_TOTAL", "vl_total"), ("VL_FULL", "vl_full"),
+        ("VL_DESCONTO", "vl_desconto")],
+    "tickets": [
+        ("CODIGO_ORGANIZACAO", "cd_cliente"), ("NOME_GRUPO", "nome_grupo"),
+        ("TIPO_TICKET", "tipo_ticket"), ("STATUS_TICKET", "status_ticket"),
+        ("PRIORIDADE_TICKET", "prioridade_ticket"), ("BK_TICKET", "bk_ticket"),
+        ("DT_CRIACAO", "dt_criacao"), ("DT_ATUALIZACAO", "dt_atualizacao")],
+    "telemetria": [
+        ("clienteid", "cd_cliente"), ("eventduration", "duracao_evento"),
+        ("moduloid", "id_modulo"), ("productlineid", "id_linha_produto"),
+        ("referencedatestart", "dt_referencia"), ("statuslicenca", "status_licenca")],
+    "nps_relacional": [
+        ("respondedAt", "dt_resposta"), ("metadata_codcliente", "cd_cliente"),
+        ("resposta_NPS", "nota_nps"), ("resposta_unidade", "nota_unidade"),
+        ("Nota_SupTec_Agilidade", "nota_suporte_agilidade"),
+        ("Nota_SupTec_Atendimento", "nota_suporte_atendimento"),
+        ("Nota_Comercial", "nota_comercial"), ("Nota_Custos", "nota_custos"),
+        ("Nota_AdmFin_Atendimento", "nota_admfin_atendimento"),
+        ("Nota_Software", "nota_software"),
+        ("Nota_Software_Atualizacao", "nota_software_atualizacao")],
+    "nps_transacional_produto": [
+        ("Data da Resposta", "dt_resposta"), ("Linha de Produto", "linha_produto"),
+        ("Nome do Produto", "nome_produto"), ("Nota", "nota_nps"),
+        ("Cod Cliente", "cd_cliente")],
+    "nps_transacional_aquisicao": [
+        ("Cod Cliente", "cd_cliente"), ("Data da Resposta", "dt_resposta"),
+        ("Nota NPS", "nota_nps"), ("Nota Agilidade", "nota_agilidade"),
+        ("Nota Conhecimento", "nota_conhecimento"), ("Nota Custo", "nota_custo"),
+        ("Nota Facilidade", "nota_facilidade"), ("Nota Flexibilidade", "nota_flexibilidade")],
+    "nps_transacional_onboarding": [
+        ("Data de resposta", "dt_resposta"), ("Cod Cliente", "cd_cliente"),
+        ("Nota NPS onboarding", "nota_nps"), ("Nota atendimento CS", "nota_atendimento_cs"),
+        ("Nota duracao reuniao", "nota_duracao_reuniao"),
+        ("Nota clareza acesso", "nota_clareza_acesso"),
+        ("Nota clareza informacoes", "nota_clareza_informacoes"),
+        ("Nota expectativas", "nota_expectativas")],
+    "nps_transacional_suporte": [
+        ("ticket", "bk_ticket"), ("resposta_NPS", "nota_nps"), ("grupo_NPS", "grupo_nps"),
+        ("Nota_ConhecimentoAgente", "nota_conhecimento_agente"),
+        ("Nota_Solucao", "nota_solucao"), ("Nota_TempoRetorno", "nota_tempo_retorno"),
+        ("Nota_Facilidade", "nota_facilidade"), ("Nota_Satisfacao", "nota_satisfacao"),
+        ("cliente", "cd_cliente")],
+}
+
+# fixed values: silver text columns whose missing values get the
+# placeholder, and survey sub-scores whose missing values get the sentinel
+FILL_TEXT = {
+    "dados_clientes": ["ds_subsegmento", "marca_totvs", "modal_comerc"],
+    "historico": ["hospedagem"],
+    "tickets": ["nome_grupo"],
+    "nps_transacional_produto": ["nome_produto"],
+}
+FILL_SCORE = {
+    "nps_relacional": ["nota_unidade", "nota_suporte_agilidade", "nota_suporte_atendimento",
+                       "nota_comercial", "nota_custos", "nota_admfin_atendimento",
+                       "nota_software", "nota_software_atualizacao"],
+    "nps_transacional_aquisicao": ["nota_agilidade", "nota_conhecimento", "nota_custo",
+                                   "nota_facilidade", "nota_flexibilidade"],
+    "nps_transacional_onboarding": ["nota_atendimento_cs", "nota_duracao_reuniao",
+                                    "nota_clareza_acesso", "nota_clareza_informacoes",
+                                    "nota_expectativas"],
+    "nps_transacional_suporte": ["nota_conhecimento_agente", "nota_solucao",
+                                 "nota_tempo_retorno", "nota_facilidade", "nota_satisfacao"],
+}
+
 # fixed values: the placeholder the source uses for missing text, and the
 # sentinel it uses for a missing survey sub-score
 UNKNOWN_TEXT = "Nao Informado"
