@@ -30,7 +30,7 @@ from starforge.sinks import JdbcTarget, publish, run_step, write_parquet
 from starforge.sources import Layers, read_csv, read_parquet, write_csv
 from starforge.sources import fixtures
 
-# gold table name -> JDBC table name (the source's names)
+# fixed values: gold table name -> JDBC table name
 GOLD_TABLES = {
     "dim_tempo": "DIM_TEMPO", "dim_cliente": "DIM_CLIENTE", "dim_produto": "DIM_PRODUTO",
     "dim_prioridade": "DIM_PRIORIDADE", "dim_ticket": "DIM_TICKET",

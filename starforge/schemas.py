@@ -15,7 +15,8 @@ def _text(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-# -- bronze: raw extracts, all text; column names are the source headers --
+# fixed values: bronze extracts (all read as text) with their source
+# header names, in the extracts' column order
 BRONZE = {
     "dados_clientes": _text(
         "CD_CLIENTE", "CIDADE", "DS_CNAE", "DS_SEGMENTO", "DS_SUBSEGMENTO",
@@ -55,7 +56,7 @@ BRONZE = {
         "Nota_Satisfacao", "cliente"),
 }
 
-# file name (or glob) and separator of each bronze extract
+# fixed values: file name (or glob) and separator of each bronze extract
 BRONZE_FILES = {
     "dados_clientes": ("dados_clientes.csv", ";"),
     "contratacoes_ultimos_12_meses": ("contratacoes_ultimos_12_meses.csv", ";"),
@@ -127,7 +128,7 @@ SILVER = {
         "cd_cliente string, tipo_nps string"),
 }
 
-# -- gold: column order of each dimension and fact --
+# fixed values: gold column names, in the order of each dimension and fact
 GOLD_COLUMNS = {
     "dim_cliente": ["SK_CLIENTE", "CD_CLIENTE", "DS_SEGMENTO", "DS_SUBSEGMENTO",
                     "DS_PROD", "FAT_FAIXA", "UF", "CIDADE", "MARCA_TOTVS",
