@@ -39,7 +39,7 @@ def main(argv=None) -> int:
     ap.add_argument("--jdbc-prop", action="append", default=[])
     ap.add_argument("--calendar-all-dates", action="store_true",
                     help="calendar also covers survey and ticket-update dates")
-    args = ap.parse_args(argv)
+    args = ap.parse_intermixed_args(argv)
 
     spark = get_session(args.master)
     layers = Layers(args.root)
