@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.session import known_rows
+from starforge.session import known_rows, remember_rows
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -31,8 +31,12 @@ def keep_one(df: DataFrame, keys: list[str], order_by: list[str] | None = None)
         return df.select(*keys).distinct()
     packed = F.struct(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(rest)])
     agg = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
-    return agg.select(*keys, *[F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)]) \
-              .select(*df.columns)
+    out = agg.select(*keys, *[F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)]) \
+             .select(*df.columns)
+    n = known_rows(df)
+    if n is not None:
+        remember_rows(out, n)       # an upper bound: at most one row per input row
+    return out
 
 
 def contract_span(df: DataFrame, key: str = "cd_cliente", date: str = "dt_assinatura_contrato",
