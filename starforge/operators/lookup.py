@@ -3,10 +3,11 @@
 A lookup returns the fact's own columns plus the requested dimension
 columns only (never ``dim.*``), so duplicate names cannot become
 ambiguous later.  Broadcast is used only behind a size check: the
-dimension is counted (cheap -- dimensions are checkpointed or read from
-Parquet) and hinted only when it has at most ``max_rows`` rows; beyond
-that the join is left to the planner and AQE (shuffle join with skew
-splitting, or a runtime broadcast when the measured size is small).
+dimension's row count (known from how it was built or written, else
+counted once) must be at most ``max_rows`` and rows x estimated width at
+most ``BROADCAST_MAX_BYTES``; beyond that the join is left to the planner
+and AQE (shuffle join with skew splitting, or a runtime broadcast when
+the measured size is small).
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ def _prepare(dim: DataFrame, on: Sequence[KeyPair], take: Sequence[str], tag: st
     dim_keys = [d for _, d in on]
     renamed = {d: f"_{tag}_k{i}" for i, d in enumerate(dim_keys)}
     cols = [F.col(d).alias(renamed[d]) for d in dim_keys]
-    cols += [F.col(t) for t in take if t not in renamed]
+    cols += [F.col(t) for t in take]          # a key may also be taken under its own name
     small = dim.select(*cols)
     cond = None
     for f, d in on:

@@ -53,3 +53,9 @@ def test_role_join(spark):
     f = spark.createDataFrame([(1, 2), (2, 4)], "a int, b int")
     out = role_join(f, _dim(spark), "DK", "SK", {"SK_A": "a", "SK_B": "b"})
     assert sorted(tuple(r) for r in out.collect()) == [(1, 2, 10, 20), (2, 4, 20, 40)]
+
+
+def test_lookup_can_take_the_key_itself(spark):
+    out = lookup(_facts(spark), _dim(spark), [("k", "DK")], ["DK", "SK"])
+    assert out.columns == ["k", "v", "DK", "SK"]
+    assert all(r.k == r.DK for r in out.collect())
