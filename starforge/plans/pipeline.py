@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from starforge.operators import with_row_identity
 from starforge.plans import dims, facts
 from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
-from starforge.schemas import BRONZE, BRONZE_FILES, SILVER, assert_schema
+from starforge.schemas import BRONZE, BRONZE_FILES, GOLD_COLUMNS, SILVER, assert_schema
 from starforge.session import materialize, remember_rows, rows_at
 from starforge.sinks import JdbcTarget, publish, run_step, write_parquet
 from starforge.sources import Layers, read_csv, read_parquet, write_csv
@@ -121,6 +121,8 @@ def gold(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
 
 def _publish(df: DataFrame, layers: Layers, table: str, jdbc: JdbcConnection | None,
              mode: str, name: str, t0: float) -> StepReport:
+    if df.columns != GOLD_COLUMNS[table]:        # analysis only: no job
+        raise AssertionError(f"{table}: columns {df.columns} != {GOLD_COLUMNS[table]}")
     target = None
     if jdbc is not None:
         target = JdbcTarget(jdbc.url, GOLD_TABLES[table], mode, jdbc.properties)
