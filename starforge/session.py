@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -85,17 +86,18 @@ def materialize(df, name: str):
     return out
 
 
-_ROWS_ATTR = "_starforge_rows"
+# row counts (or proven upper bounds) known for DataFrame objects, so size
+# checks on them need no extra job; entries vanish with their DataFrames
+_KNOWN_ROWS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
 
 
 def remember_rows(df, n: int) -> None:
-    """Record a row count already known for ``df`` (so size checks on it
-    need no extra job)."""
-    object.__setattr__(df, _ROWS_ATTR, int(n))
+    """Record a row count (or upper bound) already known for ``df``."""
+    _KNOWN_ROWS[df] = int(n)
 
 
 def known_rows(df) -> int | None:
-    return df.__dict__.get(_ROWS_ATTR)
+    return _KNOWN_ROWS.get(df)
 
 
 # row counts of tables written by this process (observed during the write)
