@@ -37,6 +37,8 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None)
     ap.add_argument("--jdbc-url", default=None)
     ap.add_argument("--jdbc-prop", action="append", default=[])
+    ap.add_argument("--parallel", type=int, default=4,
+                    help="independent jobs submitted at once (silver; dims; facts)")
     ap.add_argument("--calendar-all-dates", action="store_true",
                     help="calendar also covers survey and ticket-update dates")
     args = ap.parse_intermixed_args(argv)
@@ -50,17 +52,17 @@ def main(argv=None) -> int:
             ap.error("--sf is required for land/all")
         run_step("land", lambda: pipeline.land_bronze(spark, args.sf, layers))
     if args.step in ("silver", "all"):
-        reports += pipeline.run_silver(spark, layers, args.names or None)
+        reports += pipeline.run_silver(spark, layers, args.names or None, args.parallel)
     if args.step in ("gold", "all"):
         tables = args.names or list(pipeline.DIM_BUILDERS) + [
             "fato_contratacoes", "fato_tickets", "fato_nps"]
-        for t in tables:
-            if t in pipeline.DIM_BUILDERS:
-                fn = lambda t=t: pipeline.dim_job(spark, layers, t, jdbc,
-                                                  args.calendar_all_dates)
-            else:
-                fn = lambda t=t: pipeline.fact_job(spark, layers, t, jdbc)
-            reports.append(run_step(f"gold:{t}", fn))
+        dim_steps = [(f"gold:{t}", lambda t=t: pipeline.dim_job(
+            spark, layers, t, jdbc, args.calendar_all_dates))
+            for t in tables if t in pipeline.DIM_BUILDERS]
+        fact_steps = [(f"gold:{t}", lambda t=t: pipeline.fact_job(spark, layers, t, jdbc))
+                      for t in tables if t not in pipeline.DIM_BUILDERS]
+        reports += pipeline.run_concurrently(dim_steps, args.parallel)
+        reports += pipeline.run_concurrently(fact_steps, args.parallel)
     for r in reports:
         print(json.dumps({"step": r.step, "seconds": round(r.seconds, 3), "rows": r.rows,
                           "sinks": [vars(x) for x in r.sinks]}))

@@ -16,6 +16,7 @@ from the written copy, so all copies hold identical keys.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,10 +100,22 @@ def silver_job(spark: SparkSession, layers: Layers, entity: str) -> StepReport:
     return StepReport(f"silver:{entity}", time.perf_counter() - t0, res[0].rows, res)
 
 
-def run_silver(spark: SparkSession, layers: Layers,
-               entities: list[str] | None = None) -> list[StepReport]:
-    return [run_step(f"silver:{e}", lambda e=e: silver_job(spark, layers, e))
-            for e in (entities or list(SILVER_JOBS))]
+def run_concurrently(steps: list[tuple[str, object]], parallel: int) -> list[StepReport]:
+    """Run independent steps, ``parallel`` at a time: each submits its own
+    Spark jobs, which the scheduler runs side by side.  Reports keep the
+    given order; the first failure is raised (with its step name)."""
+    if parallel <= 1 or len(steps) <= 1:
+        return [run_step(name, fn) for name, fn in steps]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = [pool.submit(run_step, name, fn) for name, fn in steps]
+        return [f.result() for f in futures]
+
+
+def run_silver(spark: SparkSession, layers: Layers, entities: list[str] | None = None,
+               parallel: int = 4) -> list[StepReport]:
+    """All bronze -> silver jobs (independent of each other)."""
+    return run_concurrently([(f"silver:{e}", lambda e=e: silver_job(spark, layers, e))
+                        for e in (entities or list(SILVER_JOBS))], parallel)
 
 
 def silver(spark: SparkSession, layers: Layers, entity: str) -> DataFrame:
@@ -205,12 +218,14 @@ def fact_job(spark: SparkSession, layers: Layers, table: str,
 
 
 def run_gold(spark: SparkSession, layers: Layers, jdbc: JdbcConnection | None = None,
-             calendar_all_dates: bool = False) -> list[StepReport]:
-    out = [run_step(f"gold:{t}", lambda t=t: dim_job(spark, layers, t, jdbc,
-                                                      calendar_all_dates))
-           for t in DIM_BUILDERS]
-    out += [run_step(f"gold:{t}", lambda t=t: fact_job(spark, layers, t, jdbc))
-            for t in ("fato_contratacoes", "fato_tickets", "fato_nps")]
+             calendar_all_dates: bool = False, parallel: int = 4) -> list[StepReport]:
+    """All dimensions (independent of each other), then all facts (each
+    reads the published dimensions)."""
+    out = run_concurrently([(f"gold:{t}", lambda t=t: dim_job(spark, layers, t, jdbc,
+                                                          calendar_all_dates))
+                       for t in DIM_BUILDERS], parallel)
+    out += run_concurrently([(f"gold:{t}", lambda t=t: fact_job(spark, layers, t, jdbc))
+                        for t in ("fato_contratacoes", "fato_tickets", "fato_nps")], parallel)
     return out
 
 
