@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import weakref
 
@@ -89,15 +90,18 @@ def materialize(df, name: str):
 # row counts (or proven upper bounds) known for DataFrame objects, so size
 # checks on them need no extra job; entries vanish with their DataFrames
 _KNOWN_ROWS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+_ROWS_LOCK = threading.Lock()       # jobs may be submitted from several threads
 
 
 def remember_rows(df, n: int) -> None:
     """Record a row count (or upper bound) already known for ``df``."""
-    _KNOWN_ROWS[df] = int(n)
+    with _ROWS_LOCK:
+        _KNOWN_ROWS[df] = int(n)
 
 
 def known_rows(df) -> int | None:
-    return _KNOWN_ROWS.get(df)
+    with _ROWS_LOCK:
+        return _KNOWN_ROWS.get(df)
 
 
 # row counts of tables written by this process (observed during the write)
@@ -106,8 +110,10 @@ _WRITTEN_ROWS: dict[str, int] = {}
 
 def record_rows(path: str, n: int | None) -> None:
     if n is not None:
-        _WRITTEN_ROWS[path.rstrip("/")] = int(n)
+        with _ROWS_LOCK:
+            _WRITTEN_ROWS[path.rstrip("/")] = int(n)
 
 
 def rows_at(path: str) -> int | None:
-    return _WRITTEN_ROWS.get(path.rstrip("/"))
+    with _ROWS_LOCK:
+        return _WRITTEN_ROWS.get(path.rstrip("/"))
