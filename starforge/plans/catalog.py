@@ -658,6 +658,26 @@ def q_dim_time(spark, sf_dir):
     return W(spark, sf_dir).dim_time()
 
 
+@register("dim_time_all_dates", O.sql("""
+SELECT CAST(year(DATA) * 10000 + month(DATA) * 100 + day(DATA) AS INTEGER) AS SK_TEMPO, DATA,
+  CAST(year(DATA) AS INTEGER) AS ANO, CAST(month(DATA) AS INTEGER) AS MES,
+  strftime(DATA, '%B') AS NOME_MES, 'Q' || CAST(quarter(DATA) AS VARCHAR) AS TRIMESTRE
+FROM (SELECT dt_ultimo_contrato AS DATA FROM s_clientes UNION SELECT dt_criacao FROM s_tickets
+      UNION SELECT dt_upload FROM s_historico UNION SELECT dt_resposta FROM s_nps_relacional
+      UNION SELECT dt_resposta FROM s_nps_produto UNION SELECT dt_resposta FROM s_nps_aquisicao
+      UNION SELECT dt_resposta FROM s_nps_onboarding UNION SELECT dt_atualizacao FROM s_tickets)
+WHERE DATA IS NOT NULL"""))
+def q_dim_time_all_dates(spark, sf_dir):
+    """PL11 with the D11 option: the calendar also covers survey-answer and
+    ticket-update dates."""
+    w = W(spark, sf_dir)
+    extra = [(w.silver(e), "dt_resposta") for e in (
+        "nps_relacional", "nps_transacional_produto", "nps_transacional_aquisicao",
+        "nps_transacional_onboarding")] + [(w.silver("tickets"), "dt_atualizacao")]
+    return dims.dim_time(contract_span(w.clients_raw()), w.silver("tickets"),
+                         w.silver("historico"), extra_dates=extra, sort=False)
+
+
 @register("dim_client", O.select_all("g_dim_client"))
 def q_dim_client(spark, sf_dir):
     """PL12."""
