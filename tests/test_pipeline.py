@@ -37,3 +37,12 @@ def test_calendar_all_dates_keeps_every_survey_answer(spark, sf_small, tmp_path)
     for e in pipeline.SURVEY_ENTITIES:
         dates = pipeline.silver(spark, layers, e).select("dt_resposta").dropna().distinct()
         assert dates.join(cal, dates.dt_resposta == cal.DATA, "left_anti").count() == 0
+
+
+def test_fact_reports_count_dropped_rows(spark, sf_small, tmp_path):
+    layers = Layers(str(tmp_path / "lake3"))
+    pipeline.run_all(spark, sf_small, layers)
+    r = pipeline.fact_job(spark, layers, "fato_contratacoes")
+    hist = pipeline.silver(spark, layers, "historico").count()
+    assert r.input_rows == hist and r.rows + r.dropped == hist
+    assert r.dropped > 0          # the unparseable upload dates miss the calendar
