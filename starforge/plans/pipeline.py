@@ -116,8 +116,9 @@ def run_concurrently(steps: list[tuple[str, object]], parallel: int) -> list[Ste
 def run_silver(spark: SparkSession, layers: Layers, entities: list[str] | None = None,
                parallel: int = 4) -> list[StepReport]:
     """All bronze -> silver jobs (independent of each other)."""
-    return run_concurrently([(f"silver:{e}", lambda e=e: silver_job(spark, layers, e))
-                        for e in (entities or list(SILVER_JOBS))], parallel)
+    steps = [(f"silver:{e}", lambda e=e: silver_job(spark, layers, e))
+             for e in (entities or list(SILVER_JOBS))]
+    return run_concurrently(steps, parallel)
 
 
 def silver(spark: SparkSession, layers: Layers, entity: str) -> DataFrame:
