@@ -24,3 +24,21 @@ def test_dense_key_matches_row_number(spark, rows, copies):
     want = sorted(tuple(r) for r in df.select(F.row_number().over(w).cast("bigint").alias("k"),
                                               "s", "i", "d").collect())
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(ROW, min_size=1, max_size=50), copies=st.integers(0, 30),
+       parts=st.integers(1, 4))
+def test_dense_key_tiebreak_matches_row_number(spark, tmp_path_factory, rows, copies, parts):
+    from starforge.operators import ROW_ID, with_row_identity
+    rows = rows + [("a", 1, 0.5)] * copies
+    path = str(tmp_path_factory.mktemp("tb"))
+    spark.createDataFrame(rows, "s string, i int, d double").repartition(parts) \
+        .write.mode("overwrite").parquet(path)
+    src = spark.read.parquet(path)
+    got = sorted(tuple(r) for r in dense_key(with_row_identity(src), "k", order_by=["i"],
+                                             tiebreak=ROW_ID).collect())
+    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in ["i", "s", "d"]])
+    want = sorted(tuple(r) for r in src.select(F.row_number().over(w).cast("bigint").alias("k"),
+                                               "s", "i", "d").collect())
+    assert got == want
