@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starforge.llm import (language_id, license_scan, mixing, quality_rules,
-                           sentencepiece_codec, toxicity)
+                           sentencepiece_codec, substring_dedup, suffix_dedup,
+                           toxicity)
 from starforge.llm.common import table
 
 
@@ -20,6 +22,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", substring_dedup.removed_length().alias("n_removed"),
+                      F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
@@ -28,6 +36,13 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.sp_report(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", substring_dedup.removed_length().alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -37,11 +52,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_license_scan, op5_language_id,
-                                    op6_sentencepiece, op8_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op2_license_scan, op4_substring_dedup,
+                                    op5_language_id, op6_sentencepiece, op7_suffix_dedup,
+                                    op8_mixing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Statements of the operators that SQL can express."""
-    return {"op2_license_scan": license_scan.license_sql(), "op8_mixing": mixing.mix_sql(),
+    return {"op2_license_scan": license_scan.license_sql(),
+            "op4_substring_dedup": substring_dedup.substring_sql(),
+            "op7_suffix_dedup": suffix_dedup.suffix_sql(), "op8_mixing": mixing.mix_sql(),
             "op10_quality_rules": quality_rules.quality_sql()}
