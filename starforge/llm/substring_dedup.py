@@ -8,7 +8,7 @@ repeat is found by probing the index of grid blocks with every rolling block:
    stand on its grid (the index); a bucket of hashes tells which occur in
    several chunks and on a grid.
 2. A hit is extended to every window around it.  Each chunk states its
-   different windows once, with 128-bit fingerprints, the first place of each
+   different windows once, with 96-bit fingerprints, the first place of each
    (smallest doc_id, then start); buckets of fingerprints find the first of all.
 3. Windows that are not the first merge into maximal repeated runs; their words
    are removed.
@@ -133,9 +133,14 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, keep: list[str] = (),
         # equal (id, start) in twin rows: none of them is later than the other
         lead = np.repeat(np.flatnonzero(first), np.diff(np.append(np.flatnonzero(first), len(a))))
         same = (ids == ids[lead]) & (place == place[lead])
-        rows = [(-1 - c.number % buckets, c.number, starts[~same].astype(np.uint32).tobytes())]
+        rows = [(-1 - c.number % buckets, c.number, np.sort(starts[~same]).astype(np.uint32).tobytes())]
         a, b, ids, place, starts = a[same], b[same], ids[same], place[same], starts[same]
-        cut_at = np.searchsorted(bucket_of(a, buckets), np.arange(buckets + 1))
+        # in text order within a bucket: ids and places compress well
+        home = bucket_of(a, buckets)
+        order = np.lexsort((starts, home))
+        a, b, ids, place, starts, home = (x[order] for x in (a, b, ids, place, starts, home))
+        cut_at = np.searchsorted(home, np.arange(buckets + 1))
+        b = (b >> np.uint64(32)).astype(np.uint32)
         for k in np.flatnonzero(np.diff(cut_at)):
             s = slice(cut_at[k], cut_at[k + 1])
             rows.append((int(k), c.number, b"".join(x[s].tobytes() for x in (
@@ -147,11 +152,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, keep: list[str] = (),
         if t.column("bucket")[0].as_py() < 0:       # settled inside their chunks
             return t
         data, numbers = t.column("data").to_pylist(), t.column("chunk").to_pylist()
-        n = [len(x) // 32 for x in data]
+        n = [len(x) // 28 for x in data]
         part = lambda i, j, kind: np.concatenate(
             [np.frombuffer(x[i * k:j * k], kind) for x, k in zip(data, n)])
-        a, b, ids = part(0, 8, np.uint64), part(8, 16, np.uint64), part(16, 24, np.int64)
-        place, start = part(24, 28, np.uint32), part(28, 32, np.uint32)
+        a, b, ids = part(0, 8, np.uint64), part(8, 12, np.uint32), part(12, 20, np.int64)
+        place, start = part(20, 24, np.uint32), part(24, 28, np.uint32)
         order = np.lexsort((place, ids, b, a))
         head = np.flatnonzero(np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)]))
         lead = np.empty(len(a), np.int64)

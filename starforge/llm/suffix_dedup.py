@@ -91,7 +91,8 @@ class Strings:
         self.n = np.diff(np.append(first, len(at)))                 # windows in it
         self.size = self.n + width - 1
         self.doc = own[first]
-        self.seed = h[place[first]]                                 # the minimizer
+        self.seed = mixed(h[place[first]] + np.uint64(1))           # the minimizer, hashed anew:
+        # as the smallest of its neighbours its own hash is far from uniform
         self.offset = place[first] - self.start                     # its place in the string
         self.h = h
 
@@ -269,6 +270,8 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: list[str] = (), id_c
         here[np.repeat(start[later], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] = True
         rows = [(-1 - c.number % buckets, c.number, _pairs(*runs(here)))]
         start, size, ids, home, offset = (x[~later] for x in (start, size, ids, home, offset))
+        order = np.lexsort((start, home))               # in text order: compresses well
+        start, size, ids, home, offset = (x[order] for x in (start, size, ids, home, offset))
         cut_at = np.searchsorted(home, np.arange(buckets + 1))
         for k in np.flatnonzero(np.diff(cut_at)):
             p = slice(cut_at[k], cut_at[k + 1])
