@@ -45,7 +45,7 @@ def pack(docs: DataFrame, name: str, keep: list[str] = (), id_col: str = "doc_id
     def chunks(batches):
         import zstandard
         from pyspark import TaskContext
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         number = TaskContext.get().partitionId() << 32
         held, size = [], 0
 
@@ -126,6 +126,14 @@ ENTRIES = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("data", pa.
 ENTRIES_SQL = "bucket int, chunk long, data binary"
 
 
+def coded(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of different hashes by bucket and code, first place of each bucket
+    in it, and the codes.  Ascending codes compress in byte planes."""
+    home, code = bucket_of(h, buckets), (h & np.uint64((1 << CODE_BITS) - 1)).astype(np.uint32)
+    order = np.argsort((home << 32) | code)
+    return order, np.searchsorted(home, np.arange(buckets + 1)), code[order]
+
+
 def state_codes(chunks: DataFrame, fingerprints, buckets: int) -> DataFrame:
     """One row per chunk and bucket with the codes of the chunk's different
     fingerprints.  ``fingerprints(chunk)`` gives sorted unique 64-bit hashes
@@ -135,12 +143,13 @@ def state_codes(chunks: DataFrame, fingerprints, buckets: int) -> DataFrame:
             for row in b.to_pylist():
                 c = Chunk(row)
                 h, anchor = fingerprints(c)
-                code = ((h & np.uint64((1 << CODE_BITS) - 1)) << np.uint64(1)).astype(np.uint32) | anchor
-                at = np.searchsorted(bucket_of(h, buckets), np.arange(buckets + 1))
+                order, at, code = coded(h, buckets)
+                code = (anchor[order] << np.uint32(31)) | code
                 full = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full, pa.int32()), pa.array([c.number] * len(full), pa.int64()),
-                     pa.array([code[at[k]:at[k + 1]].tobytes() for k in full], pa.binary())], schema=ENTRIES)
+                     pa.array([code[at[k]:at[k + 1]].view(np.uint8).reshape(-1, 4).T.tobytes()
+                               for k in full], pa.binary())], schema=ENTRIES)
     return chunks.mapInArrow(run, ENTRIES_SQL)
 
 
@@ -151,13 +160,14 @@ def find_repeats(codes: DataFrame, hot: int) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         data = t.column("data").to_pylist()
         sizes = np.array([len(x) // 4 for x in data], np.int64)
-        raw = np.frombuffer(b"".join(data), np.uint32)
-        code = raw >> np.uint32(1)
+        raw = np.concatenate([np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T) for x in data])
+        raw = raw.reshape(-1).view(np.uint32)
+        code = raw & np.uint32((1 << CODE_BITS) - 1)
         order = np.argsort(code, kind="stable")
         s = code[order]
         first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
         n = np.diff(np.append(first, len(s)))
-        anchor = np.maximum.reduceat(raw[order] & np.uint32(1), first)
+        anchor = np.maximum.reduceat(raw[order] >> np.uint32(31), first)
         mark = np.where((n > 1) & (anchor > 0), np.where(n > hot, 2, 1), 0).astype(np.uint8)
         marks = np.empty(len(s), np.uint8)
         marks[order] = np.repeat(mark, n)
@@ -175,12 +185,12 @@ def find_repeats(codes: DataFrame, hot: int) -> DataFrame:
 
 def marks_of(h: np.ndarray, replies: pa.Table, buckets: int) -> np.ndarray:
     """The replies of :func:`find_repeats` laid over the chunk's own ``h``."""
-    at = np.searchsorted(bucket_of(h, buckets), np.arange(buckets + 1))
+    order, at, _ = coded(h, buckets)
     out = np.zeros(len(h), np.uint8)
     for bucket, data in zip(replies.column("bucket").to_pylist(), replies.column("data").to_pylist()):
         n = len(data) // 5
         k = np.frombuffer(data[:4 * n], np.uint32)
-        out[at[bucket] + k.astype(np.int64)] = np.frombuffer(data[4 * n:], np.uint8)
+        out[order[at[bucket] + k.astype(np.int64)]] = np.frombuffer(data[4 * n:], np.uint8)
     return out
 
 
