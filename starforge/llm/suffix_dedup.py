@@ -66,21 +66,35 @@ def seed_hashes(b: np.ndarray, k: int = SEED) -> np.ndarray:
     return mixed(h)
 
 
-class Strings:
-    """Runs of windows of one text that share a minimizer place."""
-
-    def __init__(self, c: Chunk, width: int):
-        h = seed_hashes(c.bytes)
-        size = max(0, len(c.bytes) - width + 1)
-        key = (h & ~np.uint64(0xFFFFFFFF)) | np.arange(len(h), dtype=np.uint64)
-        want, step = width - SEED + 1, 1            # places of a seed in a window
-        low = key
+BLOCK = 1 << 15     # places worked on at a time: the arrays stay in the cache
+
+
+def minimizers(b: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every window the place of its minimizer (the first of equal ones),
+    and the hashes of the seeds at all places."""
+    size, want = max(0, len(b) - width + 1), width - SEED + 1
+    h, place = np.empty(max(0, len(b) - SEED + 1), np.uint64), np.empty(size, np.int64)
+    for s in range(0, size, BLOCK):
+        n = min(BLOCK, size - s)
+        part = seed_hashes(b[s:s + n + width - 1])
+        h[s:s + len(part)] = part
+        low = (part & ~np.uint64(0xFFFFFFFF)) | np.arange(len(part), dtype=np.uint64)
+        step = 1
         while 2 * step <= want:
             low = np.minimum(low[:-step], low[step:])
             step *= 2
         if want > step:
             low = np.minimum(low[:-(want - step)], low[want - step:])
-        place = (low[:size] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        place[s:s + n] = (low & np.uint64(0xFFFFFFFF)).astype(np.int64) + s
+    return h, place
+
+
+class Strings:
+    """Runs of windows of one text that share a minimizer place."""
+
+    def __init__(self, c: Chunk, width: int):
+        h, place = minimizers(c.bytes, width)
+        size = len(place)
         doc = np.repeat(np.arange(len(c.ids)), c.lengths)
         whole = doc[:size] == doc[width - 1:width - 1 + size] if size else np.zeros(0, bool)
         at = np.flatnonzero(whole)                  # windows inside one text
@@ -94,7 +108,6 @@ class Strings:
         self.seed = mixed(h[place[first]] + np.uint64(1))           # the minimizer, hashed anew:
         # as the smallest of its neighbours its own hash is far from uniform
         self.offset = place[first] - self.start                     # its place in the string
-        self.h = h
 
 
 def index(c: Chunk, width: int):
@@ -170,7 +183,8 @@ def merge(shards: list[Shard], begin: np.ndarray, rounds: int) -> tuple[np.ndarr
     entry comes from, number of its interval of equal prefixes).
 
     The interleave of the other suffixes is not followed: an entry needs its
-    own shard's transform only, and its order among the entries followed."""
+    own shard's transform only, and its order among the entries followed.
+    Entries alone in their interval are settled and left out from then on."""
     size = [len(s.bwt) for s in shards]
     base = np.cumsum(size) - size
     symbols = np.concatenate([s.bwt for s in shards])
@@ -181,7 +195,7 @@ def merge(shards: list[Shard], begin: np.ndarray, rounds: int) -> tuple[np.ndarr
     which = np.argsort(begin, kind="stable").astype(np.int32)       # shard after shard, as sorted there
     rank = begin[which].astype(np.int32)
     interval = np.zeros(len(rank), np.int32)
-    for _ in range(rounds):
+    for k in range(1, rounds + 1):
         now = symbols[rank]
         move = np.argsort(now, kind="stable")
         now, old = now[move], interval[move]
@@ -189,8 +203,12 @@ def merge(shards: list[Shard], begin: np.ndarray, rounds: int) -> tuple[np.ndarr
         new = (now[1:] != now[:-1]) | (old[1:] != old[:-1])
         interval = np.zeros(len(rank), np.int32)
         np.cumsum(new, out=interval[1:])
-        if interval[-1] == len(rank) - 1:
-            break
+        if k % 4 == 0 and len(rank):
+            shared = ~(np.append(True, new) & np.append(new, True))
+            if not shared.all():
+                rank, which, interval = rank[shared], which[shared], interval[shared]
+                if not len(rank):
+                    break
     return which, interval
 
 
@@ -214,11 +232,11 @@ def smallest_by_window(strings: list[bytes], ids: np.ndarray, width: int,
             shards.append(shard)
             size, first = 0, i + 1
     which, interval = merge(shards, np.concatenate(begin), width)
-    head = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
-    owner = np.repeat(np.asarray(ids, np.int64), n)
-    low = np.minimum.reduceat(owner[which], head)
-    out = np.empty(len(which), np.int64)
-    out[which] = np.repeat(low, np.diff(np.append(head, len(which))))
+    out = np.repeat(np.asarray(ids, np.int64), n)
+    if len(which):
+        head = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
+        low = np.minimum.reduceat(out[which], head)
+        out[which] = np.repeat(low, np.diff(np.append(head, len(which))))
     return out, base
 
 
