@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starforge.llm import (language_id, license_scan, mixing, quality_rules,
+import corpus_pipeline
+from starforge.llm import (embedding_dedup, language_id, license_scan,
+                           minhash_dedup, mixing, quality_rules,
                            sentencepiece_codec, substring_dedup, suffix_dedup,
                            toxicity)
 from starforge.llm.common import table
@@ -22,6 +24,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.minhash_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", substring_dedup.removed_length().alias("n_removed"),
@@ -47,19 +53,24 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_license_scan, op4_substring_dedup,
-                                    op5_language_id, op6_sentencepiece, op7_suffix_dedup,
-                                    op8_mixing, op10_quality_rules)}
+    ops = (op1_toxicity, op2_license_scan, op3_minhash_dedup, op4_substring_dedup, op5_language_id,
+           op6_sentencepiece, op7_suffix_dedup, op8_mixing, op9_embedding_dedup, op10_quality_rules)
+    return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     """Statements of the operators that SQL can express."""
     return {"op2_license_scan": license_scan.license_sql(),
+            "op3_minhash_dedup": minhash_dedup.minhash_sql(),
             "op4_substring_dedup": substring_dedup.substring_sql(),
             "op7_suffix_dedup": suffix_dedup.suffix_sql(), "op8_mixing": mixing.mix_sql(),
             "op10_quality_rules": quality_rules.quality_sql()}

@@ -18,9 +18,8 @@ Defined results: NULL text: NULL ids, 0 pieces; empty text: no pieces.  Equal
 scores: the longest last piece wins.  Repeated rows repeat their result.
 """
 
-from __future__ import annotations
-
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -141,17 +140,20 @@ def piece_bytes(vocab: dict) -> list[bytes]:
     return out
 
 
+def encode_udf(vocab: dict):
+    """Text -> ids."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = Encoder(vocab)
+        for texts in batches:
+            yield pd.Series([None if t is None else encoder.encode(t) for t in texts], dtype=object)
+    return F.pandas_udf(run, "array<int>")
+
+
 def sp_encode(docs: DataFrame, vocab: dict | None = None, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """doc_id, text, ids (array of int) of every row."""
     vocab = vocab or load_vocabulary()
-
-    def run(batches):
-        encoder = Encoder(vocab)
-        for b in batches:
-            ids = [None if t is None else encoder.encode(t) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "text": b["text"], "ids": ids})
-    return id_text(docs, id_col, text_col).mapInPandas(run, "doc_id long, text string, ids array<int>")
+    return id_text(docs, id_col, text_col).withColumn("ids", encode_udf(vocab)("text"))
 
 
 def sp_decode(encoded: DataFrame, vocab: dict | None = None, ids_col: str = "ids") -> DataFrame:

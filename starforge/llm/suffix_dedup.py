@@ -243,9 +243,10 @@ def smallest_by_window(strings: list[bytes], ids: np.ndarray, width: int,
 # -- the job --------------------------------------------------------------
 
 def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: list[str] = (), id_col: str = "doc_id",
-                 text_col: str = "text", hot: int = HOT) -> DataFrame:
+                 text_col: str = "text", hot: int = HOT, as_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, spans (array of removed runs: first byte, byte after the
-    last), kept (the bytes left), rest (columns ``keep``)."""
+    last), kept (the bytes left; with ``as_text`` a string, without characters of
+    which a part was removed), rest (columns ``keep``)."""
     chunks = pack(docs, "suffix-chunks", keep, id_col, text_col)
     buckets = n_buckets(chunks)
 
@@ -324,10 +325,13 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: list[str] = (), id_c
         return result_table(c, {
             "n_bytes": pa.array(c.lengths, pa.int64()),
             "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            "kept": pa.array(kept, pa.binary())})
+            "kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text
+            else pa.array(kept, pa.binary())})
 
     return with_chunks(chunks, late, drop, result_schema(
-        docs, list(keep), "n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary"))
+        docs, list(keep),
+        "n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept "
+        + ("string" if as_text else "binary")))
 
 
 def _pairs(lo: np.ndarray, hi: np.ndarray) -> bytes:

@@ -23,18 +23,17 @@ classes the lexicon is empty and every score is 0.  Rows are scored one by one
 (repeated rows repeat their score).
 """
 
-from __future__ import annotations
-
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import held_out, id_text
+from starforge.llm.common import cut, held_out, id_text
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000     # labelled documents learned from, at most
 MIN_DOCS, MIN_ODDS, MIN_SHARE = 5, 1.5, 0.4
@@ -168,7 +167,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
 
 def learn(docs: DataFrame, labels: DataFrame) -> dict:
     """Lexicon, exceptions and logistic weights from the labelled sample."""
-    from starforge.llm.common import cut
     sample = cut(labelled_sample(docs, labels), "toxicity-sample").repartition(8)
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1) or not n.get(0):
@@ -196,28 +194,36 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
                               & F.substring("pattern", 1, 5).isin([s[:5] for s in stems])).toPandas()
         _, learned = choose_lexicon(pd.concat([strong, words]).drop_duplicates("pattern"), n[1], n[0])
     model = {"lexicon": lexicon, "exceptions": [*(f" {e} " for e in EXCEPTIONS), *learned]}
-    got = sample.select(F.lit(None).cast("long").alias("doc_id"), "text", "y")
-    x = got.mapInPandas(matcher(model, keep=["y"]),
-                        "doc_id long, y int, weight double, n_hits long, n_distinct long, n_words long").toPandas()
+    x = (sample.select("y", match_udf(model)("text").alias("m")).select("y", "m.*")).toPandas()
     model["weights"] = fit_logistic(features(x["weight"], x["n_hits"], x["n_distinct"], x["n_words"]),
                                     x["y"].to_numpy(float))
     return model
 
 
-def matcher(model: dict, keep: list[str]):
-    def run(batches):
+def match_udf(model: dict):
+    """Text -> weight, n_hits, n_distinct, n_words."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fold, a = folder(), automaton(model["lexicon"], model["exceptions"])
-        for b in batches:
+        for texts in batches:
             rows = []
-            for text in b["text"]:
+            for text in texts:
                 folded = fold(text)
                 rows.append((*match(a, folded), folded.count(" ") - 1 if len(folded) > 2 else 0))
-            out = pd.DataFrame(rows, columns=["weight", "n_hits", "n_distinct", "n_words"])
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
-            for k in reversed(keep):
-                out.insert(1, k, b[k].to_numpy())
-            yield out.astype({"weight": float})
-    return run
+            yield pd.DataFrame(rows, columns=["weight", "n_hits", "n_distinct", "n_words"]).astype(
+                {"weight": float, "n_hits": "int64", "n_distinct": "int64", "n_words": "int64"})
+    return F.pandas_udf(run, "weight double, n_hits long, n_distinct long, n_words long")
+
+
+def score_of(m: str, weights) -> Column:
+    """The logistic score of a match struct column."""
+    if weights is None:
+        return F.lit(0.0)
+    terms = [F.lit(1.0), (F.col(f"{m}.weight") > 0).cast("double"), F.log1p(f"{m}.weight"),
+             F.log1p(100 * F.col(f"{m}.weight") / (F.col(f"{m}.n_words") + 20)), F.log1p(f"{m}.n_distinct")]
+    z = F.lit(0.0)
+    for b, t in zip(weights, terms):
+        z = z + F.lit(float(b)) * t
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -226,17 +232,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     n_words."""
     d = id_text(docs, id_col, text_col)
     model = model or learn(d, labels)
-    out = d.mapInPandas(matcher(model, []),
-                        "doc_id long, weight double, n_hits long, n_distinct long, n_words long")
-    if model["weights"] is None:
-        score = F.lit(0.0)
-    else:
-        terms = [F.lit(1.0), (F.col("weight") > 0).cast("double"), F.log1p("weight"),
-                 F.log1p(100 * F.col("weight") / (F.col("n_words") + 20)), F.log1p("n_distinct")]
-        z = F.lit(0.0)
-        for b, t in zip(model["weights"], terms):
-            z = z + F.lit(float(b)) * t
-        score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
-                      "weight", "n_hits", "n_words").withColumn(
-        "predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    out = d.select("doc_id", match_udf(model)("text").alias("m"))
+    out = out.select("doc_id", "m", score_of("m", model["weights"]).alias("score"))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+                      "m.weight", "m.n_hits", "m.n_words")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows that are not predicted toxic, all columns."""
+    model = learn(id_text(docs), labels)
+    m = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                    match_udf(model)(docs["text"].cast("string")).alias("m"))
+    return m.filter(score_of("m", model["weights"]) < THRESHOLD).select("row.*")
