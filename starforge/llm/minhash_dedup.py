@@ -34,6 +34,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +79,17 @@ def shingle_sets(texts: list[str | None], shingle: int = SHINGLE):
     return h, np.bincount(doc, minlength=len(texts)) if len(texts) else np.zeros(0, np.int64)
 
 
+def portions(batch: pa.RecordBatch, size: int = 1 << 20):
+    """The batch in runs of rows with about ``size`` bytes of text."""
+    ends = np.cumsum(np.array(pc.fill_null(pc.binary_length(batch.column("text")), 0)))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def sketches(h: np.ndarray, sizes: np.ndarray) -> tuple[list, np.ndarray]:
     """Fingerprint (16 bytes, None for the empty set) and minhashes of each set."""
     some = np.flatnonzero(sizes)
@@ -168,7 +180,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
     def full(batches):
-        for b in batches:
+        for b in (p for whole in batches for p in portions(whole)):
             h, sizes = shingle_sets(b.column("text").to_pylist())
             prints, _ = sketches(h, sizes)
             # the upper bytes of each hash, in byte planes (sorted: they compress)
@@ -207,7 +219,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     d = id_text(docs, id_col, text_col)
 
     def sketch(batches):
-        for b in batches:
+        for b in (p for whole in batches for p in portions(whole)):
             h, sizes = shingle_sets(b.column("text").to_pylist())
             prints, mins = sketches(h, sizes)
             yield pa.RecordBatch.from_arrays(
