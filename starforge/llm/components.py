@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +37,17 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select("v", "v").toDF("node", "root")).distinct()
+
+
+def local_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest member of each one's component, by repeated minima over links."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.llm.common import cut
-from starforge.llm.components import components
+from starforge.llm.components import components, local_roots
 
 COSINE = 0.95
 SAMPLE, SHARD_ROWS, MAX_SHARDS, OVERLAP = 16_384, 400, 2048, 3
@@ -161,20 +161,6 @@ def range_search(x: np.ndarray, adjacency: list[np.ndarray], q: np.ndarray,
     return tuple(np.concatenate(exact[k]) if exact[k] else np.zeros(0, np.int64) for k in "ijc")
 
 
-def local_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest member of each one's component, by repeated minima over links."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""

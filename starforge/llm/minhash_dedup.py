@@ -15,9 +15,11 @@ threshold a pair is missed by all tables with a chance of about
    the sizes and the sketches allow the threshold (a linked pair fails the
    sketch test, ``AGREE`` of the minhashes, with a chance below 1e-3).
 3. Named pairs are confirmed on full sets; links give components.
-4. Larger buckets that still hold several components name the pairs between
-   different components, in blocks, so that nothing is lost where the hubs were
-   not linked to all; these are confirmed too.
+4. In larger buckets that still hold several components the pairs between
+   different components are compared too, block by block, so that nothing is
+   lost where the hubs were not linked to all.  The full sets are sent to the
+   blocks once per node, and a block gives out a tree of each component it
+   finds, not its pairs.
 
 No pairs inside a component are listed beyond the hubs', so a group of many
 copies costs a multiple of its size.  Sets travel for named pairs only.
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.llm.common import LOWER, UPPER, cut, id_text
-from starforge.llm.components import components
+from starforge.llm.components import components, local_roots
 from starforge.llm.passages import mixed
 from starforge.llm.substring_dedup import Words, gram_hashes, grams
 
@@ -49,7 +51,7 @@ MINHASHES = 2 * SIDE * PAIR
 AGREE = 16                  # of MINHASHES
 ALL_PAIRS, HUBS = 12, 4     # buckets up to ALL_PAIRS name all pairs
 BLOCK = 2048                # members of a large bucket compared at a time
-GROUP_ROWS = 50_000
+GROUP_ROWS = 20_000
 BROADCAST_ROWS = 100_000
 HASH_BYTES = 5              # of a shingle's hash, in the sets that travel
 
@@ -173,10 +175,15 @@ def _members(t: pa.Table):
             np.diff(np.append(starts, len(key))), t)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = cut(ids.join(nodes, "node").select("node", "doc_id"), "near-nodes")
+def hashes_of(packed: bytes) -> np.ndarray:
+    """The hashes of a packed set, ascending."""
+    p = np.frombuffer(packed, np.uint8).reshape(HASH_BYTES, -1).T.astype(np.uint64)
+    return sum(p[:, k] << np.uint64(8 * (HASH_BYTES - 1 - k)) for k in range(HASH_BYTES))
+
+
+def full_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, hashes) of the nodes in ``wanted``, from the texts."""
+    ids = cut(wanted.join(nodes, "node").select("node", "doc_id"), "near-wanted")
     side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
     def full(batches):
@@ -194,17 +201,19 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     sets = (docs.join(side, "doc_id").select("text", "node")
             .mapInArrow(full, "print binary, node binary, hashes binary")
             .filter("print = node").groupBy("node").agg(F.first("hashes").alias("hashes")))
-    sets = cut(sets, "near-sets")
-    both = (pairs.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b"))
+    return cut(sets, "near-sets")
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, nodes)
+    both = pairs.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
 
     def check(batches):
-        def hashes(x):
-            p = np.frombuffer(x, np.uint8).reshape(HASH_BYTES, -1).T.astype(np.uint64)
-            return sum(p[:, k] << np.uint64(8 * (HASH_BYTES - 1 - k)) for k in range(HASH_BYTES))
         for b in batches:
             keep = []
             for i, (x, y) in enumerate(zip(b.column("ha").to_pylist(), b.column("hb").to_pylist())):
-                x, y = hashes(x), hashes(y)
+                x, y = hashes_of(x), hashes_of(y)
                 s = np.sort(np.concatenate([x, y]))
                 inter = int((s[1:] == s[:-1]).sum())
                 if 100 * inter >= PERCENT * (len(x) + len(y) - inter):
@@ -214,6 +223,28 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "ha", "hb").mapInArrow(check, "a binary, b binary")
 
 
+def linked(x: np.ndarray, y: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """Whether the sets x and y of each pair reach the threshold."""
+    order = np.argsort(x, kind="stable")
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(s) for s in sets])
+    start = np.cumsum(size) - size
+    mark = np.zeros(int(flat.max()) + 1, bool)
+    ok = np.zeros(len(x), bool)
+    heads = np.flatnonzero(np.diff(x[order], prepend=-1))
+    for lo, hi in zip(heads, np.append(heads[1:], len(x))):
+        i, rows = x[order[lo]], order[lo:hi]
+        mark[flat[start[i]:start[i] + size[i]]] = True
+        for part in np.array_split(rows, size[y[rows]].sum() // 2_000_000 + 1):
+            n = size[y[part]]
+            first = np.cumsum(n) - n
+            at = np.repeat(start[y[part]] - first, n) + np.arange(n.sum())
+            inter = np.add.reduceat(mark[flat[at]], first, dtype=np.int64)
+            ok[part] = 100 * inter >= PERCENT * (size[i] + n - inter)
+        mark[flat[start[i]:start[i] + size[i]]] = False
+    return ok
+
+
 def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     d = id_text(docs, id_col, text_col)
@@ -227,8 +258,8 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  pa.array([m.tobytes() for m in mins], pa.binary())], names=["doc_id", "n", "node", "sketch"])
 
     rows = cut(d.mapInArrow(sketch, "doc_id long, n long, node binary, sketch binary"), "near-sketches")
-    linked = rows.filter("doc_id is not null and node is not null")
-    nodes = cut(linked.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+    able = rows.filter("doc_id is not null and node is not null")
+    nodes = cut(able.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                            F.first("sketch").alias("sketch")), "near-nodes")
 
     def keys(batches):
@@ -261,12 +292,12 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pairs = cut(dealt.withColumn("g", at).groupBy("g").applyInArrow(name_pairs, "a binary, b binary").distinct(),
                 "near-pairs")
     # rows that share an id belong together
-    same_id = (linked.select("doc_id", "node").distinct().join(nodes.select("doc_id", F.col("node").alias("b")), "doc_id")
+    same_id = (able.select("doc_id", "node").distinct().join(nodes.select("doc_id", F.col("node").alias("b")), "doc_id")
                .filter("node <> b").select(F.col("node").alias("a"), "b"))
     links = cut(confirm(pairs, d, nodes.select("node", "doc_id")).unionByName(same_id), "near-links")
     comp = cut(components(links), "near-components")
 
-    def name_between(t: pa.Table) -> pa.Table:
+    def link_between(t: pa.Table, full: pa.Table) -> pa.Table:
         ids, table, n, mins, starts, sizes, t = _members(t)
         root = np.array(t.column("root").to_pylist(), object)
         block = t.column("block").to_numpy()
@@ -283,8 +314,17 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 ok = named(x, y, table, n, mins)
                 xs.append(x[ok])
                 ys.append(y[ok])
-        x, y = (np.concatenate(xs), np.concatenate(ys)) if xs else (np.zeros(0, np.int64),) * 2
-        return _pairs_table(ids, x, y)
+        if not sum(map(len, xs)):
+            return PAIRS.empty_table()
+        # confirmed here, and only the way to each component's first node goes out
+        names = full.column("node").to_pylist()
+        number = {v: i for i, v in enumerate(names)}
+        of = np.array([number[v] for v in ids], np.int64)
+        x, y = of[np.concatenate(xs)], of[np.concatenate(ys)]
+        ok = linked(x, y, [hashes_of(h) for h in full.column("hashes").to_pylist()])
+        root = local_roots(x[ok], y[ok], len(names))
+        moved = np.flatnonzero(root != np.arange(len(names)))
+        return _pairs_table(np.array(names, object), moved, root[moved])
 
     # large buckets with several components left, by pairs of blocks
     open_rows = (members.filter(F.col("c") > ALL_PAIRS).join(comp, "node", "left")
@@ -296,11 +336,14 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     open_rows = (open_rows.withColumn("o", others).withColumn("bi", F.least("block", "o"))
                  .withColumn("bj", F.greatest("block", "o")).withColumn("g", at))
-    between = cut(open_rows.select("key", "t", "node", "n", "sketch", "root", "block", "bi", "bj", "g")
-                  .groupBy("g").applyInArrow(name_between, "a binary, b binary").distinct(), "near-between")
-    if between.count():
-        more = confirm(between, d, nodes.select("node", "doc_id"))
-        links = cut(comp.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "near-links")
+    open_rows = cut(open_rows.select("key", "t", "node", "n", "sketch", "root", "block", "bi", "bj", "g"),
+                    "near-open")
+    rest = cut(open_rows.select("g", "node").distinct(), "near-rest")
+    sets = full_sets(rest.select("node").distinct(), d, nodes.select("node", "doc_id"))
+    more = cut(open_rows.groupBy("g").cogroup(rest.join(sets, "node").groupBy("g"))
+               .applyInArrow(link_between, "a binary, b binary"), "near-between")
+    if more.count():
+        links = comp.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
         comp = cut(components(links), "near-components")
 
     labels = nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
