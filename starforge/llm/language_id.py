@@ -24,7 +24,7 @@ from starforge.llm.common import held_out, id_text
 
 DOCS_PER_LANG, SEGMENTS_PER_DOC = 300, 3
 HIDDEN, SEGMENT, TRAIN_SEGMENT = 8, 128, 64
-EPOCHS, BATCH, RATE, SEED = 5, 64, 0.01, 7
+STEPS, BATCH, RATE, SEED = 300, 64, 0.01, 7
 
 
 def init_params(n_langs: int, hidden: int = HIDDEN, seed: int = SEED) -> dict[str, np.ndarray]:
@@ -102,14 +102,15 @@ def loss_and_grad(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     return float(loss), grad
 
 
-def train(x: np.ndarray, y: np.ndarray, n_langs: int, epochs: int = EPOCHS, seed: int = SEED) -> dict:
-    """Adam on segments ``x`` (N, T) with labels ``y`` (N,)."""
+def train(x: np.ndarray, y: np.ndarray, n_langs: int, steps: int = STEPS, seed: int = SEED) -> dict:
+    """Adam on segments ``x`` (N, T) with labels ``y`` (N,): ``steps`` batches,
+    whatever the size of the sample."""
     p = init_params(n_langs, seed=seed)
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
     r, step = np.random.default_rng(seed), 0
-    for _ in range(epochs):
+    while step < steps:
         order = r.permutation(len(x))
-        for i in range(0, len(x), BATCH):
+        for i in range(0, len(x), BATCH)[:steps - step]:
             pick = order[i:i + BATCH]
             _, g = loss_and_grad(p, np.ascontiguousarray(x[pick].T), y[pick])
             step += 1
