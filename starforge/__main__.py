@@ -68,7 +68,7 @@ def main(argv=None) -> int:
                           "input_rows": r.input_rows, "dropped": r.dropped,
                           "sinks": [vars(x) for x in r.sinks]}))
     spark.stop()
-    return 0
+    return 0 if all(x.ok for r in reports for x in r.sinks) else 1
 
 
 if __name__ == "__main__":

@@ -41,7 +41,10 @@ def to_int(col) -> Column:
 
 
 def to_long(col) -> Column:
-    return _c(col).cast("string").try_cast("double").try_cast("bigint")
+    """Text -> bigint, exact to 19 digits: whole numbers directly, ``'7.0'``
+    through a decimal (a double would merge ids above 2^53); else NULL."""
+    text = _c(col).cast("string")
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,9)").try_cast("bigint"))
 
 
 def parse_date(col, fmt: str | None = None) -> Column:

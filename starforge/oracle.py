@@ -135,7 +135,8 @@ def to_int(c: str) -> str:
 
 
 def to_long(c: str) -> str:
-    return f"TRY_CAST(TRY_CAST({c} AS DOUBLE) AS BIGINT)"
+    return (f"CASE WHEN regexp_full_match(trim({c}), '[+-]?[0-9]+') THEN TRY_CAST({c} AS BIGINT) "
+            f"ELSE TRY_CAST(trunc(TRY_CAST({c} AS DECIMAL(38, 9))) AS BIGINT) END")
 
 
 def iso_date(c: str) -> str:

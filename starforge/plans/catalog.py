@@ -69,9 +69,12 @@ def _silver_sql(entity: str, cte: str) -> str:
 # ---------------------------------------------------------------- sources
 @register("csv_semicolon_scan", O.select_all("b_historico", BRONZE["historico"].names))
 def csv_semicolon_scan(spark, sf_dir):
-    """Land the proposal extract as ';' text, scan it with the fixed schema."""
+    """Land the proposal extract as ';' text with its columns in another
+    order and one more, scan it with the fixed schema."""
     path = scratch_path(spark, "historico_csv")
-    write_csv(W(spark, sf_dir).bronze("historico"), path, sep=";")
+    src = W(spark, sf_dir).bronze("historico")
+    write_csv(src.select(F.lit("x").alias("EXTRA"), *[F.col(f"`{c}`") for c in reversed(src.columns)]),
+              path, sep=";")
     return read_csv(spark, path, BRONZE["historico"], sep=";")
 
 
@@ -311,11 +314,11 @@ def q_cast_int(spark, sf_dir):
 
 
 @register("parse_date_iso", O.sql(
-    f"SELECT NR_PROPOSTA, DT_UPLOAD, {O.iso_date('DT_UPLOAD')} AS dt_upload FROM b_historico"))
+    f"SELECT NR_PROPOSTA, DT_UPLOAD AS texto, {O.iso_date('DT_UPLOAD')} AS dt_upload FROM b_historico"))
 def q_parse_iso(spark, sf_dir):
     """Patterned date; trailing time text -> NULL."""
     b = W(spark, sf_dir).bronze("historico")
-    return b.select("NR_PROPOSTA", "DT_UPLOAD", parse_date("DT_UPLOAD", ISO_DATE).alias("dt_upload"))
+    return b.select("NR_PROPOSTA", col("DT_UPLOAD").alias("texto"), parse_date("DT_UPLOAD", ISO_DATE).alias("dt_upload"))
 
 
 @register("parse_date_default", O.sql(

@@ -19,6 +19,7 @@ from starforge.operators import (dense_key, enrich, fill_zero, identity_of, look
                                  union_by_name)
 from starforge.plans.dims import client_keys, products_by_name
 from starforge.schemas import GOLD_COLUMNS
+from starforge.session import materialize
 
 SURVEY_SCHEMA = "cd_cliente string, dt_resposta date, ds_nota int, tipo_nps string, cd_prod string"
 
@@ -38,14 +39,16 @@ def _clients(dim_client: DataFrame, expand_grain: bool) -> DataFrame:
 def contracts_base(history: DataFrame, contracts_12m: DataFrame, dim_client: DataFrame,
                    dim_product: DataFrame, dim_time: DataFrame,
                    expand_grain: bool = False) -> DataFrame:
-    """PL16 before numbering.  The client lookup and the 12-month metric
-    both join on the client code, back to back, so a shuffle join reuses
-    one hash partitioning of the fact; product and calendar are bounded
-    lookups (broadcast behind a size check)."""
-    df = lookup(history, _clients(dim_client, expand_grain),
-                [("cd_cliente", "CD_CLIENTE")], ["SK_CLIENTE"])
-    metric = contracts_12m.select("cd_cliente", "vlr_contratacoes_12m")
-    df = enrich(df, metric, "cd_cliente", "left")
+    """PL16 before numbering.  The client key and the 12-month metric (one
+    row per client: the largest value, should an extract repeat a client)
+    are first written as one client-grain table, so the fact has a single
+    join on the client code, which AQE can split on a hot client; product
+    and calendar are bounded lookups (broadcast behind a size check)."""
+    metric = contracts_12m.groupBy(F.col("cd_cliente").alias("CD_CLIENTE")).agg(
+        F.max("vlr_contratacoes_12m").alias("vlr_contratacoes_12m"))
+    clients = _clients(dim_client, expand_grain).join(metric, "CD_CLIENTE", "left")
+    df = lookup(history, materialize(clients, "client-grain"),
+                [("cd_cliente", "CD_CLIENTE")], ["SK_CLIENTE", "vlr_contratacoes_12m"])
     df = lookup(df, dim_product, [("cd_prod", "CD_PRODUTO")], ["SK_PRODUTO"])
     df = lookup(df, dim_time, [(as_date("dt_upload"), "DATA")], ["SK_TEMPO"])
     out = df.select(

@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="starforge-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -114,6 +116,12 @@ def record_rows(path: str, n: int | None) -> None:
             _WRITTEN_ROWS[path.rstrip("/")] = int(n)
 
 
+def forget_rows(path: str) -> None:
+    """Drop a count that no longer holds (the path was appended to)."""
+    with _ROWS_LOCK:
+        _WRITTEN_ROWS.pop(path.rstrip("/"), None)
+
+
 def rows_at(path: str) -> int | None:
     with _ROWS_LOCK:
         return _WRITTEN_ROWS.get(path.rstrip("/"))

@@ -3,7 +3,7 @@
 The table is computed once: it is written to Parquet first, and every
 other sink is fed from that Parquet copy, so all copies carry identical
 rows and keys and the lineage is never recomputed per sink.  A failing
-sink is reported without blocking the others.
+sink is reported; if the Parquet copy fails, no other sink is written.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from starforge.operators.audit import observe_rows
-from starforge.session import record_rows
+from starforge.session import forget_rows, record_rows
 from starforge.sinks.jdbc import write_jdbc
 from starforge.sinks.parquet import write_parquet
 
@@ -45,18 +45,22 @@ def publish(df: DataFrame, parquet_path: str, jdbc: JdbcTarget | None = None,
     try:
         write_parquet(observed, parquet_path, parquet_mode, sort_within)
         rows = obs.get.get("rows")
+        forget_rows(parquet_path)
         if parquet_mode == "overwrite":
             record_rows(parquet_path, rows)
         results.append(SinkResult("parquet", True, rows))
-    except Exception as e:  # noqa: BLE001 - reported, other sinks still run
-        results.append(SinkResult("parquet", False, error=str(e)[:500]))
-    if jdbc is not None:
+    except Exception as e:  # noqa: BLE001 - reported
+        forget_rows(parquet_path)
+        results.append(SinkResult("parquet", False, error=str(e)))
+    if jdbc is not None and not results[0].ok:
+        results.append(SinkResult("jdbc", False, error="not written: the Parquet copy failed"))
+    elif jdbc is not None:
         try:
-            source = df.sparkSession.read.parquet(parquet_path) if results[0].ok else df
+            source = df.sparkSession.read.parquet(parquet_path)
             write_jdbc(source, jdbc.url, jdbc.table, jdbc.mode, jdbc.properties)
             results.append(SinkResult("jdbc", True, results[0].rows))
         except Exception as e:  # noqa: BLE001
-            results.append(SinkResult("jdbc", False, error=str(e)[:500]))
+            results.append(SinkResult("jdbc", False, error=str(e)))
     return results
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
@@ -13,12 +14,23 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
 
     ``path`` may be a file, a directory or a glob (``.../telemetria_*``):
     every matching file becomes part of one table, and each file's header
-    line is skipped.  With a fixed ``schema`` there is no inference pass
-    (one scan, no type drift between extracts); ``infer=True`` is the
-    opt-in extra pass over the data.
+    line is skipped.  With a fixed ``schema`` the columns are found by their
+    header names: a file may hold more columns, in any order.  Only the
+    header line is read for that; there is no inference pass and no type
+    drift.  A name the header lacks raises, and so does (while scanning) a
+    file of the glob whose header differs from the first one's.
+    ``infer=True`` is the opt-in extra pass over the data.
     """
     reader = (spark.read.option("sep", sep).option("header", header)
               .option("mode", mode).option("encoding", "UTF-8"))
+    if schema is not None and header:
+        names = reader.csv(path).columns
+        missing = [f.name for f in schema if f.name not in names]
+        if missing:
+            raise ValueError(f"{path}: no column {missing} in the header {names}")
+        text = StructType([StructField(n, StringType()) for n in names])
+        df = reader.schema(text).option("enforceSchema", False).csv(path)
+        return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:

@@ -64,3 +64,10 @@ def test_null_policies(spark):
                                "t string, score double, m double")
     out = fill_zero(fill_missing_score(fill_unknown(df, ["t"]), ["score"]), ["m"]).collect()
     assert [tuple(r) for r in out] == [("Nao Informado", -1.0, 0.0), ("x", 2.0, 3.0)]
+
+
+def test_to_long_is_exact(spark):
+    from starforge.functions.parsing import to_long
+    texts = ["9007199254740993", "9007199254740992", "7.0", " 12 ", "n/d", None, "9223372036854775807"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(to_long("t").alias("v"))
+    assert [r.v for r in df.collect()] == [9007199254740993, 9007199254740992, 7, 12, None, None, 9223372036854775807]

@@ -46,3 +46,32 @@ def test_failed_jdbc_copy_does_not_block_parquet(spark, tmp_path):
     assert res[0].sink == "parquet" and res[0].ok and res[0].rows == 7
     assert res[1].sink == "jdbc" and not res[1].ok and res[1].error
     assert spark.read.parquet(str(tmp_path / "g2")).count() == 7
+
+
+def test_csv_columns_are_found_by_header(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("a", "b")])
+    path = tmp_path / "x.csv"
+    path.write_text("b;extra;a\n1;x;C1\n")
+    assert [tuple(r) for r in read_csv(spark, str(path), schema).collect()] == [("C1", "1")]
+    with pytest.raises(ValueError, match="no column"):
+        read_csv(spark, str(path), T.StructType([T.StructField("missing", T.StringType())]))
+
+
+def test_failed_parquet_copy_blocks_the_others(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from starforge.sinks.publish import JdbcTarget, publish
+    bad = spark.range(3).select(F.raise_error(F.lit("boom")).alias("x"))
+    res = publish(bad, str(tmp_path / "t"), JdbcTarget("jdbc:none:", "t"))
+    assert [r.ok for r in res] == [False, False] and "Parquet copy failed" in res[1].error
+
+
+def test_append_clears_the_known_row_count(spark, tmp_path):
+    from starforge.session import rows_at
+    from starforge.sinks.publish import publish
+    path = str(tmp_path / "t")
+    publish(spark.range(5), path)
+    assert rows_at(path) == 5
+    publish(spark.range(7), path, parquet_mode="append")
+    assert rows_at(path) is None

@@ -46,3 +46,14 @@ def test_hot_client_span_is_exact(spark):
     out = attach_contract_span(df).filter(F.col("cd_cliente") == "hot") \
         .select("dt_inicio_contrato", "dt_ultimo_contrato").distinct().collect()
     assert [tuple(r) for r in out] == [(dt.date(2020, 1, 1), dt.date(2020, 1, 28))]
+
+
+def test_contract_fact_does_not_multiply_on_repeated_12m_rows(spark, sf_small):
+    from starforge.plans import facts
+    from starforge.plans.warehouse import Warehouse
+    w = Warehouse(spark, sf_small)
+    twelve = w.silver("contratacoes")
+    args = (w.dim_client(), w.dim_product(), w.dim_time())
+    once = facts.contracts_base(w.silver("historico"), twelve, *args)
+    twice = facts.contracts_base(w.silver("historico"), twelve.unionByName(twelve), *args)
+    assert once.count() == twice.count()
