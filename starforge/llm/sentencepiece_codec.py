@@ -21,6 +21,7 @@ scores: the longest last piece wins.  Repeated rows repeat their result.
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from starforge.llm.common import id_text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN = 10.0          # an uncovered character costs this below the lowest score
-REMEMBER = 300_000      # runs remembered at a time in a task (forgotten all at once)
+REMEMBER = 100_000      # runs remembered at a time in a task (forgotten all at once)
 
 
 def load_vocabulary(path: str = MODEL) -> dict:
@@ -145,7 +146,8 @@ def encode_udf(vocab: dict):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(vocab)
         for texts in batches:
-            yield pd.Series([None if t is None else encoder.encode(t) for t in texts], dtype=object)
+            yield pd.Series([None if t is None else np.array(encoder.encode(t), np.int32) for t in texts],
+                            dtype=object)
     return F.pandas_udf(run, "array<int>")
 
 
