@@ -23,10 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starforge.llm.common import id_text
+from starforge.llm.minhash_dedup import portions
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -155,7 +158,15 @@ def sp_encode(docs: DataFrame, vocab: dict | None = None, id_col: str = "doc_id"
               text_col: str = "text") -> DataFrame:
     """doc_id, text, ids (array of int) of every row."""
     vocab = vocab or load_vocabulary()
-    return id_text(docs, id_col, text_col).withColumn("ids", encode_udf(vocab)("text"))
+
+    def run(batches):
+        encoder = Encoder(vocab)
+        for b in (p for whole in batches for p in portions(whole)):     # small outputs
+            ids = [None if t is None else np.array(encoder.encode(t), np.int32)
+                   for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"),
+                                              pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "text", "ids"])
+    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, text string, ids array<int>")
 
 
 def sp_decode(encoded: DataFrame, vocab: dict | None = None, ids_col: str = "ids") -> DataFrame:
@@ -163,12 +174,16 @@ def sp_decode(encoded: DataFrame, vocab: dict | None = None, ids_col: str = "ids
     vocab = vocab or load_vocabulary()
     table = piece_bytes(vocab)
 
-    @F.pandas_udf("string")
-    def decode(ids: pd.Series) -> pd.Series:
+    def run(batches):
         get = table.__getitem__
-        return pd.Series([None if x is None else b"".join(map(get, x.tolist()))[1:].decode("utf-8", "replace")
-                          for x in ids], dtype=object)
-    return encoded.withColumn("decoded", decode(F.col(ids_col)))
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                b = whole.slice(start, 500)
+                texts = [None if not x.is_valid else b"".join(map(get, x.values.to_pylist()))[1:]
+                         .decode("utf-8", "replace") for x in b.column(ids_col)]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
+                                                 names=[*b.schema.names, "decoded"])
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def sp_report(docs: DataFrame, vocab: dict | None = None) -> DataFrame:
