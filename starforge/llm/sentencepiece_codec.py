@@ -34,7 +34,7 @@ from starforge.llm.minhash_dedup import portions
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN = 10.0          # an uncovered character costs this below the lowest score
-REMEMBER = 100_000      # runs remembered at a time in a task (forgotten all at once)
+REMEMBER = 200_000      # runs remembered at a time in a task (forgotten all at once)
 
 
 def load_vocabulary(path: str = MODEL) -> dict:
@@ -179,7 +179,7 @@ def sp_decode(encoded: DataFrame, vocab: dict | None = None, ids_col: str = "ids
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 b = whole.slice(start, 500)
-                texts = [None if not x.is_valid else b"".join(map(get, x.values.to_pylist()))[1:]
+                texts = [None if not x.is_valid else b"".join(map(get, x.values.to_numpy().tolist()))[1:]
                          .decode("utf-8", "replace") for x in b.column(ids_col)]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                                  names=[*b.schema.names, "decoded"])
