@@ -25,7 +25,8 @@ def _jdbc(args):
     if not args.jdbc_url:
         return None
     props = dict(p.split("=", 1) for p in args.jdbc_prop)
-    return pipeline.JdbcConnection(args.jdbc_url, props)
+    return pipeline.JdbcConnection(args.jdbc_url, props, args.jdbc_dim_mode, args.jdbc_fact_mode,
+                                   args.jdbc_partitions)
 
 
 def main(argv=None) -> int:
@@ -37,6 +38,12 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None)
     ap.add_argument("--jdbc-url", default=None)
     ap.add_argument("--jdbc-prop", action="append", default=[])
+    ap.add_argument("--jdbc-dim-mode", choices=["overwrite", "append"], default="overwrite")
+    ap.add_argument("--jdbc-fact-mode", choices=["overwrite", "append"], default="overwrite")
+    ap.add_argument("--jdbc-partitions", type=int, default=None,
+                    help="most connections open at once per table")
+    ap.add_argument("--dim-mode", choices=["overwrite", "append"], default="overwrite",
+                    help="how the Parquet dimensions are written")
     ap.add_argument("--parallel", type=int, default=4,
                     help="independent jobs submitted at once (silver; dims; facts)")
     ap.add_argument("--calendar-all-dates", action="store_true",
@@ -57,7 +64,7 @@ def main(argv=None) -> int:
         tables = args.names or list(pipeline.DIM_BUILDERS) + [
             "fato_contratacoes", "fato_tickets", "fato_nps"]
         dim_steps = [(f"gold:{t}", lambda t=t: pipeline.dim_job(
-            spark, layers, t, jdbc, args.calendar_all_dates))
+            spark, layers, t, jdbc, args.calendar_all_dates, args.dim_mode))
             for t in tables if t in pipeline.DIM_BUILDERS]
         fact_steps = [(f"gold:{t}", lambda t=t: pipeline.fact_job(spark, layers, t, jdbc))
                       for t in tables if t not in pipeline.DIM_BUILDERS]

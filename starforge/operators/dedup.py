@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.session import known_rows, remember_rows
+from starforge.session import known_size, remember_size
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -33,10 +33,7 @@ def keep_one(df: DataFrame, keys: list[str], order_by: list[str] | None = None)
     agg = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
     out = agg.select(*keys, *[F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)]) \
              .select(*df.columns)
-    n = known_rows(df)
-    if n is not None:
-        remember_rows(out, n)       # an upper bound: at most one row per input row
-    return out
+    return remember_size(out, known_size(df))       # an upper bound: at most one row per input row
 
 
 def contract_span(df: DataFrame, key: str = "cd_cliente", date: str = "dt_assinatura_contrato",
@@ -53,14 +50,14 @@ def attach_contract_span(df: DataFrame, key: str = "cd_cliente",
 
     Rolled up per key and joined back (one row per key on the right), not
     a window partitioned by key, so a client holding a large share of
-    the rows is aggregated map-side.  The rollup is written once (its row
-    count observed during the write) and broadcast when that count proves
-    it small, so the rows themselves are not shuffled; beyond the bound it
+    the rows is aggregated map-side.  The rollup is written once (its size
+    observed during the write) and broadcast when that proves it small, so the rows themselves are not shuffled; beyond the bound it
     is a shuffle join that AQE can split on a hot key.
     """
-    from starforge.operators.lookup import broadcast_if_small
+    from starforge.operators.lookup import fits_broadcast
     from starforge.session import materialize
     span = materialize(contract_span(df, key, date, first, last), "contract_span")
-    span = broadcast_if_small(span.withColumnRenamed(key, "_span_key"), rows=known_rows(span))
-    joined = df.join(span, F.col(key) == F.col("_span_key"), "left")
+    small = span.withColumnRenamed(key, "_span_key")
+    small = F.broadcast(small) if fits_broadcast(span, span.columns) else small
+    joined = df.join(small, F.col(key) == F.col("_span_key"), "left")
     return joined.select(*df.columns, first, last)

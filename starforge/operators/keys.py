@@ -38,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starforge.session import ensure_checkpoint_dir, materialize, remember_rows
+from starforge.session import Size, ensure_checkpoint_dir, known_size, materialize, remember_size
 
 CHUNK = 1 << 20
 _POS_MASK = (1 << 33) - 1
@@ -117,6 +117,8 @@ def dense_key(df: DataFrame, name: str, order_by: list[str] | None = None,
                     stored.groupBy("_sk_p").agg(F.count(F.lit(1))).collect())
     rows, running = [], 0
     for pid, n in counts:
+        if n > _POS_MASK:
+            raise ValueError(f"partition {pid} holds {n} rows, more than a position can count")
         rows.append((pid, running))
         running += n
     spark = df.sparkSession
@@ -124,8 +126,7 @@ def dense_key(df: DataFrame, name: str, order_by: list[str] | None = None,
     keyed = stored.join(F.broadcast(offsets), "_sk_p", "inner")
     key = (F.col("_sk_off") + F.col("_sk_pos") + 1).cast(key_type)
     out = keyed.select(key.alias(name), *cols)
-    remember_rows(out, running)
-    return out
+    return remember_size(out, Size(running, known_size(stored).text_bytes))
 
 
 def surrogate_key(df: DataFrame, name: str, order_by: list[str],

@@ -2,12 +2,11 @@
 
 A lookup returns the fact's own columns plus the requested dimension
 columns only (never ``dim.*``), so duplicate names cannot become
-ambiguous later.  Broadcast is used only behind a size check: the
-dimension's row count (known from how it was built or written, else
-counted once) must be at most ``max_rows`` and rows x estimated width at
-most ``BROADCAST_MAX_BYTES``; beyond that the join is left to the planner
-and AQE (shuffle join with skew splitting, or a runtime broadcast when
-the measured size is small).
+ambiguous later.  A side is hinted for broadcast only if its size is
+known -- rows and text bytes observed while it was written -- and within
+``max_rows`` and ``BROADCAST_MAX_BYTES``; otherwise the join is left to
+the planner and AQE (shuffle join with skew splitting, or a runtime
+broadcast when the measured size is small).  Planning starts no job.
 """
 
 from __future__ import annotations
@@ -17,44 +16,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starforge.session import known_rows, remember_rows
+from starforge.session import known_size
 
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 256 << 20
-# bytes per value used for size estimates (variable-width types: 20)
-_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
-          "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+# types that take at most 16 bytes beside their 8-byte slot of a row
+_FIXED = {"boolean", "byte", "short", "integer", "date", "float", "long", "double", "timestamp",
+          "timestamp_ntz", "decimal", "void"}
 
 KeyPair = tuple["str | Column", str]
 
 
-def row_count_of(dim: DataFrame) -> int:
-    """Row count of a dimension (or a proven upper bound of it): known from
-    how it was built or written, or counted once and remembered."""
-    n = known_rows(dim)
-    if n is None:
-        n = dim.count()
-        remember_rows(dim, n)
-    return n
+def bytes_bound(dim: DataFrame, columns: Sequence[str]) -> int | None:
+    """Upper bound of the bytes that ``columns`` of ``dim`` take as rows in
+    memory, from the size observed when it was written; None if unknown."""
+    size = known_size(dim)
+    if size is None:
+        return None
+    types = {f.name.lower(): f.dataType.typeName() for f in dim.schema.fields}
+    total = size.rows * (24 + 24 * len(columns))       # row header, slots, padding of text to words
+    for c in {c.lower() for c in columns}:
+        if types.get(c) not in _FIXED:
+            if c not in size.text_bytes:
+                return None
+            total += size.text_bytes[c]
+    return total
 
 
-def estimated_bytes(dim: DataFrame, rows: int) -> int:
-    """Upper-bound style estimate: rows x the schema's default row width
-    (strings count as 20 bytes, as in Spark's own size estimates)."""
-    width = sum(_WIDTH.get(f.dataType.typeName(), 20) for f in dim.schema.fields) + 8
-    return rows * width
+def fits_broadcast(dim: DataFrame, columns: Sequence[str], max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    total = bytes_bound(dim, columns)
+    return total is not None and known_size(dim).rows <= max_rows and total <= max_bytes
 
 
 def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       rows: int | None = None,
                        max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint ``dim`` (already projected to the columns the join needs) for
-    broadcast only if its row count -- and so its size -- is proven small;
-    otherwise leave the join to the planner (shuffle join, AQE skew split,
-    or a runtime broadcast from measured sizes)."""
-    n = row_count_of(dim) if rows is None else rows
-    small = n <= max_rows and estimated_bytes(dim, n) <= max_bytes
-    return F.broadcast(dim) if small else dim
+    """Hint ``dim`` for broadcast only if its size is proven small."""
+    return F.broadcast(dim) if fits_broadcast(dim, dim.columns, max_rows, max_bytes) else dim
 
 
 def _fact_col(c) -> Column:
@@ -74,6 +72,13 @@ def _prepare(dim: DataFrame, on: Sequence[KeyPair], take: Sequence[str], tag: st
     return small, cond, list(renamed.values())
 
 
+def _hinted(small: DataFrame, dim: DataFrame, on: Sequence[KeyPair], take: Sequence[str],
+            broadcast: bool | str, max_rows: int) -> DataFrame:
+    if broadcast == "auto":
+        broadcast = fits_broadcast(dim, [d for _, d in on] + list(take), max_rows)
+    return F.broadcast(small) if broadcast else small
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[KeyPair], take: Sequence[str],
            how: str = "inner", broadcast: bool | str = "auto",
            max_rows: int = BROADCAST_MAX_ROWS, tag: str = "lk") -> DataFrame:
@@ -81,13 +86,10 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[KeyPair], take: Sequenc
     and return the fact's columns plus ``take`` (dimension columns).
 
     ``broadcast``: True = hint (caller vouches for the size), "auto" = hint
-    only after :func:`broadcast_if_small`, False = leave it to the planner.
+    only if :func:`fits_broadcast`, False = leave it to the planner.
     """
     small, cond, tmp = _prepare(dim, on, take, tag)
-    if broadcast == "auto":
-        small = broadcast_if_small(small, max_rows, row_count_of(dim))
-    elif broadcast:
-        small = F.broadcast(small)
+    small = _hinted(small, dim, on, take, broadcast, max_rows)
     joined = fact.join(small, cond, how)
     return joined.select(*[F.col(f"`{c}`") for c in fact.columns], *take)
 
@@ -97,10 +99,7 @@ def require_in(fact: DataFrame, dim: DataFrame, on: Sequence[KeyPair],
     """Existence filter: keep fact rows whose key occurs in ``dim``
     (``left_semi``; never multiplies rows)."""
     small, cond, _ = _prepare(dim, on, [], "rq")
-    if broadcast == "auto":
-        small = broadcast_if_small(small, max_rows, row_count_of(dim))
-    elif broadcast:
-        small = F.broadcast(small)
+    small = _hinted(small, dim, on, [], broadcast, max_rows)
     return fact.join(small, cond, "left_semi")
 
 
@@ -109,10 +108,7 @@ def rejects(fact: DataFrame, dim: DataFrame, on: Sequence[KeyPair],
     """Audit of an inner lookup: fact rows it would drop (NULL or unknown
     key), as a ``left_anti`` join."""
     small, cond, _ = _prepare(dim, on, [], "rj")
-    if broadcast == "auto":
-        small = broadcast_if_small(small, max_rows, row_count_of(dim))
-    elif broadcast:
-        small = F.broadcast(small)
+    small = _hinted(small, dim, on, [], broadcast, max_rows)
     return fact.join(small, cond, "left_anti")
 
 
@@ -127,11 +123,7 @@ def role_join(fact: DataFrame, dim: DataFrame, key: str, value: str,
     columns, so the dimension is scanned/broadcast once and reused.
     """
     small = dim.select(key, value)
-    if broadcast == "auto":
-        n = row_count_of(dim)
-        hint = n <= BROADCAST_MAX_ROWS and estimated_bytes(small, n) <= BROADCAST_MAX_BYTES
-    else:
-        hint = bool(broadcast)
+    hint = fits_broadcast(dim, [key, value]) if broadcast == "auto" else bool(broadcast)
     out = fact
     for i, (alias, fcol) in enumerate(roles.items()):
         d = small.select(F.col(key).alias(f"_rl{i}_k"), F.col(value).alias(alias))

@@ -69,20 +69,24 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey
 SELECT CAST(l_orderkey AS VARCHAR) AS NR_PROPOSTA, CAST(l_linenumber AS VARCHAR) AS ITEM_PROPOSTA,
   CASE WHEN l_orderkey % 211 = 0 THEN {dtext('l_shipdate')} || ' 00:00:00'
        ELSE {dtext('l_shipdate')} END AS DT_UPLOAD,
-  nullif(l_linestatus, 'O') AS HOSPEDAGEM, CAST(o_custkey AS VARCHAR) AS CD_CLI,
-  o_orderpriority AS FAT_FAIXA, CAST(l_partkey AS VARCHAR) AS CD_PROD,
+  nullif(l_linestatus, 'O') AS HOSPEDAGEM, stray || CAST(o_custkey AS VARCHAR) AS CD_CLI,
+  o_orderpriority AS FAT_FAIXA, stray || CAST(l_partkey AS VARCHAR) AS CD_PROD,
   {money(cents('l_quantity'))} AS QTD, CAST(l_linenumber % 4 AS VARCHAR) AS MESES_BONIF,
   {money(cents('l_extendedprice') + ' - ' + cents('l_extendedprice * l_discount'))} AS VL_TOTAL,
   {money(cents('l_extendedprice'))} AS VL_FULL,
   CASE WHEN l_orderkey % 101 = 0 THEN 'n/d'
        ELSE {money(cents('l_extendedprice * l_discount'))} END AS VL_DESCONTO
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+FROM (SELECT *, '' AS stray FROM lineitem UNION ALL
+      SELECT *, 'X' FROM lineitem WHERE l_orderkey % 97 = 0 AND l_linenumber = 1)
+  JOIN orders ON l_orderkey = o_orderkey""",
     "b_tickets": f"""
-SELECT CAST(o_custkey AS VARCHAR) AS CODIGO_ORGANIZACAO,
+SELECT CASE WHEN l_orderkey % 89 = 0 THEN 'X' ELSE '' END || CAST(o_custkey AS VARCHAR) AS CODIGO_ORGANIZACAO,
   CASE WHEN l_linenumber = 1 THEN NULL ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS NOME_GRUPO,
   l_returnflag AS TIPO_TICKET, o_orderstatus AS STATUS_TICKET, o_orderpriority AS PRIORIDADE_TICKET,
-  CAST(l_orderkey AS VARCHAR) AS BK_TICKET, {dtext('o_orderdate')} AS DT_CRIACAO,
-  {dtext('l_shipdate')} AS DT_ATUALIZACAO
+  CAST(CASE WHEN l_orderkey % 83 = 0 THEN l_orderkey + 9007199254740993 ELSE l_orderkey END AS VARCHAR)
+    AS BK_TICKET, {dtext('o_orderdate')} AS DT_CRIACAO,
+  CASE WHEN l_orderkey % 79 = 0 THEN {dtext("(l_shipdate + INTERVAL 40 YEAR)")}
+       ELSE {dtext('l_shipdate')} END AS DT_ATUALIZACAO
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "b_contratacoes": f"""
 SELECT CAST(o_custkey AS VARCHAR) AS CD_CLIENTE, CAST(count(*) AS VARCHAR) AS QTD_CONTRATACOES_12M,
@@ -101,7 +105,7 @@ SELECT CASE WHEN event_id % 97 = 0 THEN 'bad'
   CASE WHEN event_id % 10 = 0 THEN NULL ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END
     AS {q('Nome do Produto')},
   {NOTA} AS Nota, CAST(user_id AS VARCHAR) AS {q('Cod Cliente')}
-FROM events LEFT JOIN part ON event_id % 200 = p_partkey WHERE event_type = 'purchase'""",
+FROM events LEFT JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey WHERE event_type = 'purchase'""",
     "b_nps_aquisicao": f"""
 SELECT CAST(user_id AS VARCHAR) AS {q('Cod Cliente')},
   strftime({EV_SHIFT}, '%Y-%m-%d') AS {q('Data da Resposta')}, {NOTA} AS {q('Nota NPS')},
@@ -259,10 +263,17 @@ WHERE DATA IS NOT NULL""",
 SELECT cd_cliente AS CD_CLIENTE, ds_segmento AS DS_SEGMENTO, ds_subsegmento AS DS_SUBSEGMENTO,
   ds_prod AS DS_PROD, fat_faixa AS FAT_FAIXA, uf AS UF, cidade AS CIDADE,
   marca_totvs AS MARCA_TOTVS, situacao_contrato AS SITUACAO_CONTRATO,
-  dt_ultimo_contrato AS DT_ULTIMO_CONTRATO, dt_inicio_contrato AS DT_INICIO_CONTRATO
+  dt_ultimo_contrato AS DT_ULTIMO_CONTRATO, dt_inicio_contrato AS DT_INICIO_CONTRATO,
+  dt_assinatura_contrato AS DT_ASSINATURA_CONTRATO
 FROM s_clientes""",
-    "g_dim_client": keyed("SK_CLIENTE", DIM_CLIENT_COLS, "g_dim_client_src", ["CD_CLIENTE"]),
-    "g_client_keys": "SELECT CD_CLIENTE, min(SK_CLIENTE) AS SK_CLIENTE FROM g_dim_client GROUP BY CD_CLIENTE",
+    "g_client_rows": keyed("SK_CLIENTE", DIM_CLIENT_COLS + ["DT_ASSINATURA_CONTRATO"],
+                           "g_dim_client_src", ["CD_CLIENTE"]),
+    "g_dim_client": f"SELECT SK_CLIENTE, {', '.join(DIM_CLIENT_COLS)} FROM g_client_rows",
+    "g_client_keys": """
+SELECT CD_CLIENTE, SK_CLIENTE FROM (
+  SELECT *, row_number() OVER (PARTITION BY CD_CLIENTE ORDER BY DT_ASSINATURA_CONTRATO DESC NULLS LAST,
+                                                          SK_CLIENTE) AS rn
+  FROM g_client_rows) WHERE rn = 1""",
     "g_codes": """
 SELECT DISTINCT cd_cliente, cd_prod AS CD_PRODUTO FROM s_historico
 WHERE cd_cliente IS NOT NULL AND cd_prod IS NOT NULL""",

@@ -23,18 +23,18 @@ from starforge.operators import (ROW_ID, contract_span, with_row_identity,
                                  cooccurrence_pairs_per_client, dense_key,
                                  distinct_rows, drop_duplicates_all, enrich,
                                  fill_zero, infer_product_map, keep_one, lookup,
-                                 observed_dates, rejects, rename_project,
+                                 observe_rows, observed_dates, rejects, rename_project,
                                  replace_column, require_in, role_join,
                                  surrogate_key, tag, to_gold_names)
 from starforge.operators.shaping import col
 from starforge.plans import dims, facts
-from starforge.plans.silver import (silver_clients, silver_contracts_12m,
+from starforge.plans.silver import (SILVER_JOBS, silver_clients, silver_contracts_12m,
                                     silver_history, silver_nps_acquisition,
                                     silver_nps_onboarding, silver_nps_product,
                                     silver_nps_relational, silver_nps_support,
                                     silver_telemetry, silver_tickets)
 from starforge.plans.warehouse import Warehouse
-from starforge.schemas import BRONZE, SILVER
+from starforge.schemas import BRONZE, BRONZE_FILES, SILVER
 from starforge.session import scratch_path
 from starforge.sinks import publish, write_parquet
 from starforge.sources import read_csv, read_parquet, write_csv
@@ -546,19 +546,16 @@ def q_infer(spark, sf_dir):
         ("nps_transacional_onboarding", "s_nps_onboarding"),
         ("nps_transacional_suporte", "s_nps_suporte")])))
 def q_row_count(spark, sf_dir):
-    """A5: row count of every silver table, each a distributed count."""
+    """A5: row count of every silver table, observed while it is written."""
     w = W(spark, sf_dir)
-    from starforge.plans.silver import SILVER_JOBS
-    parts = []
+    counts = []
     for entity, (src, job) in SILVER_JOBS.items():
         df = silver_clients(w.bronze(src), with_span=False) if entity == "clientes" \
             else job(w.bronze(src))
-        parts.append(df.groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(F.lit(entity).alias("entity"), "n_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        seen, rows = observe_rows(df)
+        write_parquet(seen, scratch_path(spark, f"audit_{entity}"))
+        counts.append((entity, rows.get["rows"]))
+    return spark.createDataFrame(counts, "entity string, n_rows bigint")
 
 
 @register("client_contract_span", O.sql(
@@ -628,8 +625,10 @@ def q_union_by_name(spark, sf_dir):
 # ------------------------------------------------------------- silver jobs
 def _silver(entity: str, job, cte: str, src: str):
     def run(spark, sf_dir):
-        return job(W(spark, sf_dir).bronze(src))
-    run.__doc__ = f"silver {entity}"
+        path, sep = scratch_path(spark, f"landed_{src}"), BRONZE_FILES[src][1]
+        write_csv(W(spark, sf_dir).bronze(src), path, sep=sep)
+        return job(read_csv(spark, path, BRONZE[src], sep=sep))
+    run.__doc__ = f"silver {entity}: the extract landed as text, scanned and parsed"
     return run
 
 

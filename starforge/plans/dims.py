@@ -10,7 +10,9 @@ from starforge.operators import (dense_key, drop_duplicates_all, identity_of,
                                  infer_product_map, keep_one, observed_dates,
                                  surrogate_key, to_gold_names)
 from starforge.schemas import GOLD_COLUMNS
-from starforge.session import known_rows, remember_rows
+from starforge.session import known_size, remember_size
+
+SIGNED = "DT_ASSINATURA_CONTRATO"
 
 
 def dim_time(clients: DataFrame, tickets: DataFrame, history: DataFrame,
@@ -27,49 +29,58 @@ def dim_time(clients: DataFrame, tickets: DataFrame, history: DataFrame,
     return cal.orderBy("SK_TEMPO") if sort else cal
 
 
-def dim_client(clients: DataFrame) -> DataFrame:
-    """PL12: one row per contract row (the source keeps that grain on
-    purpose), SK_CLIENTE numbered by client code, ties broken by all other
-    columns."""
+def dim_client_keyed(clients: DataFrame) -> DataFrame:
+    """The rows of PL12 with the signing date of their contract, which only
+    :func:`client_keys` reads: SK_CLIENTE numbered by client code, ties
+    broken by all other columns, the signing date last."""
     rid = identity_of(clients)
-    gold = to_gold_names(clients, GOLD_COLUMNS["dim_cliente"][1:] + (rid or []))
+    gold = to_gold_names(clients, GOLD_COLUMNS["dim_cliente"][1:] + [SIGNED] + (rid or []))
     return dense_key(gold, "SK_CLIENTE", order_by=["CD_CLIENTE"], key_type="bigint",
                      tiebreak=rid)
 
 
-def client_keys(dim: DataFrame) -> DataFrame:
-    """One surviving key per client code for fact lookups: the smallest
-    SK_CLIENTE of the code (a partial aggregation, no window)."""
-    keys = dim.groupBy("CD_CLIENTE").agg(F.min("SK_CLIENTE").alias("SK_CLIENTE"))
-    n = known_rows(dim)
-    if n is not None:
-        remember_rows(keys, n)      # an upper bound: at most one row per dim row
-    return keys
+def dim_client(keyed: DataFrame) -> DataFrame:
+    """PL12: one row per contract row (the source keeps that grain on
+    purpose), from :func:`dim_client_keyed`."""
+    return _gold(keyed, "dim_cliente")
+
+
+def client_keys(keyed: DataFrame) -> DataFrame:
+    """One surviving key per client code for fact lookups: the client's
+    latest contract, then the lowest remaining columns, which is the
+    smallest key among them (a partial aggregation, no window)."""
+    signed = F.col(SIGNED)
+    best = F.min(F.struct(signed.isNull(), -F.unix_date(signed), F.col("SK_CLIENTE").alias("key")))
+    keys = keyed.groupBy("CD_CLIENTE").agg(best.alias("best"))
+    out = keys.select("CD_CLIENTE", F.col("best.key").alias("SK_CLIENTE"))
+    return remember_size(out, known_size(keyed))    # an upper bound: at most one row per row
+
+
+def _gold(keyed: DataFrame, table: str) -> DataFrame:
+    return remember_size(keyed.select(*GOLD_COLUMNS[table]), known_size(keyed))
 
 
 def dim_product(history: DataFrame, clients: DataFrame) -> DataFrame:
     """PL13: product codes with their inferred description and revenue line."""
     mapping = infer_product_map(history, clients)
     keyed = surrogate_key(mapping, "SK_PRODUTO", ["CD_PRODUTO"])
-    return keyed.select(*GOLD_COLUMNS["dim_produto"])
+    return _gold(keyed, "dim_produto")
 
 
 def products_by_name(dim: DataFrame) -> DataFrame:
     """Name-keyed view of the product dimension: one code per description
     (the smallest), so a lookup by name never multiplies rows."""
-    return keep_one(dim.select("DS_PRODUTO", "CD_PRODUTO", "SK_PRODUTO"),
-                    ["DS_PRODUTO"], ["CD_PRODUTO"])
+    named = remember_size(dim.select("DS_PRODUTO", "CD_PRODUTO", "SK_PRODUTO"), known_size(dim))
+    return keep_one(named, ["DS_PRODUTO"], ["CD_PRODUTO"])
 
 
 def dim_priority(tickets: DataFrame) -> DataFrame:
     """PL14: distinct ticket priorities."""
     d = drop_duplicates_all(tickets.select(F.col("prioridade_ticket").alias("TIPO_PRIORIDADE")))
-    return surrogate_key(d, "SK_PRIORIDADE", ["TIPO_PRIORIDADE"]) \
-        .select(*GOLD_COLUMNS["dim_prioridade"])
+    return _gold(surrogate_key(d, "SK_PRIORIDADE", ["TIPO_PRIORIDADE"]), "dim_prioridade")
 
 
 def dim_ticket(tickets: DataFrame) -> DataFrame:
     """PL15: junk dimension of distinct (type, status) pairs."""
     d = drop_duplicates_all(tickets.select("tipo_ticket", "status_ticket"))
-    return surrogate_key(d, "sk_ticket", ["tipo_ticket", "status_ticket"]) \
-        .select(*GOLD_COLUMNS["dim_ticket"])
+    return _gold(surrogate_key(d, "sk_ticket", ["tipo_ticket", "status_ticket"]), "dim_ticket")

@@ -1,11 +1,10 @@
 """Silver + gold dimensions -> gold facts (PL16-PL18).
 
 Every fact keeps the grain of its source rows: clients are looked up
-through one surviving key per client code, ticket types through the full
-(type, status) natural key, product names through one code per name.
-The literal, row-multiplying lookups of the source are still available
-through ``expand_grain`` / ``partial_key`` flags.  Fact keys are dense
-``bigint``s over a total order of the output columns.
+through ``client_map`` (one surviving key per client code), ticket types
+through the full (type, status) natural key, product names through one
+code per name.  Fact keys are dense ``bigint``s over a total order of the
+output columns.
 """
 
 from __future__ import annotations
@@ -17,28 +16,15 @@ from starforge.functions import as_date, resolution_days
 from starforge.operators import (dense_key, enrich, fill_zero, identity_of, lookup,
                                  replace_column, require_in, role_join,
                                  union_by_name)
-from starforge.plans.dims import client_keys, products_by_name
+from starforge.plans.dims import products_by_name
 from starforge.schemas import GOLD_COLUMNS
 from starforge.session import materialize
 
 SURVEY_SCHEMA = "cd_cliente string, dt_resposta date, ds_nota int, tipo_nps string, cd_prod string"
 
 
-def _clients(dim_client: DataFrame, expand_grain: bool) -> DataFrame:
-    """The client lookup side: the dimension itself for the literal,
-    row-multiplying variant; otherwise one surviving key per client code.
-    A ready key map (exactly CD_CLIENTE, SK_CLIENTE -- the pipeline
-    publishes one with the client dimension) is used as it is."""
-    if expand_grain:
-        return dim_client.select("CD_CLIENTE", "SK_CLIENTE")
-    if sorted(dim_client.columns) == ["CD_CLIENTE", "SK_CLIENTE"]:
-        return dim_client
-    return client_keys(dim_client)
-
-
-def contracts_base(history: DataFrame, contracts_12m: DataFrame, dim_client: DataFrame,
-                   dim_product: DataFrame, dim_time: DataFrame,
-                   expand_grain: bool = False) -> DataFrame:
+def contracts_base(history: DataFrame, contracts_12m: DataFrame, client_map: DataFrame,
+                   dim_product: DataFrame, dim_time: DataFrame) -> DataFrame:
     """PL16 before numbering.  The client key and the 12-month metric (one
     row per client: the largest value, should an extract repeat a client)
     are first written as one client-grain table, so the fact has a single
@@ -46,7 +32,7 @@ def contracts_base(history: DataFrame, contracts_12m: DataFrame, dim_client: Dat
     and calendar are bounded lookups (broadcast behind a size check)."""
     metric = contracts_12m.groupBy(F.col("cd_cliente").alias("CD_CLIENTE")).agg(
         F.max("vlr_contratacoes_12m").alias("vlr_contratacoes_12m"))
-    clients = _clients(dim_client, expand_grain).join(metric, "CD_CLIENTE", "left")
+    clients = client_map.join(metric, "CD_CLIENTE", "left")
     df = lookup(history, materialize(clients, "client-grain"),
                 [("cd_cliente", "CD_CLIENTE")], ["SK_CLIENTE", "vlr_contratacoes_12m"])
     df = lookup(df, dim_product, [("cd_prod", "CD_PRODUTO")], ["SK_PRODUTO"])
@@ -60,28 +46,22 @@ def contracts_base(history: DataFrame, contracts_12m: DataFrame, dim_client: Dat
     return fill_zero(out, ["VL_CONTRATACOES_12M"])
 
 
-def fact_contracts(history, contracts_12m, dim_client, dim_product, dim_time,
-                   expand_grain: bool = False) -> DataFrame:
-    base = contracts_base(history, contracts_12m, dim_client, dim_product, dim_time,
-                          expand_grain)
+def fact_contracts(history, contracts_12m, client_map, dim_product, dim_time) -> DataFrame:
+    base = contracts_base(history, contracts_12m, client_map, dim_product, dim_time)
     return dense_key(base, "SK_CONTRATACAO", tiebreak=identity_of(base)) \
         .select(*GOLD_COLUMNS["fato_contratacoes"])
 
 
-def tickets_base(tickets: DataFrame, dim_client: DataFrame, dim_priority: DataFrame,
-                 dim_ticket: DataFrame, dim_time: DataFrame,
-                 partial_key: bool = False, expand_grain: bool = False) -> DataFrame:
+def tickets_base(tickets: DataFrame, client_map: DataFrame, dim_priority: DataFrame,
+                 dim_ticket: DataFrame, dim_time: DataFrame) -> DataFrame:
     """PL17 before numbering."""
     t = replace_column(tickets, "TEMPO_RESOLUCAO_DIAS",
                        resolution_days(as_date("dt_atualizacao"), as_date("dt_criacao")))
-    df = lookup(t, _clients(dim_client, expand_grain), [("cd_cliente", "CD_CLIENTE")],
-                ["SK_CLIENTE"])
+    df = lookup(t, client_map, [("cd_cliente", "CD_CLIENTE")], ["SK_CLIENTE"])
     df = lookup(df, dim_priority, [("prioridade_ticket", "TIPO_PRIORIDADE")],
                 ["SK_PRIORIDADE"])
-    on = [("tipo_ticket", "tipo_ticket")]
-    if not partial_key:
-        on.append(("status_ticket", "status_ticket"))
-    df = lookup(df, dim_ticket, on, ["sk_ticket"])
+    df = lookup(df, dim_ticket, [("tipo_ticket", "tipo_ticket"),
+                                 ("status_ticket", "status_ticket")], ["sk_ticket"])
     df = role_join(df, dim_time, "DATA", "SK_TEMPO",
                    {"SK_TEMPO_CRIACAO": as_date("dt_criacao")})
     # the update date only has to exist in the calendar (its key is not kept)
@@ -92,26 +72,22 @@ def tickets_base(tickets: DataFrame, dim_client: DataFrame, dim_priority: DataFr
                      *(identity_of(tickets) or []))
 
 
-def fact_tickets(tickets, dim_client, dim_priority, dim_ticket, dim_time,
-                 partial_key: bool = False) -> DataFrame:
-    base = tickets_base(tickets, dim_client, dim_priority, dim_ticket, dim_time, partial_key)
+def fact_tickets(tickets, client_map, dim_priority, dim_ticket, dim_time) -> DataFrame:
+    base = tickets_base(tickets, client_map, dim_priority, dim_ticket, dim_time)
     return dense_key(base, "SK_FATO_TICKET", tiebreak=identity_of(base)) \
         .select(*GOLD_COLUMNS["fato_tickets"])
 
 
-def ticket_dates(tickets: DataFrame, one_per_ticket: bool = True) -> DataFrame:
-    """bk_ticket -> creation date.  With ``one_per_ticket`` the map has one
-    row per ticket (earliest date, partially aggregated), so enriching an
-    answer never multiplies it."""
+def ticket_dates(tickets: DataFrame) -> DataFrame:
+    """bk_ticket -> creation date, one row per ticket (earliest date,
+    partially aggregated), so enriching an answer never multiplies it."""
     m = tickets.select("bk_ticket", as_date("dt_criacao").alias("dt_resposta"))
-    if one_per_ticket:
-        m = m.groupBy("bk_ticket").agg(F.min("dt_resposta").alias("dt_resposta"))
-    return m
+    return m.groupBy("bk_ticket").agg(F.min("dt_resposta").alias("dt_resposta"))
 
 
-def support_enriched(support: DataFrame, tickets: DataFrame, one_per_ticket: bool = True):
+def support_enriched(support: DataFrame, tickets: DataFrame):
     """Support answers dated by their ticket's creation date."""
-    return enrich(support, ticket_dates(tickets, one_per_ticket), "bk_ticket", "inner")
+    return enrich(support, ticket_dates(tickets), "bk_ticket", "inner")
 
 
 def product_enriched(product_nps: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -121,7 +97,7 @@ def product_enriched(product_nps: DataFrame, dim_product: DataFrame) -> DataFram
 
 
 def unified_surveys(acquisition, onboarding, product, relational, support,
-                    tickets, dim_product, one_per_ticket: bool = True) -> DataFrame:
+                    tickets, dim_product) -> DataFrame:
     """The five survey feeds as one polymorphic table."""
     branches = [acquisition, onboarding, product, relational, support]
     rid = identity_of(branches[0]) if all(identity_of(b) for b in branches) else None
@@ -131,7 +107,7 @@ def unified_surveys(acquisition, onboarding, product, relational, support,
                          "tipo_nps", (prod if prod is not None
                                       else F.lit(None).cast("string")).alias("cd_prod"),
                          *(rid or []))
-    sup = std(support_enriched(support, tickets, one_per_ticket))
+    sup = std(support_enriched(support, tickets))
     prd = std(product_enriched(product, dim_product), F.col("CD_PRODUTO"))
     schema = _schema(SURVEY_SCHEMA + (", _rid_file bigint, _rid_row bigint" if rid else ""))
     return union_by_name([std(acquisition), std(onboarding), prd, std(relational), sup],
@@ -143,19 +119,17 @@ def _schema(spec: str):
     return parse(spec)
 
 
-def nps_base(surveys: DataFrame, dim_client: DataFrame, dim_time: DataFrame,
-             expand_grain: bool = False) -> DataFrame:
+def nps_base(surveys: DataFrame, client_map: DataFrame, dim_time: DataFrame) -> DataFrame:
     """PL18 before numbering.  (The source's left join to the product
     dimension on the code keeps every row and none of its columns, so it
     is not performed.)"""
-    df = lookup(surveys, _clients(dim_client, expand_grain), [("cd_cliente", "CD_CLIENTE")],
-                ["SK_CLIENTE"])
+    df = lookup(surveys, client_map, [("cd_cliente", "CD_CLIENTE")], ["SK_CLIENTE"])
     df = lookup(df, dim_time, [(as_date("dt_resposta"), "DATA")], ["SK_TEMPO"])
     return df.select("SK_CLIENTE", "SK_TEMPO", F.col("ds_nota").alias("NOTA_NPS"),
                      F.col("tipo_nps").alias("TIPO_NPS"), *(identity_of(surveys) or []))
 
 
-def fact_nps(surveys, dim_client, dim_time) -> DataFrame:
-    base = nps_base(surveys, dim_client, dim_time)
+def fact_nps(surveys, client_map, dim_time) -> DataFrame:
+    base = nps_base(surveys, client_map, dim_time)
     return dense_key(base, "SK_FATO_NPS", tiebreak=identity_of(base)) \
         .select(*GOLD_COLUMNS["fato_nps"])

@@ -26,8 +26,8 @@ from starforge.operators import with_row_identity
 from starforge.plans import dims, facts
 from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
 from starforge.schemas import BRONZE, BRONZE_FILES, GOLD_COLUMNS, SILVER, assert_schema
-from starforge.session import materialize, remember_rows, rows_at
-from starforge.sinks import JdbcTarget, publish, run_step, write_parquet
+from starforge.session import materialize, remember_size, scratch_scope, written_size
+from starforge.sinks import JdbcTarget, publish, run_step
 from starforge.sources import Layers, read_csv, read_parquet, write_csv
 from starforge.sources import fixtures
 
@@ -52,6 +52,7 @@ class JdbcConnection:
     properties: dict = field(default_factory=dict)
     dim_mode: str = "overwrite"
     fact_mode: str = "overwrite"
+    num_partitions: int | None = None       # most connections open at once per table
 
 
 @dataclass
@@ -85,6 +86,11 @@ def read_bronze(spark: SparkSession, layers: Layers, entity: str) -> DataFrame:
 
 def silver_job(spark: SparkSession, layers: Layers, entity: str) -> StepReport:
     """One bronze -> silver job: scan the extract once, parse, write."""
+    with scratch_scope(spark):
+        return _silver_job(spark, layers, entity)
+
+
+def _silver_job(spark: SparkSession, layers: Layers, entity: str) -> StepReport:
     t0 = time.perf_counter()
     source, job = SILVER_JOBS[entity]
     bronze = read_bronze(spark, layers, source)
@@ -126,23 +132,22 @@ def silver(spark: SparkSession, layers: Layers, entity: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
-    """A gold table; its row count is carried along when this process
-    wrote it (observed during the write), so size checks need no job."""
+    """A gold table; its size is carried along when it still holds exactly
+    the files that this process wrote, so size checks need no job."""
     df = read_parquet(spark, layers.gold(table))
-    n = rows_at(layers.gold(table))
-    if n is not None:
-        remember_rows(df, n)
-    return df
+    return remember_size(df, written_size(df, layers.gold(table)))
 
 
 def _publish(df: DataFrame, layers: Layers, table: str, jdbc: JdbcConnection | None,
-             mode: str, name: str, t0: float) -> StepReport:
+             mode: str, name: str, t0: float, parquet_mode: str = "overwrite") -> StepReport:
     if df.columns != GOLD_COLUMNS[table]:        # analysis only: no job
         raise AssertionError(f"{table}: columns {df.columns} != {GOLD_COLUMNS[table]}")
     target = None
     if jdbc is not None:
-        target = JdbcTarget(jdbc.url, GOLD_TABLES[table], mode, jdbc.properties)
-    res = publish(df, layers.gold(table), jdbc=target)
+        target = JdbcTarget(jdbc.url, GOLD_TABLES[table], mode, jdbc.properties, jdbc.num_partitions)
+    # the calendar is written sorted by its key (O1; per file, no global sort)
+    res = publish(df, layers.gold(table), jdbc=target, parquet_mode=parquet_mode,
+                  sort_within=["SK_TEMPO"] if table == "dim_tempo" else None)
     if not res[0].ok:
         raise RuntimeError(f"{table}: {res[0].error}")
     # a failed JDBC copy is reported in ``sinks`` without stopping the run
@@ -164,7 +169,7 @@ DIM_BUILDERS = {
     "dim_tempo": lambda s, l, all_dates=False: dims.dim_time(
         silver(s, l, "clientes"), silver(s, l, "tickets"), silver(s, l, "historico"),
         extra_dates=calendar_extra_dates(s, l) if all_dates else None, sort=False),
-    "dim_cliente": lambda s, l: dims.dim_client(with_row_identity(silver(s, l, "clientes"))),
+    "dim_cliente": lambda s, l: dims.dim_client_keyed(with_row_identity(silver(s, l, "clientes"))),
     "dim_produto": lambda s, l: dims.dim_product(silver(s, l, "historico"),
                                                  silver(s, l, "clientes")),
     "dim_prioridade": lambda s, l: dims.dim_priority(silver(s, l, "tickets")),
@@ -173,19 +178,26 @@ DIM_BUILDERS = {
 
 
 def dim_job(spark: SparkSession, layers: Layers, table: str,
-            jdbc: JdbcConnection | None = None, calendar_all_dates: bool = False) -> StepReport:
+            jdbc: JdbcConnection | None = None, calendar_all_dates: bool = False,
+            parquet_mode: str = "overwrite") -> StepReport:
     """One dimension.  ``calendar_all_dates`` makes the calendar cover the
     survey and ticket-update dates too (the source's calendar does not, so
-    facts on those dates are dropped by the inner calendar lookups)."""
+    facts on those dates are dropped by the inner calendar lookups).
+    ``parquet_mode="append"`` adds this run's rows to the stored dimension;
+    the client key map always holds the keys of the last run."""
+    with scratch_scope(spark):
+        return _dim_job(spark, layers, table, jdbc, calendar_all_dates, parquet_mode)
+
+
+def _dim_job(spark, layers, table, jdbc, calendar_all_dates, parquet_mode) -> StepReport:
     t0 = time.perf_counter()
     build = DIM_BUILDERS[table]
     df = build(spark, layers, calendar_all_dates) if table == "dim_tempo" else build(spark, layers)
-    report = _publish(df, layers, table, jdbc, jdbc.dim_mode if jdbc else "overwrite",
-                      f"gold:{table}", t0)
+    rows = dims.dim_client(df) if table == "dim_cliente" else df
+    report = _publish(rows, layers, table, jdbc, jdbc.dim_mode if jdbc else "overwrite",
+                      f"gold:{table}", t0, parquet_mode)
     if table == "dim_cliente":
-        keys = publish(dims.client_keys(gold(spark, layers, table)),
-                       layers.gold(CLIENT_KEY_MAP))
-        report.sinks += keys
+        report.sinks += publish(dims.client_keys(df), layers.gold(CLIENT_KEY_MAP))
         report.seconds = time.perf_counter() - t0
     return report
 
@@ -227,13 +239,18 @@ def fact_job(spark: SparkSession, layers: Layers, table: str,
     """One fact.  The report carries the source row count and how many of
     those rows the inner lookups dropped (no extra job: both counts were
     observed while the silver and fact tables were written)."""
+    with scratch_scope(spark):
+        return _fact_job(spark, layers, table, jdbc)
+
+
+def _fact_job(spark, layers, table, jdbc) -> StepReport:
     t0 = time.perf_counter()
     df = _fact_df(spark, layers, table)
     report = _publish(df, layers, table, jdbc, jdbc.fact_mode if jdbc else "overwrite",
                       f"gold:{table}", t0)
-    inputs = [rows_at(layers.silver(e)) for e in FACT_SOURCES[table]]
-    if report.rows is not None and all(n is not None for n in inputs):
-        report.input_rows = sum(inputs)
+    inputs = [written_size(silver(spark, layers, e), layers.silver(e)) for e in FACT_SOURCES[table]]
+    if report.rows is not None and all(s is not None for s in inputs):
+        report.input_rows = sum(s.rows for s in inputs)
         report.dropped = report.input_rows - report.rows
     return report
 
@@ -259,10 +276,3 @@ def run_all(spark: SparkSession, sf_dir: str, layers: Layers,
     reports += run_silver(spark, layers)
     reports += run_gold(spark, layers, jdbc)
     return reports
-
-
-def write_sorted_calendar(spark: SparkSession, layers: Layers) -> None:
-    """O1 at write time: the calendar sorted within its files by SK_TEMPO
-    (no global sort exchange)."""
-    write_parquet(gold(spark, layers, "dim_tempo"), layers.gold("dim_tempo_sorted"),
-                  sort_within=["SK_TEMPO"])

@@ -78,15 +78,18 @@ class Warehouse:
         table, so dense keys need no copy-collapsing shuffle."""
         return with_row_identity(df) if self.stage_silver else df
 
-    def dim_client(self) -> DataFrame:
-        return self._once("dim_client", lambda: dims.dim_client(
+    def client_rows(self) -> DataFrame:
+        return self._once("client_rows", lambda: dims.dim_client_keyed(
             with_contract_span(self._sourced(self.clients_raw()))))
 
+    def dim_client(self) -> DataFrame:
+        return self._once("dim_client", lambda: dims.dim_client(self.client_rows()))
+
     def client_map(self) -> DataFrame:
         """One surviving SK_CLIENTE per client code, written once and shared
         by every fact lookup."""
         return self._once("client_map", lambda: materialize(
-            dims.client_keys(self.dim_client()), "dim_cliente_chave"))
+            dims.client_keys(self.client_rows()), "dim_cliente_chave"))
 
     def dim_product(self) -> DataFrame:
         return self._once("dim_product", lambda: dims.dim_product(
@@ -99,7 +102,7 @@ class Warehouse:
         return self._once("dim_ticket", lambda: dims.dim_ticket(self.silver("tickets")))
 
     # -- gold facts --
-    def surveys(self, one_per_ticket: bool = True, identity: bool = False) -> DataFrame:
+    def surveys(self, identity: bool = False) -> DataFrame:
         """The unified survey table; ``identity`` keeps each answer's
         source-row identity (used to number the survey fact)."""
         s = lambda e: (self._sourced(self.silver(e)) if identity
@@ -107,8 +110,7 @@ class Warehouse:
         return facts.unified_surveys(
             s("nps_transacional_aquisicao"), s("nps_transacional_onboarding"),
             s("nps_transacional_produto"), s("nps_relacional"),
-            s("nps_transacional_suporte"), self.silver("tickets"), self.dim_product(),
-            one_per_ticket)
+            s("nps_transacional_suporte"), self.silver("tickets"), self.dim_product())
 
     def fact_contracts(self) -> DataFrame:
         return facts.fact_contracts(self._sourced(self.silver("historico")),

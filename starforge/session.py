@@ -14,6 +14,8 @@ import tempfile
 import threading
 import uuid
 import weakref
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -69,59 +71,112 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark)
     root = root.rstrip("/")
     # the checkpoint dir itself is <dir>/<uuid>; scratch lives beside it
-    return f"{os.path.dirname(root) if '/' in root else root}/starforge-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{os.path.dirname(root) if '/' in root else root}/starforge-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    written = getattr(_scope, "paths", None)
+    if written is not None:
+        written.append(path)
+    return path
+
+
+_scope = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables that this thread names inside the block are removed
+    (through the Hadoop file system) when it ends: nothing published may
+    still read them by then."""
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        paths, _scope.paths = _scope.paths, outer
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(hadoop).delete(p, True)
+
+
+@dataclass(frozen=True)
+class Size:
+    """Row count (or an upper bound of it) and the bytes that each text
+    column holds over all rows (lower-case name -> bytes)."""
+    rows: int
+    text_bytes: dict
+
+
+def observe_size(df):
+    """``(df', read)``: after ``df'`` has been written, ``read()`` gives its
+    :class:`Size`, observed during that write (no job of its own)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    obs = Observation(f"size_{uuid.uuid4().hex[:8]}")
+    sums = [F.sum(F.octet_length(F.col(f"`{c}`"))).alias(f"bytes_{i}") for i, c in enumerate(texts)]
+    seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), *sums)
+
+    def read() -> Size:
+        got = obs.get
+        return Size(int(got["rows"]), {c.lower(): int(got[f"bytes_{i}"] or 0) for i, c in enumerate(texts)})
+    return seen, read
 
 
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared scratch folder and
     return a DataFrame reading it back: a lineage cut that survives lost
-    executors (the data lives in shared storage, not on a node).  The row
-    count is observed during the write and remembered on the result."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
+    executors (the data lives in shared storage, not on a node).  The size
+    is observed during the write and remembered on the result."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    seen, read = observe_size(df)
+    seen.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    remember_rows(out, obs.get["rows"])
-    record_rows(path, obs.get["rows"])
+    remember_size(out, read())
     return out
 
 
-# row counts (or proven upper bounds) known for DataFrame objects, so size
-# checks on them need no extra job; entries vanish with their DataFrames
-_KNOWN_ROWS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
-_ROWS_LOCK = threading.Lock()       # jobs may be submitted from several threads
+# sizes (or proven upper bounds) known for DataFrame objects; entries vanish
+# with their DataFrames
+_KNOWN: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+_LOCK = threading.Lock()            # jobs may be submitted from several threads
 
 
-def remember_rows(df, n: int) -> None:
-    """Record a row count (or upper bound) already known for ``df``."""
-    with _ROWS_LOCK:
-        _KNOWN_ROWS[df] = int(n)
+def remember_size(df, size: Size | None):
+    """Record a size already known for ``df`` (nothing if None); returns ``df``.
+    A frame that holds a subset of another's rows and columns may take over
+    its size as an upper bound."""
+    if size is not None:
+        with _LOCK:
+            _KNOWN[df] = size
+    return df
 
 
-def known_rows(df) -> int | None:
-    with _ROWS_LOCK:
-        return _KNOWN_ROWS.get(df)
+def known_size(df) -> Size | None:
+    with _LOCK:
+        return _KNOWN.get(df)
 
 
-# row counts of tables written by this process (observed during the write)
-_WRITTEN_ROWS: dict[str, int] = {}
+# sizes of tables written by this process, with the files they hold for
+_WRITTEN: dict[str, tuple[Size, frozenset]] = {}
 
 
-def record_rows(path: str, n: int | None) -> None:
-    if n is not None:
-        with _ROWS_LOCK:
-            _WRITTEN_ROWS[path.rstrip("/")] = int(n)
+def record_written(spark: SparkSession, path: str, size: Size) -> None:
+    files = frozenset(spark.read.parquet(path).inputFiles())
+    with _LOCK:
+        _WRITTEN[path.rstrip("/")] = (size, files)
 
 
-def forget_rows(path: str) -> None:
-    """Drop a count that no longer holds (the path was appended to)."""
-    with _ROWS_LOCK:
-        _WRITTEN_ROWS.pop(path.rstrip("/"), None)
+def forget_written(path: str) -> None:
+    """Drop a size that no longer holds (the path was appended to)."""
+    with _LOCK:
+        _WRITTEN.pop(path.rstrip("/"), None)
 
 
-def rows_at(path: str) -> int | None:
-    with _ROWS_LOCK:
-        return _WRITTEN_ROWS.get(path.rstrip("/"))
+def written_size(df, path: str) -> Size | None:
+    """The size observed when this process wrote ``path``, provided that
+    ``df`` reads exactly the files of that write: a table which anything
+    else rewrote or appended to has an unknown size."""
+    with _LOCK:
+        size, files = _WRITTEN.get(path.rstrip("/"), (None, None))
+    return size if size is not None and files == frozenset(df.inputFiles()) else None

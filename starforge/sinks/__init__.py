@@ -1,9 +1,9 @@
 """Sinks: Parquet, JDBC, and once-computed multi-sink publishing."""
 
-from starforge.sinks.jdbc import read_jdbc, write_jdbc
+from starforge.sinks.jdbc import write_jdbc
 from starforge.sinks.parquet import write_parquet
 from starforge.sinks.publish import (JdbcTarget, SinkResult, StepFailed,
                                      publish, run_step)
 
-__all__ = ["JdbcTarget", "SinkResult", "StepFailed", "publish", "read_jdbc",
+__all__ = ["JdbcTarget", "SinkResult", "StepFailed", "publish",
            "run_step", "write_jdbc", "write_parquet"]

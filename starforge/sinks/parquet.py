@@ -6,14 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  sort_within: list[str] | None = None,
-                  partition_by: list[str] | None = None) -> None:
+                  sort_within: list[str] | None = None) -> None:
     """Write ``df`` as Parquet.  ``sort_within`` sorts each output file
-    (no global sort, no single-partition exchange); ``partition_by`` lays
-    the table out in directories for partition pruning."""
+    (no global sort, no single-partition exchange)."""
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode(mode).parquet(path)

@@ -13,8 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from starforge.operators.audit import observe_rows
-from starforge.session import forget_rows, record_rows
+from starforge.session import forget_written, observe_size, record_written
 from starforge.sinks.jdbc import write_jdbc
 from starforge.sinks.parquet import write_parquet
 
@@ -33,31 +32,32 @@ class JdbcTarget:
     table: str
     mode: str = "overwrite"
     properties: dict = field(default_factory=dict)
+    num_partitions: int | None = None       # most connections open at once
 
 
 def publish(df: DataFrame, parquet_path: str, jdbc: JdbcTarget | None = None,
             parquet_mode: str = "overwrite",
             sort_within: list[str] | None = None) -> list[SinkResult]:
-    """Write Parquet (observing the row count during the write), then feed
+    """Write Parquet (observing the size during the write), then feed
     the JDBC table from the written Parquet."""
     results: list[SinkResult] = []
-    observed, obs = observe_rows(df)
+    observed, read = observe_size(df)
+    forget_written(parquet_path)
     try:
         write_parquet(observed, parquet_path, parquet_mode, sort_within)
-        rows = obs.get.get("rows")
-        forget_rows(parquet_path)
+        size = read()
         if parquet_mode == "overwrite":
-            record_rows(parquet_path, rows)
-        results.append(SinkResult("parquet", True, rows))
+            record_written(df.sparkSession, parquet_path, size)
+        results.append(SinkResult("parquet", True, size.rows))
     except Exception as e:  # noqa: BLE001 - reported
-        forget_rows(parquet_path)
         results.append(SinkResult("parquet", False, error=str(e)))
     if jdbc is not None and not results[0].ok:
         results.append(SinkResult("jdbc", False, error="not written: the Parquet copy failed"))
     elif jdbc is not None:
         try:
             source = df.sparkSession.read.parquet(parquet_path)
-            write_jdbc(source, jdbc.url, jdbc.table, jdbc.mode, jdbc.properties)
+            write_jdbc(source, jdbc.url, jdbc.table, jdbc.mode, jdbc.properties,
+                       num_partitions=jdbc.num_partitions)
             results.append(SinkResult("jdbc", True, results[0].rows))
         except Exception as e:  # noqa: BLE001
             results.append(SinkResult("jdbc", False, error=str(e)))

@@ -20,7 +20,10 @@ Mapping (test table -> extract):
 A few cells are rendered in bad or odd forms on purpose (thousands dots,
 trailing time after a date, ``n/d``, ``7.0`` for an integer, 24-hour
 clock with a meridiem) so the parsers' NULL-on-bad-text rules are
-exercised on every run.
+exercised on every run.  Some proposal items are repeated for an unknown
+client and product code, and some tickets name an unknown client, an
+update date outside the calendar or an id beyond 2^53, so every lookup
+has something to reject.
 """
 
 from __future__ import annotations
@@ -33,11 +36,11 @@ from starforge.schemas import BRONZE
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events")
 
-# fixed values: the survey date shift, the 12-month window start, the
-# number of parts the product survey cycles through
+# fixed values: the survey date shift, the 12-month window start, the offset
+# of ticket ids that a double cannot hold
 SURVEY_SHIFT_YEARS = 27
 WINDOW_START = "2000-08-01"
-SURVEY_PARTS = 200
+WIDE_ID = 9007199254740993
 
 
 # the large tables that drive the row count of every extract, with the
@@ -144,15 +147,18 @@ def historico(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = _cents(F.col("l_extendedprice"))
     disc = _cents(F.col("l_extendedprice") * F.col("l_discount"))
     okey = F.col("l_orderkey")
+    # first items of some proposals come a second time, for nobody known
+    again = F.when((okey % 97 == 0) & (F.col("l_linenumber") == 1), F.array(F.lit(""), F.lit("X")))
+    lo = lo.withColumn("stray", F.explode(F.coalesce(again, F.array(F.lit("")))))
     return lo.select(
         _s(okey).alias("NR_PROPOSTA"),
         _s(F.col("l_linenumber")).alias("ITEM_PROPOSTA"),
         F.when(okey % 211 == 0, F.concat(_date_text(F.col("l_shipdate")), F.lit(" 00:00:00")))
          .otherwise(_date_text(F.col("l_shipdate"))).alias("DT_UPLOAD"),
         F.nullif(F.col("l_linestatus"), F.lit("O")).alias("HOSPEDAGEM"),
-        _s(F.col("o_custkey")).alias("CD_CLI"),
+        F.concat("stray", _s(F.col("o_custkey"))).alias("CD_CLI"),
         F.col("o_orderpriority").alias("FAT_FAIXA"),
-        _s(F.col("l_partkey")).alias("CD_PROD"),
+        F.concat("stray", _s(F.col("l_partkey"))).alias("CD_PROD"),
         _money_text(_cents(F.col("l_quantity"))).alias("QTD"),
         _s(F.col("l_linenumber") % 4).alias("MESES_BONIF"),
         _money_text(full - disc).alias("VL_TOTAL"),
@@ -165,16 +171,19 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = _lineitem_orders(spark, sf_dir)
     pa = table(spark, sf_dir, "part")
     df = lo.join(pa, lo.l_partkey == pa.p_partkey)
+    okey = F.col("l_orderkey")
     return df.select(
-        _s(F.col("o_custkey")).alias("CODIGO_ORGANIZACAO"),
+        F.concat(F.when(okey % 89 == 0, "X").otherwise(""),
+                 _s(F.col("o_custkey"))).alias("CODIGO_ORGANIZACAO"),
         F.when(F.col("l_linenumber") == 1, F.lit(None).cast("string"))
          .otherwise(_product_name(F.col("p_name"), F.col("p_partkey"))).alias("NOME_GRUPO"),
         F.col("l_returnflag").alias("TIPO_TICKET"),
         F.col("o_orderstatus").alias("STATUS_TICKET"),
         F.col("o_orderpriority").alias("PRIORIDADE_TICKET"),
-        _s(F.col("l_orderkey")).alias("BK_TICKET"),
+        _s(F.when(okey % 83 == 0, okey + WIDE_ID).otherwise(okey)).alias("BK_TICKET"),
         _date_text(F.col("o_orderdate")).alias("DT_CRIACAO"),
-        _date_text(F.col("l_shipdate")).alias("DT_ATUALIZACAO"),
+        _date_text(F.when(okey % 79 == 0, F.col("l_shipdate") + F.expr("INTERVAL 40 YEARS"))
+                   .otherwise(F.col("l_shipdate"))).alias("DT_ATUALIZACAO"),
     )
 
 
@@ -220,7 +229,8 @@ def nps_relacional(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nps_produto(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir, "purchase")
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    ev = ev.withColumn("pk", F.col("event_id") % SURVEY_PARTS)
+    n_parts = pa.select(F.count(F.lit(1))).scalar()
+    ev = ev.withColumn("pk", F.col("event_id") % n_parts)
     df = ev.join(pa, ev.pk == pa.p_partkey, "left")
     eid = F.col("event_id")
     ts = F.col("ts_shift")

@@ -36,7 +36,7 @@ def test_fact_keys_dense(w):
 
 def test_contract_fact_has_no_fan_out(w):
     h = w.silver("historico")
-    keys = dims.client_keys(w.dim_client())
+    keys = w.client_map()
     # rows of the input that no lookup rejects == rows of the fact
     kept = require_in(require_in(require_in(
         h, keys, [("cd_cliente", "CD_CLIENTE")]),
@@ -44,7 +44,9 @@ def test_contract_fact_has_no_fan_out(w):
         w.dim_time(), [(as_date("dt_upload"), "DATA")])
     rejected = rejects(h, w.dim_time(), [(as_date("dt_upload"), "DATA")]).count()
     assert rejected > 0                      # the bad upload dates are really dropped
-    assert w.fact_contracts().count() == kept.count() == h.count() - rejected
+    assert w.fact_contracts().count() == kept.count()
+    strays = rejects(h, keys, [("cd_cliente", "CD_CLIENTE")]).count()
+    assert h.count() - rejected - strays <= kept.count() < h.count() - strays
 
 
 def test_ticket_fact_keeps_ticket_grain(w):
@@ -73,31 +75,22 @@ def test_calendar_holds_only_observed_dates(w):
     assert w.dim_time().filter(F.col("DATA").isNull()).count() == 0
 
 
-def test_literal_partial_key_multiplies_by_statuses(w):
-    from starforge.plans import facts
-    t = w.silver("tickets")
-    grain = facts.tickets_base(t, w.dim_client(), w.dim_priority(), w.dim_ticket(), w.dim_time())
-    literal = facts.tickets_base(t, w.dim_client(), w.dim_priority(), w.dim_ticket(),
-                                 w.dim_time(), partial_key=True)
-    per_type = {r.tipo_ticket: r.n for r in w.dim_ticket().groupBy("tipo_ticket")
-                .agg(F.count("*").alias("n")).collect()}
-    kept = require_in(t, w.dim_time(), [(as_date("dt_atualizacao"), "DATA")])
-    expected = sum(per_type.get(r.tipo_ticket, 0) * r.n for r in
-                   kept.groupBy("tipo_ticket").agg(F.count("*").alias("n")).collect())
-    assert literal.count() == expected > grain.count()
+def test_surviving_client_key_is_the_latest_contract(w):
+    rows = w.client_rows().select("CD_CLIENTE", dims.SIGNED, "SK_CLIENTE").collect()
+    best = {}
+    for code, signed, key in rows:
+        rank = (signed is None, -signed.toordinal() if signed else 0, key)
+        best[code] = min(best.get(code, rank), rank)
+    assert {r.CD_CLIENTE: r.SK_CLIENTE for r in w.client_map().collect()} == {c: b[2] for c, b in best.items()}
 
 
-def test_literal_expand_grain_multiplies_by_contract_rows(w):
-    from starforge.plans import facts
-    h = w.silver("historico")
-    literal = facts.contracts_base(h, w.silver("contratacoes"), w.dim_client(),
-                                   w.dim_product(), w.dim_time(), expand_grain=True)
-    grain = facts.contracts_base(h, w.silver("contratacoes"), w.dim_client(),
-                                 w.dim_product(), w.dim_time())
-    assert literal.count() > grain.count()
-    # every literal row maps back to a grain row of the same client
-    assert literal.select("SK_CLIENTE").distinct().count() >= \
-        grain.select("SK_CLIENTE").distinct().count()
+def test_every_lookup_rejects_something(w):
+    h, t, cal = w.silver("historico"), w.silver("tickets"), w.dim_time()
+    assert rejects(h, w.client_map(), [("cd_cliente", "CD_CLIENTE")]).count() > 0
+    assert rejects(h, w.dim_product(), [("cd_prod", "CD_PRODUTO")]).count() > 0
+    assert rejects(t, w.client_map(), [("cd_cliente", "CD_CLIENTE")]).count() > 0
+    assert rejects(t, cal, [(as_date("dt_atualizacao"), "DATA")]).count() > 0
+    assert t.filter(F.col("bk_ticket") > 2 ** 53).count() > 0
 
 
 def test_inference_recovers_known_truth(w):

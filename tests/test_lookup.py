@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from starforge.operators import (broadcast_if_small, lookup, rejects,
                                  require_in, role_join)
+from starforge.operators.lookup import bytes_bound, fits_broadcast
+from starforge.session import materialize
 
 
 def _plan(df):
@@ -33,10 +35,12 @@ def test_left_lookup_keeps_rows(spark):
 def test_broadcast_only_when_small(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        hinted = lookup(_facts(spark), _dim(spark), [("k", "DK")], ["SK"], max_rows=10)
+        written = materialize(_dim(spark), "dim")
+        hinted = lookup(_facts(spark), written, [("k", "DK")], ["SK"], max_rows=10)
         assert "BroadcastHashJoin" in _plan(hinted)
-        unhinted = lookup(_facts(spark), _dim(spark), [("k", "DK")], ["SK"], max_rows=1)
-        assert "BroadcastHashJoin" not in _plan(unhinted)
+        for dim, rows in ((written, 1), (_dim(spark), 10)):     # too large; of unknown size
+            unhinted = lookup(_facts(spark), dim, [("k", "DK")], ["SK"], max_rows=rows)
+            assert "BroadcastHashJoin" not in _plan(unhinted)
         assert "BroadcastHashJoin" not in _plan(_facts(spark).join(
             broadcast_if_small(_dim(spark), 0), F.col("k") == F.col("DK")))
     finally:
@@ -59,3 +63,12 @@ def test_lookup_can_take_the_key_itself(spark):
     out = lookup(_facts(spark), _dim(spark), [("k", "DK")], ["DK", "SK"])
     assert out.columns == ["k", "v", "DK", "SK"]
     assert all(r.k == r.DK for r in out.collect())
+
+
+def test_bound_counts_wide_text(spark):
+    wide = materialize(spark.range(2000).select("id", F.repeat(F.lit("x"), 4000).alias("t")), "wide")
+    assert bytes_bound(wide, ["id", "t"]) >= 2000 * 4000 > bytes_bound(wide, ["id"])
+    assert not fits_broadcast(wide, ["id", "t"], max_bytes=1 << 20)
+    assert fits_broadcast(wide, ["id"], max_bytes=1 << 20)
+    nested = materialize(spark.range(3).select(F.array("id").alias("a")), "nested")
+    assert bytes_bound(nested, ["a"]) is None

@@ -46,3 +46,21 @@ def test_fact_reports_count_dropped_rows(spark, sf_small, tmp_path):
     hist = pipeline.silver(spark, layers, "historico").count()
     assert r.input_rows == hist and r.rows + r.dropped == hist
     assert r.dropped > 0          # the unparseable upload dates miss the calendar
+
+
+def test_run_leaves_no_scratch_and_dimensions_can_be_appended(spark, sf_small, tmp_path):
+    import os
+    from starforge.session import scratch_path
+    folder = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    layers = Layers(str(tmp_path / "lake4"))
+    pipeline.run_all(spark, sf_small, layers)
+    assert set(os.listdir(folder)) <= before
+    n = pipeline.gold(spark, layers, "dim_ticket").count()
+    pipeline.dim_job(spark, layers, "dim_ticket", parquet_mode="append")
+    assert pipeline.gold(spark, layers, "dim_ticket").count() == 2 * n
+    # the calendar's files are sorted by their key
+    keys = spark.read.parquet(layers.gold("dim_tempo")).coalesce(1).select("SK_TEMPO", "_metadata.file_path").collect()
+    for f in {r.file_path for r in keys}:
+        mine = [r.SK_TEMPO for r in keys if r.file_path == f]
+        assert mine == sorted(mine)

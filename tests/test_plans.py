@@ -1,6 +1,7 @@
 """Plan shape: pruned scans, bounded dimensions broadcast, no fact-sized
 single-partition exchange."""
 
+from starforge.plans import facts
 from starforge.plans.warehouse import Warehouse
 
 
@@ -14,10 +15,20 @@ def test_fact_plan_has_no_single_partition(spark, sf_small):
         assert "SinglePartition" not in _plan(df)
 
 
+def test_frames_before_numbering_have_no_single_partition(spark, sf_small):
+    w = Warehouse(spark, sf_small)
+    cal, clients = w.dim_time(), w.client_map()
+    for df in (facts.contracts_base(w.silver("historico"), w.silver("contratacoes"), clients,
+                                    w.dim_product(), cal),
+               facts.tickets_base(w.silver("tickets"), clients, w.dim_priority(), w.dim_ticket(), cal),
+               facts.nps_base(w.surveys(), clients, cal)):
+        plan = _plan(df)
+        assert "Join" in plan and "SinglePartition" not in plan
+
+
 def test_bounded_dims_are_broadcast(spark, sf_small):
-    from starforge.plans import facts
     w = Warehouse(spark, sf_small)
-    base = facts.tickets_base(w.silver("tickets"), w.dim_client(), w.dim_priority(),
+    base = facts.tickets_base(w.silver("tickets"), w.client_map(), w.dim_priority(),
                               w.dim_ticket(), w.dim_time())
     plan = _plan(base)
     assert plan.count("BroadcastHashJoin") >= 3

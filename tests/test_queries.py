@@ -1,16 +1,19 @@
-"""Every registered query against its DuckDB statement on sf0.001."""
+"""Every registered query of the catalog against its DuckDB statement on
+sf0.001."""
 
 import pytest
 
 import __spark_entry__ as entry
 from starforge.compare import compare
+from starforge.plans import catalog
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -67,11 +67,25 @@ def test_failed_parquet_copy_blocks_the_others(spark, tmp_path):
     assert [r.ok for r in res] == [False, False] and "Parquet copy failed" in res[1].error
 
 
-def test_append_clears_the_known_row_count(spark, tmp_path):
-    from starforge.session import rows_at
-    from starforge.sinks.publish import publish
+def test_written_size_holds_for_its_own_files_only(spark, tmp_path):
+    from starforge.session import written_size
     path = str(tmp_path / "t")
+    read = lambda: written_size(spark.read.parquet(path), path)
+    publish(spark.range(5), path)
+    assert read().rows == 5
+    spark.range(9).write.mode("overwrite").parquet(path)        # rewritten behind its back
+    assert read() is None
     publish(spark.range(5), path)
-    assert rows_at(path) == 5
     publish(spark.range(7), path, parquet_mode="append")
-    assert rows_at(path) is None
+    assert read() is None
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    import os
+    from starforge.session import materialize, scratch_scope
+    with scratch_scope(spark):
+        t = materialize(spark.range(3), "gone")
+        path = os.path.dirname(t.inputFiles()[0].removeprefix("file://"))
+        assert os.path.isdir(path)
+    kept = materialize(spark.range(3), "kept")
+    assert not os.path.exists(path) and kept.count() == 3

@@ -53,7 +53,7 @@ def test_contract_fact_does_not_multiply_on_repeated_12m_rows(spark, sf_small):
     from starforge.plans.warehouse import Warehouse
     w = Warehouse(spark, sf_small)
     twelve = w.silver("contratacoes")
-    args = (w.dim_client(), w.dim_product(), w.dim_time())
+    args = (w.client_map(), w.dim_product(), w.dim_time())
     once = facts.contracts_base(w.silver("historico"), twelve, *args)
     twice = facts.contracts_base(w.silver("historico"), twelve.unionByName(twelve), *args)
     assert once.count() == twice.count()

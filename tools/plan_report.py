@@ -65,7 +65,7 @@ def main():
             r("nps_transacional_aquisicao"), r("nps_transacional_onboarding"),
             r("nps_transacional_produto"), r("nps_relacional"), r("nps_transacional_suporte"),
             s("tickets"), g("dim_produto")), g(pipeline.CLIENT_KEY_MAP), g("dim_tempo")),
-        "gold:dim_cliente (keys read back)": lambda: dims.dim_client(r("clientes")),
+        "gold:dim_cliente (keys read back)": lambda: dims.dim_client_keyed(r("clientes")),
     })
     for name, build in jobs.items():
         info = summary(build())
