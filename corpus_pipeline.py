@@ -24,13 +24,15 @@ from starforge.llm.sentencepiece_codec import encode_udf, load_vocabulary
 from starforge.llm.suffix_dedup import suffix_dedup
 from starforge.llm.toxicity import drop_toxic
 
+SHINGLE, PERCENT = 3, 85    # near copies: words of a shingle, least similarity of the sets (see REPLY_r02.md)
+
 
 def drop_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = minhash_dedup(docs).filter("kept").select("doc_id").filter("doc_id is not null").distinct()
+    kept = minhash_dedup(docs, shingle=SHINGLE, percent=PERCENT).filter("kept").select("doc_id").filter("doc_id is not null").distinct()
     rows = docs.join(kept, "doc_id").select(docs.columns)
     twin = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     one = rows.withColumn("__twin", twin).filter("__twin = 1").drop("__twin")

@@ -1,19 +1,20 @@
 """MinHash near-dedup with tensored banding.
 
-A document's set holds the hashes of its different ``SHINGLE``-word shingles.
-Two collections of ``SIDE`` groups of ``PAIR`` minhashes each are computed
-(``2 * SIDE * PAIR`` in all); table (i, j) is keyed by group i of the first and
-group j of the second, so ``SIDE * SIDE`` tables of ``2 * PAIR`` minhashes cost
-about the square root of the minhashes they would need if drawn singly.  At the
-threshold a pair is missed by all tables with a chance of about
-``2 * (1 - t^PAIR)^SIDE`` (2.5e-4 at 0.85).
+A document's set holds the hashes of its different shingles (runs of words);
+the shingle's length and the least similarity of a pair are parameters, ``SHINGLE``
+and ``PERCENT`` unless given.  Two collections of ``side`` groups of ``pair``
+minhashes each are computed (``2 * side * pair`` in all); table (i, j) is keyed by
+group i of the first and group j of the second, so ``side * side`` tables of
+``2 * pair`` minhashes cost about the square root of the minhashes they would need
+if drawn singly.  At the threshold a pair is missed by all tables with a chance of
+about ``2 * (1 - t^pair)^side``, 2.6e-4 at most (``rule_for``).
 
 1. Documents with equal sets form one node (a 128-bit fingerprint of the set).
 2. Table keys held by one node only are dropped; the rest carry the node's
    sketch.  Small buckets name all their pairs, larger ones the pairs with
    ``HUBS`` members.  A pair is named by the first table it shares, and only if
    the sizes and the sketches allow the threshold (a linked pair fails the
-   sketch test, ``AGREE`` of the minhashes, with a chance below 1e-3).
+   sketch test, ``agree`` of the minhashes, with a chance below 1e-3).
 3. Named pairs are confirmed on full sets; links give components.
 4. In larger buckets that still hold several components the pairs between
    different components are compared too, block by block, so that nothing is
@@ -25,14 +26,16 @@ No pairs inside a component are listed beyond the hubs', so a group of many
 copies costs a multiple of its size.  Sets travel for named pairs only.
 
 Defined results: NULL text and texts without words have the empty set and link
-with nothing; under ``SHINGLE`` words the whole sequence is the one shingle;
+with nothing; under a shingle's words the whole sequence is the one shingle;
 rows with a NULL id link with nothing, have a NULL component and are kept; rows
 that share an id belong together; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from types import SimpleNamespace
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +49,8 @@ from starforge.llm.passages import mixed
 from starforge.llm.substring_dedup import Words, gram_hashes, grams
 
 SHINGLE, PERCENT = 3, 85
-SIDE, PAIR = 7, 2
-MINHASHES = 2 * SIDE * PAIR
-AGREE = 16                  # of MINHASHES
+PAIR = 2
+MISSED, FAILED = 2.6e-4, 2e-4   # chances at the threshold: no common table, sketch test
 ALL_PAIRS, HUBS = 12, 4     # buckets up to ALL_PAIRS name all pairs
 BLOCK = 2048                # members of a large bucket compared at a time
 GROUP_ROWS = 20_000
@@ -56,7 +58,34 @@ BROADCAST_ROWS = 100_000
 HASH_BYTES = 5              # of a shingle's hash, in the sets that travel
 
 
-def shingle_sets(texts: list[str | None], shingle: int = SHINGLE):
+class Rule(NamedTuple):
+    """What links two sets, and the minhashes that find it."""
+    shingle: int
+    percent: int
+    side: int
+    pair: int
+    agree: int                  # of ``minhashes``
+
+    @property
+    def minhashes(self) -> int:
+        return 2 * self.side * self.pair
+
+
+def rule_for(shingle: int, percent: int) -> Rule:
+    """The fewest groups and the strictest sketch test that keep to ``MISSED``
+    and ``FAILED`` at the threshold (7 groups and 16 of 28 at 85)."""
+    t = percent / 100
+    side = 1
+    while 2 * (1 - t ** PAIR) ** side > MISSED:
+        side += 1
+    n = 2 * side * PAIR
+    agree, below = 0, 0.0       # below: chance of fewer than agree equal minhashes
+    while (below := below + math.comb(n, agree) * t ** agree * (1 - t) ** (n - agree)) <= FAILED:
+        agree += 1
+    return Rule(shingle, percent, side, PAIR, agree)
+
+
+def shingle_sets(texts: list[str | None], shingle: int):
     """All texts' sets, one after the other (each sorted), and their sizes."""
     to_lower = bytes.maketrans(UPPER.encode(), LOWER.encode())
     raw = [(t or "").encode().translate(to_lower) for t in texts]
@@ -92,10 +121,10 @@ def portions(batch: pa.RecordBatch, size: int = 1 << 20):
         start = stop
 
 
-def sketches(h: np.ndarray, sizes: np.ndarray) -> tuple[list, np.ndarray]:
+def sketches(h: np.ndarray, sizes: np.ndarray, minhashes: int) -> tuple[list, np.ndarray]:
     """Fingerprint (16 bytes, None for the empty set) and minhashes of each set."""
     some = np.flatnonzero(sizes)
-    prints, mins = [None] * len(sizes), np.zeros((len(sizes), MINHASHES), np.uint32)
+    prints, mins = [None] * len(sizes), np.zeros((len(sizes), minhashes), np.uint32)
     if len(some):
         at = (np.cumsum(sizes) - sizes)[some]
         a = np.add.reduceat(mixed(h + np.uint64(0x632BE59BD9B4E019)), at)
@@ -103,33 +132,35 @@ def sketches(h: np.ndarray, sizes: np.ndarray) -> tuple[list, np.ndarray]:
         both = np.column_stack([a, b]).tobytes()
         for k, i in enumerate(some):
             prints[i] = both[16 * k:16 * k + 16]
-        odd = np.random.default_rng(11).integers(0, 1 << 62, MINHASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        for j in range(MINHASHES):
+        odd = np.random.default_rng(11).integers(0, 1 << 62, minhashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for j in range(minhashes):
             mins[some, j] = np.minimum.reduceat(((h ^ (h >> np.uint64(29))) * odd[j]) >> np.uint64(32), at)
     return prints, mins
 
 
-def table_keys(mins: np.ndarray) -> np.ndarray:
-    """(nodes, SIDE * SIDE) table keys from the tensored collections."""
-    groups = mins.reshape(len(mins), 2, SIDE, PAIR).astype(np.uint64)
-    g = np.zeros((len(mins), 2, SIDE), np.uint64)
-    for p in range(PAIR):
+def table_keys(mins: np.ndarray, rule: Rule) -> np.ndarray:
+    """(nodes, side * side) table keys from the tensored collections."""
+    side = rule.side
+    groups = mins.reshape(len(mins), 2, side, rule.pair).astype(np.uint64)
+    g = np.zeros((len(mins), 2, side), np.uint64)
+    for p in range(rule.pair):
         g = mixed(g * np.uint64(0x9FB21C651E98DF25) + groups[..., p] + np.uint64(1))
-    g += np.arange(2 * SIDE, dtype=np.uint64).reshape(1, 2, SIDE) * np.uint64(0xD6E8FEB86659FD93)
+    g += np.arange(2 * side, dtype=np.uint64).reshape(1, 2, side) * np.uint64(0xD6E8FEB86659FD93)
     key = mixed(g[:, 0, :, None] * np.uint64(0x9E3779B97F4A7C15) + g[:, 1, None, :])
-    return key.reshape(len(mins), SIDE * SIDE)
+    return key.reshape(len(mins), side * side)
 
 
-def named(x: np.ndarray, y: np.ndarray, table: np.ndarray, n: np.ndarray, mins: np.ndarray) -> np.ndarray:
+def named(x: np.ndarray, y: np.ndarray, table: np.ndarray, n: np.ndarray, mins: np.ndarray,
+          rule: Rule) -> np.ndarray:
     """Whether rows x and y (of a bucket of table ``table[x]``) are a pair to
     confirm, and this is the first table they share."""
-    ok = 100 * np.minimum(n[x], n[y]) >= PERCENT * np.maximum(n[x], n[y])
+    ok = 100 * np.minimum(n[x], n[y]) >= rule.percent * np.maximum(n[x], n[y])
     keep = np.flatnonzero(ok)
     for part in np.array_split(keep, len(keep) // 200_000 + 1):
         same = mins[x[part]] == mins[y[part]]
-        side = same.reshape(len(part), 2, SIDE, PAIR).all(3)
-        first = side[:, 0].argmax(1) * SIDE + side[:, 1].argmax(1)
-        ok[part] = (same.sum(1) >= AGREE) & (first == table[x[part]])
+        side = same.reshape(len(part), 2, rule.side, rule.pair).all(3)
+        first = side[:, 0].argmax(1) * rule.side + side[:, 1].argmax(1)
+        ok[part] = (same.sum(1) >= rule.agree) & (first == table[x[part]])
     return ok
 
 
@@ -161,7 +192,7 @@ def _pairs_table(nodes: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.Table:
     return pa.table([pa.array(low.tolist(), pa.binary()), pa.array(high.tolist(), pa.binary())], schema=PAIRS)
 
 
-def _members(t: pa.Table):
+def _members(t: pa.Table, rule: Rule):
     """Rows of a group sorted by bucket: nodes, table, sizes, minhashes,
     starts and sizes of the buckets, and the table in that order."""
     t = t.sort_by([("key", "ascending"), ("bi", "ascending"), ("bj", "ascending"), ("node", "ascending")])
@@ -170,7 +201,7 @@ def _members(t: pa.Table):
     new[1:] = (key[1:] != key[:-1]).any(1)
     starts = np.flatnonzero(new)
     nodes = np.array(t.column("node").to_pylist(), object)
-    mins = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint32).reshape(-1, MINHASHES)
+    mins = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint32).reshape(-1, rule.minhashes)
     return (nodes, t.column("t").to_numpy(), t.column("n").to_numpy(), mins, starts,
             np.diff(np.append(starts, len(key))), t)
 
@@ -181,15 +212,15 @@ def hashes_of(packed: bytes) -> np.ndarray:
     return sum(p[:, k] << np.uint64(8 * (HASH_BYTES - 1 - k)) for k in range(HASH_BYTES))
 
 
-def full_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def full_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(node, hashes) of the nodes in ``wanted``, from the texts."""
     ids = cut(wanted.join(nodes, "node").select("node", "doc_id"), "near-wanted")
     side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
     def full(batches):
         for b in (p for whole in batches for p in portions(whole)):
-            h, sizes = shingle_sets(b.column("text").to_pylist())
-            prints, _ = sketches(h, sizes)
+            h, sizes = shingle_sets(b.column("text").to_pylist(), rule.shingle)
+            prints, _ = sketches(h, sizes, rule.minhashes)
             # the upper bytes of each hash, in byte planes (sorted: they compress)
             planes = h.byteswap().view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
             ends = np.cumsum(sizes)
@@ -204,9 +235,9 @@ def full_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame
     return cut(sets, "near-sets")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
-    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, nodes)
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, nodes, rule)
     both = pairs.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
 
     def check(batches):
@@ -216,14 +247,14 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 x, y = hashes_of(x), hashes_of(y)
                 s = np.sort(np.concatenate([x, y]))
                 inter = int((s[1:] == s[:-1]).sum())
-                if 100 * inter >= PERCENT * (len(x) + len(y) - inter):
+                if 100 * inter >= rule.percent * (len(x) + len(y) - inter):
                     keep.append(i)
             yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return both.select("a", "b", "ha", "hb").mapInArrow(check, "a binary, b binary")
 
 
-def linked(x: np.ndarray, y: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+def linked(x: np.ndarray, y: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Whether the sets x and y of each pair reach the threshold."""
     order = np.argsort(x, kind="stable")
     _, flat = np.unique(np.concatenate(sets), return_inverse=True)
@@ -240,19 +271,22 @@ def linked(x: np.ndarray, y: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
             first = np.cumsum(n) - n
             at = np.repeat(start[y[part]] - first, n) + np.arange(n.sum())
             inter = np.add.reduceat(mark[flat[at]], first, dtype=np.int64)
-            ok[part] = 100 * inter >= PERCENT * (size[i] + n - inter)
+            ok[part] = 100 * inter >= percent * (size[i] + n - inter)
         mark[flat[start[i]:start[i] + size[i]]] = False
     return ok
 
 
-def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row; documents link from
+    ``percent`` of similarity of their sets of ``shingle``-word runs."""
+    rule = rule_for(shingle, percent)
     d = id_text(docs, id_col, text_col)
 
     def sketch(batches):
         for b in (p for whole in batches for p in portions(whole)):
-            h, sizes = shingle_sets(b.column("text").to_pylist())
-            prints, mins = sketches(h, sizes)
+            h, sizes = shingle_sets(b.column("text").to_pylist(), rule.shingle)
+            prints, mins = sketches(h, sizes, rule.minhashes)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
                  pa.array([m.tobytes() for m in mins], pa.binary())], names=["doc_id", "n", "node", "sketch"])
@@ -264,9 +298,9 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def keys(batches):
         for b in batches:
-            mins = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint32).reshape(-1, MINHASHES)
-            k = table_keys(mins).astype(np.int64).ravel()
-            tables = SIDE * SIDE
+            mins = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint32).reshape(-1, rule.minhashes)
+            k = table_keys(mins, rule).astype(np.int64).ravel()
+            tables = rule.side * rule.side
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(mins))),
                  b.column("node").take(pa.array(np.repeat(np.arange(len(mins)), tables)))],
@@ -280,10 +314,10 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     at = F.pmod(F.hash("key", "bi", "bj"), F.lit(groups))
 
     def name_pairs(t: pa.Table) -> pa.Table:
-        ids, table, n, mins, starts, sizes, _ = _members(t)
+        ids, table, n, mins, starts, sizes, _ = _members(t, rule)
         tie = np.frombuffer(b"".join(ids), np.uint64)[::2]
         x, y = bucket_pairs(starts, sizes, tie)
-        ok = named(x, y, table, n, mins)
+        ok = named(x, y, table, n, mins, rule)
         return _pairs_table(ids, x[ok], y[ok])
 
     # hubs need no blocks: a large bucket is dealt to parts, each with hubs of its own
@@ -294,11 +328,11 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # rows that share an id belong together
     same_id = (able.select("doc_id", "node").distinct().join(nodes.select("doc_id", F.col("node").alias("b")), "doc_id")
                .filter("node <> b").select(F.col("node").alias("a"), "b"))
-    links = cut(confirm(pairs, d, nodes.select("node", "doc_id")).unionByName(same_id), "near-links")
+    links = cut(confirm(pairs, d, nodes.select("node", "doc_id"), rule).unionByName(same_id), "near-links")
     comp = cut(components(links), "near-components")
 
     def link_between(t: pa.Table, full: pa.Table) -> pa.Table:
-        ids, table, n, mins, starts, sizes, t = _members(t)
+        ids, table, n, mins, starts, sizes, t = _members(t, rule)
         root = np.array(t.column("root").to_pylist(), object)
         block = t.column("block").to_numpy()
         bi, bj = t.column("bi").to_numpy(), t.column("bj").to_numpy()
@@ -311,7 +345,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 x, y = np.repeat(p, len(right)), np.tile(right, len(p))
                 differ = (label[x] != label[y]) & ((x < y) | (bi[s] != bj[s]))
                 x, y = x[differ], y[differ]
-                ok = named(x, y, table, n, mins)
+                ok = named(x, y, table, n, mins, rule)
                 xs.append(x[ok])
                 ys.append(y[ok])
         if not sum(map(len, xs)):
@@ -321,7 +355,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         number = {v: i for i, v in enumerate(names)}
         of = np.array([number[v] for v in ids], np.int64)
         x, y = of[np.concatenate(xs)], of[np.concatenate(ys)]
-        ok = linked(x, y, [hashes_of(h) for h in full.column("hashes").to_pylist()])
+        ok = linked(x, y, [hashes_of(h) for h in full.column("hashes").to_pylist()], rule.percent)
         root = local_roots(x[ok], y[ok], len(names))
         moved = np.flatnonzero(root != np.arange(len(names)))
         return _pairs_table(np.array(names, object), moved, root[moved])
@@ -339,7 +373,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     open_rows = cut(open_rows.select("key", "t", "node", "n", "sketch", "root", "block", "bi", "bj", "g"),
                     "near-open")
     rest = cut(open_rows.select("g", "node").distinct(), "near-rest")
-    sets = full_sets(rest.select("node").distinct(), d, nodes.select("node", "doc_id"))
+    sets = full_sets(rest.select("node").distinct(), d, nodes.select("node", "doc_id"), rule)
     more = cut(open_rows.groupBy("g").cogroup(rest.join(sets, "node").groupBy("g"))
                .applyInArrow(link_between, "a binary, b binary"), "near-between")
     if more.count():

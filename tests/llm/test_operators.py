@@ -296,6 +296,19 @@ def test_pipeline_stages(spark, docs):
     assert [n for n, _ in cp.STAGES][0] == "toxicity"
 
 
+def test_minhash_dedup_by_other_shingles_and_threshold(spark):
+    from starforge.llm.minhash_dedup import minhash_dedup, rule_for
+    assert rule_for(3, 85) == (3, 85, 7, 2, 16)
+    rows = []
+    for k, more in enumerate([80, 97, 102, 120]):       # five-word similarity 0.832, 0.803, 0.795, 0.767
+        words = [f"w{i}x{k}" for i in range(400 + more)]
+        rows += [(2 * k, " ".join(words[:400])), (2 * k + 1, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.kept) for r in minhash_dedup(df, shingle=5, percent=80).collect()}
+    assert {i for i, (_, kept) in got.items() if kept} == {0, 2, 4, 5, 6, 7} and got[0][0] == 396
+    assert {r.doc_id for r in minhash_dedup(df).filter("kept").collect()} == set(range(8))
+
+
 def test_sql_oracles(spark, con, sf_small):
     from starforge.compare import compare
     from starforge.llm import queries
