@@ -1,22 +1,28 @@
 """Embedding near-dedup on a robust-pruned flat graph.
 
 * *Shards*: centroids fitted on a bounded sample (``SAMPLE`` vectors); every
-  vector goes to its ``OVERLAP`` nearest ones, so near vectors share a shard.  A
-  shard over ``PART_ROWS`` vectors is dealt into parts by hash; its vectors are
-  then queries of every part.
+  vector is a member of its ``OVERLAP`` nearest ones, so near vectors share a
+  shard.  A shard over ``PART_ROWS`` members is dealt into parts by hash.
 * *Build*: in a part each vector takes its nearest vectors and some drawn at
   random as candidates and keeps those that robust pruning (``ALPHA``) leaves,
   ``DEGREE`` at most.
 * *Union*: the adjacency lists a vector got in its shards are united.
-* *Search*: every vector is searched in its shards, from the medoid and from
-  its own place in the graph (itself and its neighbours there): a greedy beam until no closer vector turns up, then range expansion: every vector found
-  with a cosine of ``EXPAND`` or more has its neighbours looked at, until none is
-  new.
-* *Verification*: cosines in double precision decide; a pair that two vectors
-  share in several shards is counted in the first of them.
-
-Equal vectors are one node with a weight, and links are counted and joined to
-components inside a part, so no task lists the pairs of a large group.
+* *Search*: a vector is searched in its own shards and as a visitor in every
+  other one whose centroid lies within twice the angle of a link: whatever links
+  with it and lies within that angle of its nearest centroid is a member of one
+  of them.  Vectors of a sparse region visit none, those of a dense group the
+  shards of the group.  Each part is searched from the medoid, some fixed members
+  and the vector's own place in the graph (itself and its neighbours there): a
+  greedy beam until no closer vector turns up, then range expansion: every vector
+  found with a cosine of ``EXPAND`` or more has its neighbours looked at, until
+  none is new.
+* *Verification*: cosines in double precision decide; a link is counted for a
+  vector in the first of the other end's shards that the vector is searched in.
+
+Equal vectors are one node with a weight.  A task searches one part for one block
+of queries (about ``PART_ROWS`` each), counts their links and joins them to
+components there; no task holds more than a part and a block, whatever the size
+of a group or shard, and no pairs leave it.
 
 Defined results: vectors that are NULL, zero, or hold NULL or non-finite
 components link with nothing; shorter vectors count as filled with zeros; rows
@@ -33,13 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.llm.common import cut
-from starforge.llm.components import components, local_roots
+from starforge.llm.components import components
 
 COSINE = 0.95
 SAMPLE, SHARD_ROWS, MAX_SHARDS, OVERLAP = 16_384, 400, 2048, 3
 PART_ROWS = 2048
 NEAR, RANDOM, DEGREE, FAR, ALPHA = 32, 32, 16, 4, 1.2
-BEAM, EXPAND = 8, 0.90
+BEAM, EXPAND, ENTRIES = 8, 0.90, 32
+QUERIES, VISIT_ROWS = 512, 20_000   # searched in step; rows dealt out at a time
 SEED = 5
 
 
@@ -104,33 +111,38 @@ def _prune(dist: np.ndarray, cand: np.ndarray, degree: int, alpha: float) -> lis
 
 
 def range_search(x: np.ndarray, adjacency: list[np.ndarray], q: np.ndarray,
-                 own: list[np.ndarray], beam: int = BEAM,
-                 expand: float = EXPAND) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, cosine) of all vectors looked at with a cosine of
-    ``expand`` or more: greedy beam from the medoid and the vectors ``own`` of
-    each query (without repeats), then range expansion."""
+                 own: list[np.ndarray], cosine: float = COSINE, beam: int = BEAM,
+                 expand: float = EXPAND) -> np.ndarray:
+    """(queries, vectors) whether a vector was looked at and has a cosine of
+    ``cosine`` or more: greedy beam from the medoid, ``ENTRIES`` fixed vectors
+    and the vectors ``own`` of each query (without repeats), then range
+    expansion."""
     n, m = len(x), len(q)
+    expand = min(expand, cosine)
     width = max((len(a) for a in adjacency), default=0)
     table = np.full((n, max(1, width)), -1, np.int64)
     for i, a in enumerate(adjacency):
         table[i, :len(a)] = a
     cos = np.full((m, n), -np.inf, np.float32)
-    exact = {"i": [], "j": [], "c": []}
+    exact = np.zeros((m, n), bool)
 
     def look(i, j):
-        for a in range(0, len(i), 200_000):
-            s = slice(a, a + 200_000)
+        if 8 * len(i) > m * n:      # many: as one product
+            c = (q @ x.T)[i, j]
+            cos[i, j], exact[i, j] = c, c >= cosine
+            return
+        for a in range(0, len(i), 50_000):
+            s = slice(a, a + 50_000)
             c = np.einsum("ij,ij->i", q[i[s]], x[j[s]])
             cos[i[s], j[s]] = c
-            hit = c >= expand
-            for k, v in zip("ijc", (i[s][hit], j[s][hit], c[hit])):
-                exact[k].append(v)
+            exact[i[s], j[s]] = c >= cosine
 
     medoid = int((x @ x.mean(0)).argmax())
     every = np.arange(m)
-    look(every, np.full(m, medoid))
+    entries = np.unique(np.append(np.arange(0, n, -(-n // ENTRIES)), medoid))
+    look(np.repeat(every, len(entries)), np.tile(entries, m))
     i, j = np.repeat(every, [len(o) for o in own]), np.concatenate(own) if m else every
-    fresh = j != medoid
+    fresh = ~np.isin(j, entries)
     look(i[fresh], j[fresh])
     done = np.zeros((m, n), bool)
     active = every
@@ -158,7 +170,49 @@ def range_search(x: np.ndarray, adjacency: list[np.ndarray], q: np.ndarray,
         done |= front
         i, j = np.nonzero(reach & np.isneginf(cos[some]))
         look(some[i], j)
-    return tuple(np.concatenate(exact[k]) if exact[k] else np.zeros(0, np.int64) for k in "ijc")
+    return exact
+
+
+def hit_roots(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest column of the component of each row (the number of columns
+    for rows without hits) and of each column."""
+    n = hit.shape[1]
+    root = np.arange(n, dtype=np.int32)
+    while True:
+        of_rows = np.where(hit, root, np.int32(n)).min(1, initial=n)
+        new = np.minimum(root, np.where(hit, of_rows[:, None], np.int32(n)).min(0, initial=n))
+        new = new[new]
+        if (new == root).all():
+            return of_rows, root
+        root = new
+
+
+def blocks_of(dealt: DataFrame) -> DataFrame:
+    """``dealt`` with the parts of each shard, the blocks of its visitors
+    (``more``) and each row's own block: a part's members are the block of the
+    same number, visitors fill the blocks after them."""
+    rows = [F.ceil(F.sum(c.cast("int")) / PART_ROWS).cast("int") for c in (F.col("member"), ~F.col("member"))]
+    sizes = dealt.groupBy("shard").agg(F.greatest(F.lit(1), rows[0]).alias("parts"), rows[1].alias("more"))
+    dealt = dealt.join(F.broadcast(sizes), "shard")         # MAX_SHARDS rows at most
+    home, guest = (F.pmod(F.hash("node"), F.greatest(F.lit(1), F.col(c))) for c in ("parts", "more"))
+    return dealt.withColumn("own", F.when(F.col("member"), home).otherwise(F.col("parts") + guest))
+
+
+def search_tasks(dealt: DataFrame, graph: DataFrame) -> DataFrame:
+    """The rows of each task (shard, part, block): the part's members, and the
+    block's vectors as queries."""
+    asked = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
+                        lambda p: F.struct(p.alias("part"), F.col("own").alias("block")))
+    held = F.transform(F.sequence(F.lit(0), F.col("parts") + F.col("more") - 1),
+                       lambda k: F.struct(F.col("own").alias("part"), k.alias("block")))
+    tasks = F.when(F.col("member"), F.array_distinct(F.concat(asked, held))).otherwise(asked)
+    return (dealt.filter("member").join(graph, "node")
+            .unionByName(dealt.filter("not member").withColumn("near", F.lit(None).cast("array<binary>")))
+            .withColumn("task", F.explode(tasks))
+            .select("node", "w", "raw", "shard", "shards", "seen", "member", "own", "near", "task.*"))
+
+
+FOUND = pa.schema([("node", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
 
 
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -192,24 +246,31 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     else:
         centroids = np.zeros((1, dim))
     overlap = min(OVERLAP, len(centroids))
+    visit = np.cos(min(np.pi, 2 * np.arccos(np.clip(cosine, -1, 1))))
 
     def assign(batches):
-        for b in batches:
-            raw = b.column("raw").to_pylist()
-            near = np.argsort(-(unit(raw, dim) @ centroids.T), axis=1, kind="stable")[:, :overlap]
-            at = pa.array(np.repeat(np.arange(len(raw)), overlap))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c).take(at) for c in ("node", "w", "raw")]
-                + [pa.array(near.ravel(), pa.int32()), pa.array(np.repeat(np.sort(near, 1), overlap, axis=0).tolist(),
-                                                                pa.list_(pa.int32()))],
-                names=["node", "w", "raw", "shard", "shards"])
+        for b in (whole.slice(k, QUERIES) for whole in batches for k in range(0, whole.num_rows, QUERIES)):
+            c = unit(b.column("raw").to_pylist(), dim) @ centroids.T
+            near = np.sort(np.argsort(-c, axis=1, kind="stable")[:, :overlap], axis=1)
+            member = np.zeros(c.shape, bool)
+            np.put_along_axis(member, near, True, 1)
+            seen = member | (c >= visit)
+            i, shard = np.nonzero(seen)
+            bits = pa.array([x.tobytes() for x in np.packbits(seen, axis=1)], pa.binary())
+            shards = pa.array(near.tolist(), pa.list_(pa.int32()))
+            for k in range(0, len(i), VISIT_ROWS):
+                s = slice(k, k + VISIT_ROWS)
+                at = pa.array(i[s])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(x).take(at) for x in ("node", "w", "raw")]
+                    + [pa.array(shard[s], pa.int32()), shards.take(at), bits.take(at),
+                       pa.array(member[i[s], shard[s]])],
+                    names=["node", "w", "raw", "shard", "shards", "seen", "member"])
 
     dealt = nodes.select("node", "w", "raw").mapInArrow(
-        assign, "node binary, w long, raw binary, shard int, shards array<int>")
+        assign, "node binary, w long, raw binary, shard int, shards array<int>, seen binary, member boolean")
     dealt = cut(dealt, "vec-shards")
-    sizes = dealt.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
-    dealt = dealt.join(F.broadcast(sizes), "shard")         # MAX_SHARDS rows at most
-    dealt = dealt.withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
+    dealt = blocks_of(dealt)
 
     def build(t: pa.Table) -> pa.Table:
         ids = np.array(t.column("node").to_pylist(), object)
@@ -217,50 +278,53 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         return pa.table({"node": pa.array(ids.tolist(), pa.binary()),
                          "near": pa.array([ids[a].tolist() for a in lists], pa.list_(pa.binary()))})
 
-    graph = (dealt.groupBy("shard", "part").applyInArrow(build, "node binary, near array<binary>")
+    graph = (dealt.filter("member").groupBy("shard", "own").applyInArrow(build, "node binary, near array<binary>")
              .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
     graph = cut(graph, "vec-graph")
-    queries = (dealt.join(graph, "node").withColumn("own", F.col("part"))
-               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    queries = search_tasks(dealt, graph)
 
     def search(t: pa.Table) -> pa.Table:
-        raw = unit(t.column("raw").to_pylist(), dim)
         ids = t.column("node").to_pylist()
-        w = t.column("w").to_numpy()
-        inside = np.flatnonzero(t.column("own").to_numpy() == t.column("part").to_numpy())
-        x = raw[inside]
+        own_block = t.column("own").to_numpy()
+        here, part, block = (t.column(c)[0].as_py() for c in ("shard", "part", "block"))
+        inside = np.flatnonzero((own_block == part) & t.column("member").to_numpy(zero_copy_only=False))
+        asking = np.flatnonzero(own_block == block)
+        if not len(asking):
+            return FOUND.empty_table()
+        raw = unit(t.column("raw").to_pylist(), dim)
+        x, w = raw[inside], t.column("w").to_numpy()[inside].astype(np.float64)
         place = {ids[k]: i for i, k in enumerate(inside)}
         near = t.column("near").to_pylist()
         lists = [np.array([place[v] for v in near[k] if v in place], np.int64) for k in inside]
-        own = [np.array(sorted({place[v] for v in [*near[k], ids[k]] if v in place}), np.int64)
-               for k in range(len(ids))]
-        found = [np.zeros(0, np.int64)] * 2
-        if len(inside):
-            for s in range(0, len(ids), PART_ROWS):
-                i, j, c = range_search(x, lists, raw[s:s + PART_ROWS], own[s:s + PART_ROWS])
-                ok = c >= cosine
-                found[0] = np.concatenate([found[0], i[ok].astype(np.int64) + s])
-                found[1] = np.concatenate([found[1], inside[j[ok].astype(np.int64)]])
-        a, b = found
-        a, b = np.concatenate([a, b]), np.concatenate([b, a])       # found from either side
-        pair = np.unique(a[a != b] * len(ids) + b[a != b])
-        a, b = pair // len(ids), pair % len(ids)
-        # a link is counted where it is looked up first: in the first common shard,
-        # and for vectors of other parts from the part that holds the other end
-        shards = np.array(t.column("shards").to_pylist(), np.int64)
-        here = t.column("shard")[0].as_py()
-        same = shards[a][:, :, None] == shards[b][:, None, :]
-        first = np.where(same.any(2), shards[a], np.iinfo(np.int64).max).min(1)
-        is_inside = np.zeros(len(ids), bool)
-        is_inside[inside] = True
-        counted = (first == here) & is_inside[b]
-        links = np.bincount(a[counted], weights=w[b[counted]], minlength=len(ids)).astype(np.int64)
-        root = local_roots(a, b, len(ids))
-        return pa.table({"node": pa.array(ids, pa.binary()), "links": pa.array(links, pa.int64()),
-                         "root": pa.array([ids[r] for r in root], pa.binary())})
-
-    found = cut(queries.select("node", "w", "raw", "shard", "shards", "part", "own", "near")
-                .groupBy("shard", "part").applyInArrow(search, "node binary, links long, root binary"), "vec-found")
+        hit = np.zeros((len(asking), len(inside)), bool)
+        for s in range(0, len(asking) if len(inside) else 0, QUERIES):
+            rows = asking[s:s + QUERIES]
+            own = [np.array(sorted({place[v] for v in [*(near[k] or []), ids[k]] if v in place}), np.int64)
+                   for k in rows]
+            hit[s:s + QUERIES] = range_search(x, lists, raw[rows], own, cosine)
+        if part == block:                                           # found from either side
+            hit |= hit.T
+            np.fill_diagonal(hit, False)
+        of_rows, root = hit_roots(hit)
+        # a link is counted where it is looked up first: in the first of the
+        # other end's shards that the query is searched in
+        seen = np.unpackbits(np.frombuffer(b"".join(t.column("seen").take(pa.array(asking)).to_pylist()), np.uint8)
+                             .reshape(len(asking), -1), axis=1).astype(bool)
+        shards = np.array(t.column("shards").take(pa.array(inside)).to_pylist(), np.int64).reshape(len(inside), overlap)
+        for k in range(overlap):
+            early = shards[:, k] < here
+            hit[:, early] &= ~seen[:, shards[early, k]]
+        links = [(hit[s:s + QUERIES] @ w) for s in range(0, len(asking), QUERIES)]
+        links = np.concatenate(links).astype(np.int64) if links else np.zeros(0, np.int64)
+        name = [ids[k] for k in inside] + [None]
+        moved = np.flatnonzero(root != np.arange(len(inside)))
+        nodes = [ids[k] for k in asking] + [name[k] for k in moved]
+        roots = [name[r] or ids[k] for k, r in zip(asking, of_rows)] + [name[root[k]] for k in moved]
+        return pa.table([pa.array(nodes, pa.binary()), pa.array([*links.tolist(), *[0] * len(moved)], pa.int64()),
+                         pa.array(roots, pa.binary())], schema=FOUND)
+
+    found = cut(queries.groupBy("shard", "part", "block")
+                .applyInArrow(search, "node binary, links long, root binary"), "vec-found")
     comp = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     labels = nodes.select("node", "first", "w").join(comp, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))

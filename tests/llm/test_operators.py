@@ -268,6 +268,21 @@ def test_embedding_dedup(spark):
     assert embedding_dedup(df.filter("false")).count() == 0
 
 
+def test_embedding_dedup_of_a_large_group(spark):
+    """10,000 different near copies: about 25 shards, most pairs across shards."""
+    from starforge.llm.embedding_dedup import embedding_dedup
+    r = np.random.default_rng(8)
+    x = np.concatenate([r.normal(size=(1, 16)) + 0.05 * r.normal(size=(10_000, 16)), r.normal(size=(500, 16))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {v.vec_id: (v.n_links, v.component_id) for v in embedding_dedup(df).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.95).sum(1) - 1
+    links = np.array([got[i][0] for i in range(len(x))])
+    assert (want[:10_000] > 9_000).all() and (links <= want).all()
+    assert links.sum() >= 0.999 * want.sum()
+    assert all(got[i][1] == 0 for i in range(10_000))
+
+
 def test_empty_tables(spark, docs):
     from starforge.llm.license_scan import license_scan
     from starforge.llm.minhash_dedup import minhash_dedup
