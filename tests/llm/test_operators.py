@@ -283,6 +283,22 @@ def test_embedding_dedup_of_a_large_group(spark):
     assert all(got[i][1] == 0 for i in range(10_000))
 
 
+def test_embedding_search_tasks_are_bounded(spark, monkeypatch):
+    """One shard over many parts, with visitors: no task holds more than a part
+    and a block, and every query meets every part."""
+    from starforge.llm import embedding_dedup as ed
+    monkeypatch.setattr(ed, "PART_ROWS", 50)
+    rows = [(i.to_bytes(16), 1, b"", 0, [0], b"", i < 1000) for i in range(1600)]
+    dealt = spark.createDataFrame(rows, "node binary, w long, raw binary, shard int, shards array<int>, seen binary, "
+                                        "member boolean")
+    graph = dealt.select("node", F.array().cast("array<binary>").alias("near"))
+    tasks = ed.search_tasks(ed.blocks_of(dealt), graph)
+    per = tasks.groupBy("shard", "part", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("own") == F.col("block")).cast("int")).alias("asking")).collect()
+    assert len(per) == 20 * 32 and max(x.n for x in per) <= 4 * 50
+    assert sum(x.asking for x in per) == 20 * 1600
+
+
 def test_empty_tables(spark, docs):
     from starforge.llm.license_scan import license_scan
     from starforge.llm.minhash_dedup import minhash_dedup
