@@ -326,7 +326,8 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pairs = cut(dealt.withColumn("g", at).groupBy("g").applyInArrow(name_pairs, "a binary, b binary").distinct(),
                 "near-pairs")
     # rows that share an id belong together
-    same_id = (able.select("doc_id", "node").distinct().join(nodes.select("doc_id", F.col("node").alias("b")), "doc_id")
+    low = able.groupBy("doc_id").agg(F.min("node").alias("b"))
+    same_id = (able.select("doc_id", "node").distinct().join(low, "doc_id")
                .filter("node <> b").select(F.col("node").alias("a"), "b"))
     links = cut(confirm(pairs, d, nodes.select("node", "doc_id"), rule).unionByName(same_id), "near-links")
     comp = cut(components(links), "near-components")

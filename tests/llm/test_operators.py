@@ -340,6 +340,15 @@ def test_minhash_dedup_by_other_shingles_and_threshold(spark):
     assert {r.doc_id for r in minhash_dedup(df).filter("kept").collect()} == set(range(8))
 
 
+def test_rows_that_share_an_id_belong_together(spark):
+    """Id 5 on two texts, each also at a smaller id: no text's smallest id is 5."""
+    from starforge.llm.minhash_dedup import minhash_dedup
+    a, b = _text(21, 50), _text(22, 50)
+    df = spark.createDataFrame([(5, a), (5, b), (3, a), (4, b)], "doc_id long, text string")
+    got = [(r.doc_id, r.component_id, r.kept) for r in minhash_dedup(df).collect()]
+    assert sorted(got) == [(3, 3, True), (4, 3, False), (5, 3, False), (5, 3, False)]
+
+
 def test_sql_oracles(spark, con, sf_small):
     from starforge.compare import compare
     from starforge.llm import queries
