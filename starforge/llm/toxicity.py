@@ -178,8 +178,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
         for b in batches:
             for text, y in zip(b["text"], b["y"]):
                 (pos if y else neg).update(doc_patterns(fold(text)))
-        keys = [k for k, v in pos.items()]          # patterns seen in toxic documents, and
-        keys += [k for k, v in neg.items() if v > 1 and k not in pos]   # whole clean words
+        keys = [*pos, *(k for k in neg if k not in pos)]    # all: rare ones may add up over the tasks
         yield pd.DataFrame({"pattern": keys, "pos": [pos[k] for k in keys], "neg": [neg[k] for k in keys]})
 
     counts = (sample.mapInPandas(count, "pattern string, pos long, neg long")

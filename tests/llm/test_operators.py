@@ -349,6 +349,19 @@ def test_rows_that_share_an_id_belong_together(spark):
     assert sorted(got) == [(3, 3, True), (4, 3, False), (5, 3, False), (5, 3, False)]
 
 
+def test_toxicity_counts_do_not_depend_on_tasks(spark):
+    """A clean word of six documents, about one a task, becomes an exception."""
+    import zlib
+
+    from starforge.llm.toxicity import learn
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2][:600]    # not held out
+    rows = [(i, _text(i, 30) + (" vile moron" if k < 200 else " vileness" if k < 206 else ""), int(k < 200))
+            for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert " vile" in model["lexicon"] and " vileness " in model["exceptions"]
+
+
 def test_sql_oracles(spark, con, sf_small):
     from starforge.compare import compare
     from starforge.llm import queries
