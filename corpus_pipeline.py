@@ -8,7 +8,7 @@ Between stages the rows are written as Parquet to the shared folder and read
 back.
 
 Defined results: rows with a NULL id or text, empty texts and repeated rows pass
-as the operators define; of rows that share an id one stays (the smallest text);
+as the operators define; of rows that share an id one stays (the smallest text, NULL last);
 an empty table gives an empty result.
 """
 
@@ -34,7 +34,7 @@ def drop_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = minhash_dedup(docs, shingle=SHINGLE, percent=PERCENT).filter("kept").select("doc_id").filter("doc_id is not null").distinct()
     rows = docs.join(kept, "doc_id").select(docs.columns)
-    twin = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    twin = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text")))
     one = rows.withColumn("__twin", twin).filter("__twin = 1").drop("__twin")
     return one.unionByName(docs.filter("doc_id is null"))
 

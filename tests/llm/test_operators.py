@@ -362,6 +362,13 @@ def test_toxicity_counts_do_not_depend_on_tasks(spark):
     assert " vile" in model["lexicon"] and " vileness " in model["exceptions"]
 
 
+def test_pipeline_keeps_a_text_over_null(spark):
+    import corpus_pipeline as cp
+    df = spark.createDataFrame([(1, None), (1, "some words"), (2, None)], "doc_id long, text string")
+    got = cp.keep_one_of_near_copies(spark, df, None).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "some words"), (2, None)]
+
+
 def test_sql_oracles(spark, con, sf_small):
     from starforge.compare import compare
     from starforge.llm import queries
