@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starforge.llm import (embedding_dedup, language_id, license_scan,
-                           minhash_dedup, mixing, quality_rules,
-                           sentencepiece_codec, substring_dedup, suffix_dedup,
-                           toxicity)
+                           merkle_manifest, minhash_dedup, mixing,
+                           quality_rules, sentencepiece_codec, substring_dedup,
+                           suffix_dedup, token_alignment, toxicity, url_filter)
 from starforge.llm.common import table
 
 
@@ -61,9 +61,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(table(spark, sf_dir, "pages"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_toxicity, op2_license_scan, op3_minhash_dedup, op4_substring_dedup, op5_language_id,
-           op6_sentencepiece, op7_suffix_dedup, op8_mixing, op9_embedding_dedup, op10_quality_rules)
+           op6_sentencepiece, op7_suffix_dedup, op8_mixing, op9_embedding_dedup, op10_quality_rules, op11_url_filter,
+           op12_token_alignment, op13_merkle_manifest)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
@@ -73,4 +86,5 @@ def oracle_sql() -> dict[str, str]:
             "op3_minhash_dedup": minhash_dedup.minhash_sql(),
             "op4_substring_dedup": substring_dedup.substring_sql(),
             "op7_suffix_dedup": suffix_dedup.suffix_sql(), "op8_mixing": mixing.mix_sql(),
-            "op10_quality_rules": quality_rules.quality_sql()}
+            "op10_quality_rules": quality_rules.quality_sql(), "op11_url_filter": url_filter.url_sql(),
+            "op13_merkle_manifest": merkle_manifest.manifest_sql()}
