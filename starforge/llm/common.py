@@ -40,3 +40,17 @@ def ascii_lower(c: Column) -> Column:
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """Partition count that keeps about ``per_part`` rows in each."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // per_part))
+
+
+def release_memory() -> None:
+    """Hand freed memory of a Python worker back to the machine: workers live on
+    from stage to stage beside the executor's JVM."""
+    import ctypes
+    import gc
+
+    import pyarrow
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of the GNU library
+    if trim is not None:
+        trim(0)

@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import LOWER, UPPER, cut, id_text
+from starforge.llm.common import LOWER, UPPER, cut, id_text, release_memory
 from starforge.llm.components import components, local_roots
 from starforge.llm.passages import mixed
 from starforge.llm.substring_dedup import Words, gram_hashes, grams
@@ -55,7 +55,8 @@ ALL_PAIRS, HUBS = 12, 4     # buckets up to ALL_PAIRS name all pairs
 BLOCK = 2048                # members of a large bucket compared at a time
 GROUP_ROWS = 20_000
 BROADCAST_ROWS = 100_000
-HASH_BYTES = 5              # of a shingle's hash, in the sets that travel
+CHECKED = 256               # pairs confirmed at a time in a task
+HASH_BYTES = 8              # of a shingle's hash, in the sets that travel
 
 
 class Rule(NamedTuple):
@@ -228,6 +229,7 @@ def full_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(prints, pa.binary()), b.column("node"), pa.array(sets, pa.binary())],
                 names=["print", "node", "hashes"])
+        release_memory()
 
     sets = (docs.join(side, "doc_id").select("text", "node")
             .mapInArrow(full, "print binary, node binary, hashes binary")
@@ -241,7 +243,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule) ->
     both = pairs.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
 
     def check(batches):
-        for b in batches:
+        for b in (whole.slice(k, CHECKED) for whole in batches for k in range(0, whole.num_rows, CHECKED)):
             keep = []
             for i, (x, y) in enumerate(zip(b.column("ha").to_pylist(), b.column("hb").to_pylist())):
                 x, y = hashes_of(x), hashes_of(y)
@@ -290,6 +292,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
                  pa.array([m.tobytes() for m in mins], pa.binary())], names=["doc_id", "n", "node", "sketch"])
+        release_memory()
 
     rows = cut(d.mapInArrow(sketch, "doc_id long, n long, node binary, sketch binary"), "near-sketches")
     able = rows.filter("doc_id is not null and node is not null")
@@ -370,9 +373,10 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  .withColumn("block", F.pmod(F.hash("node"), F.col("parts"))))
     others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     open_rows = (open_rows.withColumn("o", others).withColumn("bi", F.least("block", "o"))
-                 .withColumn("bj", F.greatest("block", "o")).withColumn("g", at))
-    open_rows = cut(open_rows.select("key", "t", "node", "n", "sketch", "root", "block", "bi", "bj", "g"),
-                    "near-open")
+                 .withColumn("bj", F.greatest("block", "o")))
+    open_rows = cut(open_rows.select("key", "t", "node", "n", "sketch", "root", "block", "bi", "bj"), "near-open")
+    groups = max(1, -(-open_rows.count() // GROUP_ROWS))
+    open_rows = open_rows.withColumn("g", F.pmod(F.hash("key", "bi", "bj"), F.lit(groups)))
     rest = cut(open_rows.select("g", "node").distinct(), "near-rest")
     sets = full_sets(rest.select("node").distinct(), d, nodes.select("node", "doc_id"), rule)
     more = cut(open_rows.groupBy("g").cogroup(rest.join(sets, "node").groupBy("g"))

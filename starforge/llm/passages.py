@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import cut
+from starforge.llm.common import cut, release_memory
 
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20      # text per bucket, about
@@ -77,6 +77,7 @@ def pack(docs: DataFrame, name: str, keep: list[str] = (), id_col: str = "doc_id
                 size += run
         if held:
             yield flush()
+        release_memory()
 
     import pyarrow.compute  # noqa: F401  (pa.compute)
     OUT = pa.schema([("chunk", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.binary()),
@@ -150,6 +151,7 @@ def state_codes(chunks: DataFrame, fingerprints, buckets: int) -> DataFrame:
                     [pa.array(full, pa.int32()), pa.array([c.number] * len(full), pa.int64()),
                      pa.array([code[at[k]:at[k + 1]].view(np.uint8).reshape(-1, 4).T.tobytes()
                                for k in full], pa.binary())], schema=ENTRIES)
+        release_memory()
     return chunks.mapInArrow(run, ENTRIES_SQL)
 
 

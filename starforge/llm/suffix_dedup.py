@@ -22,9 +22,13 @@ which gives the common prefixes; after ``WIDTH`` rounds the intervals hold the
 suffixes that share ``WIDTH`` bytes, and the smallest doc_id of an interval
 judges its windows.
 
-Nothing larger than a chunk or a bucket is held in a task.  A minimizer that
-more than ``HOT`` chunks share would gather one string per document around it:
-its windows are dealt singly, by their own hash.
+Nothing larger than a chunk or a bucket is held in a task, and a bucket is held
+as one byte buffer with places in it.  A minimizer that more than ``HOT`` chunks
+share is split by its neighbours: its windows with more bytes before it are dealt
+by the bytes before it too, the others by the bytes behind it, which equal windows
+have in common.  What the transforms judge are different strings around one
+minimizer; strings equal as a whole are found by two 64-bit hashes before, in the
+chunk and in the bucket, and only their smallest id goes on.
 
 Defined results: NULL and empty texts have no bytes and lose none; rows with a
 NULL id come after all others; rows that share an id do not judge each other
@@ -39,13 +43,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from starforge.llm.common import release_memory
 from starforge.llm.passages import (Chunk, ENTRIES_SQL, bucket_of, cover, entries_table, find_repeats,
                                     marks_of, mixed, n_buckets, pack, result_schema, result_table, runs,
                                     state_codes, with_chunks)
 
 WIDTH, SEED = 50, 16
 SHARD_BYTES = 1 << 16
-HOT = 4096
+HOT = 64             # chunks with the same minimizer before it is split by its neighbours
+NEAR = 8             # bytes of a neighbour
+GROUP_BYTES = 1 << 20    # strings merged at a time
 
 
 # -- minimizers -----------------------------------------------------------
@@ -169,11 +176,11 @@ class Shard:
         order = sorted_suffixes(text, self.ends[owner], int(size.max()) + 1)
         before = np.concatenate([[0], text[:-1]])
         before[self.starts] = 0                         # a string begins behind its closing 0
-        self.bwt = before[order]
-        self.rank = np.empty(len(order), np.int64)      # of the suffix at each place
+        self.bwt = before[order].astype(np.uint16)
+        self.rank = np.empty(len(order), np.int32)      # of the suffix at each place
         self.rank[order] = np.arange(len(order))
         # where the suffix one symbol longer stands: equal symbols keep their order
-        self.step = np.empty(len(order), np.int64)
+        self.step = np.empty(len(order), np.int32)
         self.step[np.argsort(self.bwt, kind="stable")] = np.arange(len(order))
 
 
@@ -191,7 +198,7 @@ def merge(shards: list[Shard], begin: np.ndarray, rounds: int) -> tuple[np.ndarr
     used = np.unique(symbols)
     kind = np.uint8 if len(used) <= 1 << 8 else np.uint16
     symbols = np.searchsorted(used, symbols).astype(kind)
-    step = np.concatenate([s.step + b for s, b in zip(shards, base)]).astype(np.int32)
+    step = np.concatenate([s.step + np.int32(b) for s, b in zip(shards, base)])
     which = np.argsort(begin, kind="stable").astype(np.int32)       # shard after shard, as sorted there
     rank = begin[which].astype(np.int32)
     interval = np.zeros(len(rank), np.int32)
@@ -228,7 +235,8 @@ def smallest_by_window(strings: list[bytes], ids: np.ndarray, width: int,
             m = n[first:i + 1]
             # a window is followed from the suffix behind it
             at = np.repeat(shard.starts + width, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-            begin.append(shard.rank[at] + sum(len(s.bwt) for s in shards))
+            begin.append(shard.rank[at] + np.int32(sum(len(s.bwt) for s in shards)))
+            shard.rank = None
             shards.append(shard)
             size, first = 0, i + 1
     which, interval = merge(shards, np.concatenate(begin), width)
@@ -240,6 +248,72 @@ def smallest_by_window(strings: list[bytes], ids: np.ndarray, width: int,
     return out, base
 
 
+# -- dealing --------------------------------------------------------------
+
+def split_by_neighbours(b: np.ndarray, s: Strings, wide: np.ndarray, width: int) -> tuple:
+    """(start, size, string, key, offset) of the strings ``wide`` cut in two: windows
+    with more than half of their other bytes before the minimizer, and the rest."""
+    half = (width - SEED) // 2
+    near = min(NEAR, half)
+    before = np.clip(s.offset[wide] - half, 0, s.n[wide])           # windows of the first kind
+    place = s.start[wide] + s.offset[wide]
+
+    def key(at: np.ndarray) -> np.ndarray:
+        h = s.seed[wide]
+        for j in range(near):
+            h = mixed(h + b[np.clip(at + j, 0, len(b) - 1)].astype(np.uint64) + np.uint64(1))
+        return h
+    start = np.concatenate([s.start[wide], s.start[wide] + before])
+    n = np.concatenate([before, s.n[wide] - before])
+    offset = np.concatenate([s.offset[wide], s.offset[wide] - before])
+    some = n > 0
+    keys = np.concatenate([key(place - near), key(place + SEED) + np.uint64(1)])
+    return start[some], n[some] + width - 1, np.tile(wide, 2)[some], keys[some], offset[some]
+
+
+def deal(c: Chunk, marks, buckets: int, width: int) -> list[tuple[int, int, bytes]]:
+    """What a chunk sends: (bucket, chunk, strings), and under a negative bucket
+    the windows settled in the chunk itself.  ``marks(hashes)``: 1 for a minimizer
+    of other chunks too, 2 for one of more than ``hot``."""
+    h, s, inverse, count = index(c, width)
+    mark = marks(h)
+    mark = np.where((mark == 0) & (count > 1), 1, mark)[inverse]
+    take, wide = np.flatnonzero(mark == 1), np.flatnonzero(mark == 2)
+    start, size, doc = s.start[take], s.size[take], s.doc[take]
+    home, offset = bucket_of(s.seed[take], buckets), s.offset[take]
+    if len(wide):
+        start2, size2, of, key, offset2 = split_by_neighbours(c.bytes, s, wide, width)
+        start, size, doc = np.append(start, start2), np.append(size, size2), np.append(doc, s.doc[of])
+        home, offset = np.append(home, bucket_of(key, buckets)), np.append(offset, offset2)
+    if not len(start):
+        return []
+    a = byte_hashes(c.bytes, start, size, 0x9FB21C651E98DF25)
+    b = byte_hashes(c.bytes, start, size, 0xA0761D6478BD642F)
+    ids = c.ids[doc]
+    order = np.lexsort((ids, b, a, home))
+    start, size, ids, home, offset, a, b = (x[order] for x in (start, size, ids, home, offset, a, b))
+    head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (home[1:] != home[:-1])])
+    at = np.flatnonzero(head)
+    lead = np.repeat(at, np.diff(np.append(at, len(a))))
+    later = ids != ids[lead]                        # an earlier document of this chunk has it
+    here = np.zeros(len(c.bytes), bool)
+    n = (size - width + 1)[later]
+    here[np.repeat(start[later], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] = True
+    rows = [(-1 - c.number % buckets, c.number, _pairs(*runs(here)))]
+    start, size, ids, home, offset = (x[~later] for x in (start, size, ids, home, offset))
+    order = np.lexsort((start, home))               # in text order: compresses well
+    start, size, ids, home, offset = (x[order] for x in (start, size, ids, home, offset))
+    cut_at = np.searchsorted(home, np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(cut_at)):
+        p = slice(cut_at[k], cut_at[k + 1])
+        text = b"".join([c.blob[x:x + y] for x, y in zip(start[p].tolist(), size[p].tolist())])
+        n = len(start[p])
+        rows.append((int(k), c.number, b"".join([
+            np.uint32(n).tobytes(), ids[p].tobytes(), start[p].astype(np.uint32).tobytes(),
+            size[p].astype(np.uint8).tobytes(), offset[p].astype(np.uint8).tobytes(), text])))
+    return rows
+
+
 # -- the job --------------------------------------------------------------
 
 def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: list[str] = (), id_col: str = "doc_id",
@@ -257,54 +331,14 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: list[str] = (), id_c
     hits = find_repeats(state_codes(chunks, state, buckets), hot)
 
     def send(c: Chunk, replies: pa.Table) -> pa.Table:
-        h, s, inverse, count = index(c, width)
-        mark = marks_of(h, replies, buckets)
-        mark = np.where((mark == 0) & (count > 1), 1, mark)[inverse]
-        take = np.flatnonzero(mark == 1)
-        start, size, doc = s.start[take], s.size[take], s.doc[take]
-        home, offset = bucket_of(s.seed[take], buckets), s.offset[take]
-        wide = np.flatnonzero(mark == 2)                # windows of hot minimizers, one by one
-        if len(wide):
-            n = s.n[wide]
-            each = np.repeat(s.start[wide], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            alone = byte_hashes(c.bytes, each, np.full(len(each), width), 0xD6E8FEB86659FD93)
-            start = np.concatenate([start, each])
-            size = np.concatenate([size, np.full(len(each), width)])
-            doc = np.concatenate([doc, np.repeat(s.doc[wide], n)])
-            home = np.concatenate([home, bucket_of(alone, buckets)])
-            offset = np.concatenate([offset, np.full(len(each), 255)])
-        if not len(start):
-            return entries_table([])
-        a = byte_hashes(c.bytes, start, size, 0x9FB21C651E98DF25)
-        b = byte_hashes(c.bytes, start, size, 0xA0761D6478BD642F)
-        ids = c.ids[doc]
-        order = np.lexsort((ids, b, a, home))
-        start, size, ids, home, offset, a, b = (x[order] for x in (start, size, ids, home, offset, a, b))
-        head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (home[1:] != home[:-1])])
-        at = np.flatnonzero(head)
-        lead = np.repeat(at, np.diff(np.append(at, len(a))))
-        later = ids != ids[lead]                        # an earlier document of this chunk has it
-        here = np.zeros(len(c.bytes), bool)
-        n = (size - width + 1)[later]
-        here[np.repeat(start[later], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] = True
-        rows = [(-1 - c.number % buckets, c.number, _pairs(*runs(here)))]
-        start, size, ids, home, offset = (x[~later] for x in (start, size, ids, home, offset))
-        order = np.lexsort((start, home))               # in text order: compresses well
-        start, size, ids, home, offset = (x[order] for x in (start, size, ids, home, offset))
-        cut_at = np.searchsorted(home, np.arange(buckets + 1))
-        for k in np.flatnonzero(np.diff(cut_at)):
-            p = slice(cut_at[k], cut_at[k + 1])
-            text = b"".join([c.blob[x:x + y] for x, y in zip(start[p].tolist(), size[p].tolist())])
-            n = len(start[p])
-            rows.append((int(k), c.number, b"".join([
-                np.uint32(n).tobytes(), ids[p].tobytes(), start[p].astype(np.uint32).tobytes(),
-                size[p].astype(np.uint8).tobytes(), offset[p].astype(np.uint8).tobytes(), text])))
-        return entries_table(rows)
+        return entries_table(deal(c, lambda h: marks_of(h, replies, buckets), buckets, width))
 
     def judge(t: pa.Table) -> pa.Table:
         if t.column("bucket")[0].as_py() < 0:           # settled inside their chunks
             return t
-        return judge_bucket(t.column("chunk").to_pylist(), t.column("data").to_pylist(), width)
+        out = judge_bucket(t.column("chunk").to_pylist(), t.column("data").to_pylist(), width)
+        release_memory()
+        return out
 
     late = with_chunks(chunks, hits, send, ENTRIES_SQL).groupBy("bucket").applyInArrow(judge, ENTRIES_SQL)
 
@@ -338,56 +372,77 @@ def _pairs(lo: np.ndarray, hi: np.ndarray) -> bytes:
     return lo.astype(np.uint32).tobytes() + hi.astype(np.uint32).tobytes()
 
 
+def blocks_of(size: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs (first, after the last) of strings with at most ``most`` bytes, or one."""
+    ends, out, first = np.cumsum(size), [], 0
+    while first < len(size):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        out.append((first, last))
+        first = last
+    return out
+
+
 def judge_bucket(numbers: list[int], data: list[bytes], width: int) -> pa.Table:
     """Runs of windows (first, after the last; places in their chunk) that also
     stand in a document with a smaller id."""
-    groups: dict[bytes, list[int]] = {}         # strings by their minimizer
-    unique: dict[bytes, int] = {}
-    strings, all_ids, all_start, all_k, counts = [], [], [], [], []
-    for x in data:
-        n = int(np.frombuffer(x[:4], np.uint32)[0])
-        all_ids.append(np.frombuffer(x[4:4 + 8 * n], np.int64))
-        all_start.append(np.frombuffer(x[4 + 8 * n:4 + 12 * n], np.uint32))
-        size, offset = x[4 + 12 * n:4 + 13 * n], x[4 + 13 * n:4 + 14 * n]
-        counts.append(n)
-        at, ks = 4 + 14 * n, []
-        for m, o in zip(size, offset):
-            s = x[at:at + m]
-            at += m
-            k = unique.get(s)
-            if k is None:
-                k = unique[s] = len(strings)
-                strings.append(s)
-                if o < 255:                     # a hot minimizer's window stands alone
-                    groups.setdefault(s[o:o + SEED], []).append(k)
-            ks.append(k)
-        all_k.append(ks)
-    ids, start = np.concatenate(all_ids), np.concatenate(all_start).astype(np.int64)
-    k = np.concatenate([np.array(x, np.int64) for x in all_k])
-    low = np.full(len(strings), np.iinfo(np.int64).max)
-    np.minimum.at(low, k, ids)
-    windows = np.array([len(s) for s in strings], np.int64) - width + 1
-    # smallest id by window: of the string itself, or of all it shares the window with
-    first = np.cumsum(windows) - windows
-    best = np.repeat(low, windows)
-    several = np.array([j for g in groups.values() if len(g) > 1 for j in g], np.int64)
-    if len(several):
-        merged, base = smallest_by_window([strings[j] for j in several], low[several], width)
-        m = windows[several]
+    counts = np.array([int(np.frombuffer(x, np.uint32, 1)[0]) for x in data], np.int64)
+
+    def column(kind, skip: int) -> np.ndarray:
+        return np.concatenate([np.frombuffer(x, kind, n, 4 + skip * n) for x, n in zip(data, counts.tolist())])
+    ids, start = column(np.int64, 0), column(np.uint32, 8)
+    size, offset = column(np.uint8, 12).astype(np.int32), column(np.uint8, 13).astype(np.int32)
+    text = np.concatenate([np.frombuffer(x, np.uint8, offset=4 + 14 * n) for x, n in zip(data, counts.tolist())])
+    at = np.cumsum(size, dtype=np.int64) - size
+    # equal strings by two hashes, a block at a time
+    a, b = np.empty(len(size), np.uint64), np.empty(len(size), np.uint64)
+    for lo, hi in blocks_of(size, 1 << 16):
+        part = text[at[lo]:at[hi - 1] + size[hi - 1]]
+        a[lo:hi] = byte_hashes(part, at[lo:hi] - at[lo], size[lo:hi].astype(np.int64), 0x9FB21C651E98DF25)
+        b[lo:hi] = byte_hashes(part, at[lo:hi] - at[lo], size[lo:hi].astype(np.int64), 0xA0761D6478BD642F)
+    order = np.lexsort((ids, b, a))
+    a, b = a[order], b[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    del a, b
+    first = order[new]                              # of each different string, the one with the smallest id
+    k = np.empty(len(size), np.int32)
+    k[order] = np.cumsum(new) - 1
+    low, length = ids[first], size[first]
+    # different strings around the same minimizer
+    seed = np.stack([text[at[first] + offset[first] + j] for j in range(SEED)], axis=1)
+    seed = np.ascontiguousarray(seed).view(np.uint64)
+    order = np.lexsort((seed[:, 1], seed[:, 0]))
+    seed = seed[order]
+    new = np.concatenate([[True], (seed[1:] != seed[:-1]).any(axis=1)])
+    group = np.cumsum(new) - 1
+    several = np.bincount(group)[group] > 1
+    order, group = order[several], group[several]
+    windows = length - width + 1
+    base = np.cumsum(windows, dtype=np.int64) - windows
+    best = np.repeat(low, windows)                  # smallest id by window of each different string
+    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
+    sizes = np.add.reduceat(length[order], heads) if len(heads) else heads
+    heads = np.append(heads, len(order))
+    for lo, hi in blocks_of(sizes, GROUP_BYTES):
+        own = order[heads[lo]:heads[hi]]
+        strings = [text[p:p + n].tobytes() for p, n in zip(at[first[own]].tolist(), length[own].tolist())]
+        merged, _ = smallest_by_window(strings, low[own], width)
+        m = windows[own]
+        best[np.repeat(base[own], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)] = merged
+    del text
+    out, done = [], np.cumsum(counts)
+    for r, n in enumerate(counts.tolist()):         # a chunk's strings at a time
+        p = slice(done[r] - n, done[r])
+        m = windows[k[p]]
         inner = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-        best[np.repeat(first[several], m) + inner] = merged[np.repeat(base, m) + inner]
-    m = windows[k]
-    inner = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-    late = best[np.repeat(first[k], m) + inner] < np.repeat(ids, m)
-    place = np.repeat(start, m) + inner
-    edge = inner == 0
-    lo = np.flatnonzero(late & (edge | ~np.concatenate([[False], late[:-1]])))
-    hi = np.flatnonzero(late & np.concatenate([edge[1:] | ~late[1:], [True]]))
-    row = np.repeat(np.repeat(np.arange(len(data)), counts), m)[lo]
-    lo, hi = place[lo], place[hi] + 1
-    at = np.searchsorted(row, np.arange(len(data) + 1))
-    return entries_table([(0, numbers[r], _pairs(lo[at[r]:at[r + 1]], hi[at[r]:at[r + 1]]))
-                          for r in range(len(data)) if at[r + 1] > at[r]])
+        late = best[np.repeat(base[k[p]], m) + inner] < np.repeat(ids[p], m)
+        if not late.any():
+            continue
+        place, edge = np.repeat(start[p].astype(np.int64), m) + inner, inner == 0
+        lo = np.flatnonzero(late & (edge | ~np.concatenate([[False], late[:-1]])))
+        hi = np.flatnonzero(late & np.concatenate([edge[1:] | ~late[1:], [True]]))
+        out.append((0, numbers[r], _pairs(place[lo], place[hi] + 1)))
+    return entries_table(out)
 
 
 def suffix_sql(width: int = WIDTH) -> str:
