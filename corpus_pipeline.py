@@ -23,8 +23,10 @@ from starforge.llm.mixing import mix_rows
 from starforge.llm.sentencepiece_codec import encode_udf, load_vocabulary
 from starforge.llm.suffix_dedup import suffix_dedup
 from starforge.llm.toxicity import drop_toxic
+from starforge.session import known_size
 
-SHINGLE, PERCENT = 3, 85    # near copies: words of a shingle, least similarity of the sets (see REPLY_r02.md)
+SHINGLE, PERCENT = 5, 80    # near copies: words of a shingle, least similarity of the sets
+FEW = 100_000               # ids in no more rows than this are broadcast (16 bytes each)
 
 
 def drop_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +34,15 @@ def drop_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = minhash_dedup(docs, shingle=SHINGLE, percent=PERCENT).filter("kept").select("doc_id").filter("doc_id is not null").distinct()
-    rows = docs.join(kept, "doc_id").select(docs.columns)
+    """Texts meet only the ids that are dropped or repeated; repeated ids alone are sorted."""
+    found = minhash_dedup(docs, shingle=SHINGLE, percent=PERCENT)
+    odd = cut(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__odd")).agg(
+        F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__n")).filter("not __kept or __n > 1"), "pipeline-ids")
+    few = F.broadcast(odd) if known_size(odd).rows <= FEW else odd
+    met = docs.join(few, docs["doc_id"] == F.col("__odd"), "left")
     twin = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text")))
-    one = rows.withColumn("__twin", twin).filter("__twin = 1").drop("__twin")
-    return one.unionByName(docs.filter("doc_id is null"))
+    twins = met.filter("__kept").withColumn("__twin", twin).filter("__twin = 1")
+    return met.filter("__odd is null").select(docs.columns).unionByName(twins.select(docs.columns))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
