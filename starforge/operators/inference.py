@@ -5,24 +5,28 @@ the only link is the client: proposal items carry (client, code) and
 contract rows carry (client, description, revenue line).  Joining the two
 on the client emits every code x description pair of a client, which is
 quadratic in the client's size and explodes on a large client.  This
-operator reaches a valid answer (a description that co-occurs with the
-code through some client) without emitting those pairs:
-
-1. exact client-set match: the code's set of clients is fingerprinted
-   (count plus order-free 64/32-bit hash aggregates of the client keys);
-   so is each description's set.  A description whose client set equals
-   the code's has the highest possible co-occurrence with it.  Per
-   fingerprint only the smallest (description, line) is kept, so the
-   match is an N:1 join;
-2. fallback for codes without a match: the smallest (description, line)
-   held by any of the code's clients -- per client the smallest pair is
-   found first (one row per client), attached to the code's (client,
-   code) pairs by an N:1 join, and reduced per code in the same
-   aggregation that fingerprints the code's client set.
-
-Every step is a partial aggregation or an N:1 join; no step emits all
-pairs within a client.  ``cooccurrence_pairs_per_client`` reports how
-large the literal pair join would be, again without building it.
+operator finds, for each code, the description with the largest
+co-occurrence (clients that have both; ties: the smallest description,
+then line, NULLs first) -- the pair join's argmax, without the pair join:
+
+1. codes with equal client sets get equal answers, and of descriptions
+   with equal client sets only the smallest can win: both sides are
+   reduced to their different sets by order-free fingerprints (128 bits);
+2. no overlap exceeds the code's own set, so a description that holds all
+   its clients is certain to be a winner.  It stands among the
+   descriptions of the set's rarest client (the prefix filter for full
+   overlap); set sizes, bit signatures and the text of an equal set rule
+   out nearly all others, and the rest are counted exactly;
+3. sets that no description contains are counted exactly, split by degree.
+   Clients with at most ``LIGHT_PAIRS`` pairs are joined: at most 32 pairs
+   per input row.  The others ("heavy": at most one per 127 rows) are
+   counted between the different heavy profiles -- the sets restricted to
+   heavy clients -- so a client that holds a third of all rows adds one
+   profile, not its codes times its descriptions.  An overlap is the light
+   count plus that of the two profiles.
+
+``cooccurrence_pairs_per_client`` reports how large the literal pair join
+would be, without building it.
 """
 
 from __future__ import annotations
@@ -30,7 +34,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_FP = ["_fp_n", "_fp_x64", "_fp_min", "_fp_max", "_fp_x32"]
+from starforge.session import materialize
+
+LIGHT_PAIRS = 4096
 
 
 def _fingerprint_aggs(member: str = "cd_cliente") -> list:
@@ -56,29 +62,91 @@ def client_descriptions(clients: DataFrame) -> DataFrame:
                    .distinct())
 
 
-def infer_product_map(history: DataFrame, clients: DataFrame) -> DataFrame:
+def _signature(member: str = "cd_cliente", words: int = 4) -> list:
+    """Bit signature: a set inside another has no bit the other lacks."""
+    return [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(F.col(member), F.lit(k)), F.lit(64))
+                                     .cast("int"))).alias(f"_sig{k}") for k in range(words)]
+
+
+def _set_key() -> list:
+    """The fingerprint as two 64-bit columns."""
+    return [F.col("_fp_x64").alias("s1"), F.xxhash64("_fp_n", "_fp_min", "_fp_max", "_fp_x32").alias("s2")]
+
+
+def infer_product_map(history: DataFrame, clients: DataFrame, light_pairs: int = LIGHT_PAIRS) -> DataFrame:
     """One row per product code: CD_PRODUTO, DS_PRODUTO, DS_LINHA_RECEITA."""
-    codes = client_codes(history)
-    descs = client_descriptions(clients)
-    pair = F.struct(F.col("DS_PRODUTO").alias("d"), F.col("DS_LINHA_RECEITA").alias("l"))
-
-    # per client: its smallest (description, line) -- one row per client
-    client_min = descs.groupBy("cd_cliente").agg(F.min(pair).alias("_cmin"))
-    # per code, in one aggregation over its (client, code) pairs: the
-    # fingerprint of its client set and the fallback choice
-    code_side = (codes.join(client_min, "cd_cliente", "left")
-                      .groupBy("CD_PRODUTO")
-                      .agg(*_fingerprint_aggs(), F.min("_cmin").alias("_fall")))
-    # per description: the fingerprint of its client set; per fingerprint
-    # only the smallest description survives, so the match is N:1
-    desc_fp = descs.groupBy("DS_PRODUTO", "DS_LINHA_RECEITA").agg(*_fingerprint_aggs())
-    best_per_fp = desc_fp.groupBy(*_FP).agg(F.min(pair).alias("_exact"))
-
-    chosen = (code_side.join(best_per_fp, _FP, "left")
-                       .select("CD_PRODUTO", F.coalesce("_exact", "_fall").alias("_p"))
-                       .filter(F.col("_p").isNotNull()))
-    return chosen.select("CD_PRODUTO", F.col("_p.d").alias("DS_PRODUTO"),
-                         F.col("_p.l").alias("DS_LINHA_RECEITA"))
+    sig = [f"_sig{k}" for k in range(4)]
+    descs = materialize(client_descriptions(clients).select(
+        "cd_cliente", F.struct(F.col("DS_PRODUTO").alias("d"), F.col("DS_LINHA_RECEITA").alias("l")).alias("pair")),
+        "client_descriptions")
+    # clients without descriptions add to no overlap: codes keep the others.
+    # rank: a number that orders clients by rarity, then hash (a plain long, so
+    # that its minimum is hash-aggregated; equal ranks only add candidates)
+    rank = (F.least(F.count(F.lit(1)), F.lit((1 << 20) - 1)) * F.lit(1 << 43)
+            + F.pmod(F.xxhash64("cd_cliente"), F.lit(1 << 43)))
+    holders = descs.groupBy("cd_cliente").agg(rank.alias("rank"))
+    codes = materialize(client_codes(history).join(holders, "cd_cliente"), "client_codes")
+    code_fp = codes.groupBy("CD_PRODUTO").agg(
+        *_fingerprint_aggs(), *_signature(), F.min("rank").alias("rank"))
+    code_of = materialize(code_fp.select("CD_PRODUTO", *_set_key(), "_fp_n", *sig, "rank"), "code_sets")
+    desc_sets = materialize(descs.groupBy("pair").agg(*_fingerprint_aggs(), *_signature())
+                 .select("pair", *_set_key(), F.col("_fp_n").alias("n_d"), *[F.col(c).alias(f"d{c}") for c in sig])
+                 .groupBy("s1", "s2", "n_d", *[f"d{c}" for c in sig]).agg(F.min("pair").alias("pair")), "description_sets")
+    sets = (code_of.groupBy("s1", "s2", "rank", "_fp_n", *sig).agg(F.min("CD_PRODUTO").alias("code"))
+            .join(desc_sets.select("s1", "s2", F.col("pair").alias("equal")), ["s1", "s2"], "left"))
+    held = descs.join(desc_sets, "pair")            # (client, description) of the different sets
+
+    covers = [F.col(c).bitwiseAND(F.bitwise_not(F.col(f"d{c}"))) == 0 for c in sig]
+    maybe = sets.join(held.join(holders, "cd_cliente").select("rank", "pair", "n_d", *[f"d{c}" for c in sig]), "rank").filter(
+        (F.col("n_d") > F.col("_fp_n")) & (F.col("equal").isNull() | (F.col("pair") < F.col("equal"))))
+    for c in covers:
+        maybe = maybe.filter(c)
+    members = codes.select("cd_cliente", F.col("CD_PRODUTO").alias("code"))
+    sure = (maybe.select("code", "pair", "_fp_n").join(members, "code")
+            .join(descs, ["cd_cliente", "pair"], "left_semi")
+            .groupBy("code", "pair", "_fp_n").agg(F.count(F.lit(1)).alias("n")).filter("n = _fp_n")
+            .groupBy("code").agg(F.min("pair").alias("inside")))
+    known = materialize(sets.join(sure, "code", "left").select(
+        "code", "s1", "s2", F.coalesce("inside", "equal").alias("pair")), "product_sets")
+    answers = known.filter("pair is not null").select("s1", "s2", "pair")
+    rest = known.filter("pair is null").select("code", "s1", "s2")
+    if not rest.isEmpty():
+        best = _counted(members.join(rest.select("code"), "code"), held.select("cd_cliente", "pair"), light_pairs)
+        answers = answers.unionByName(rest.join(best, "code").select("s1", "s2", "pair"))
+    return code_of.select("CD_PRODUTO", "s1", "s2").join(answers, ["s1", "s2"]).select(
+        "CD_PRODUTO", F.col("pair.d").alias("DS_PRODUTO"), F.col("pair.l").alias("DS_LINHA_RECEITA"))
+
+
+def _counted(codes: DataFrame, descs: DataFrame, light_pairs: int) -> DataFrame:
+    """(code, pair): the largest overlap of each code, counted exactly."""
+    first = lambda n: F.min(F.struct((-F.col(n)).alias("n"), "pair")).alias("best")     # noqa: E731
+    degrees = codes.groupBy("cd_cliente").agg(F.count(F.lit(1)).alias("a")).join(
+        descs.groupBy("cd_cliente").agg(F.count(F.lit(1)).alias("b")), "cd_cliente")
+    heavy = materialize(degrees.filter(F.col("a") * F.col("b") > light_pairs).select("cd_cliente"), "heavy_clients")
+    light = (codes.join(heavy, "cd_cliente", "left_anti").join(descs, "cd_cliente")
+             .groupBy("code", "pair").agg(F.count(F.lit(1)).alias("n")))
+    if heavy.isEmpty():
+        return light.groupBy("code").agg(first("n")).select("code", "best.pair")
+
+    def profiles(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """(name -> profile) and, per profile, its smallest member and the heavy clients."""
+        own = rows.join(heavy, "cd_cliente", "left_semi")
+        of = own.groupBy(name).agg(*_fingerprint_aggs()).select(name, *_set_key())
+        lead = of.groupBy("s1", "s2").agg(F.min(name).alias("lead"))
+        return materialize(of.join(lead, ["s1", "s2"]).select(name, "lead"), "profiles"), own
+    code_profile, code_heavy = profiles(codes, "code")
+    desc_profile, desc_heavy = profiles(descs, "pair")
+    both = (code_heavy.join(code_profile.filter("code = lead").select("code"), "code")
+            .join(desc_heavy.join(desc_profile.filter("pair = lead").select("pair"), "pair"), "cd_cliente")
+            .groupBy(F.col("code").alias("c_lead"), F.col("pair").alias("d_lead")).agg(F.count(F.lit(1)).alias("m")))
+    both = materialize(both, "profile_counts")
+    alone = both.select("c_lead", F.col("d_lead").alias("pair"), "m").groupBy("c_lead").agg(first("m"))
+    alone = code_profile.join(alone, code_profile["lead"] == F.col("c_lead")).select("code", "best")
+    total = (light.join(code_profile.select("code", F.col("lead").alias("c_lead")), "code", "left")
+             .join(desc_profile.select("pair", F.col("lead").alias("d_lead")), "pair", "left")
+             .join(both, ["c_lead", "d_lead"], "left")
+             .withColumn("n", F.col("n") + F.coalesce("m", F.lit(0))).groupBy("code").agg(first("n")))
+    return alone.unionByName(total).groupBy("code").agg(F.min("best").alias("best")).select("code", "best.pair")
 
 
 def cooccurrence_pairs_per_client(history: DataFrame, clients: DataFrame) -> DataFrame:

@@ -280,35 +280,14 @@ WHERE cd_cliente IS NOT NULL AND cd_prod IS NOT NULL""",
     "g_descs": """
 SELECT DISTINCT cd_cliente, ds_prod AS DS_PRODUTO, ds_lin_rec AS DS_LINHA_RECEITA FROM s_clientes
 WHERE cd_cliente IS NOT NULL""",
-    "g_code_sets": "SELECT CD_PRODUTO, list_sort(list(cd_cliente)) AS cs FROM g_codes GROUP BY CD_PRODUTO",
-    "g_desc_sets": """
-SELECT DS_PRODUTO, DS_LINHA_RECEITA, list_sort(list(cd_cliente)) AS cs FROM g_descs
-GROUP BY DS_PRODUTO, DS_LINHA_RECEITA""",
-    "g_best_per_set": """
-SELECT cs, DS_PRODUTO, DS_LINHA_RECEITA FROM (
-  SELECT *, row_number() OVER (PARTITION BY cs ORDER BY DS_PRODUTO NULLS FIRST,
-                                                   DS_LINHA_RECEITA NULLS FIRST) AS rn
-  FROM g_desc_sets) WHERE rn = 1""",
-    "g_exact": """
-SELECT c.CD_PRODUTO, b.DS_PRODUTO, b.DS_LINHA_RECEITA FROM g_code_sets c JOIN g_best_per_set b
-ON c.cs = b.cs""",
-    "g_client_min": """
-SELECT cd_cliente, DS_PRODUTO, DS_LINHA_RECEITA FROM (
-  SELECT *, row_number() OVER (PARTITION BY cd_cliente ORDER BY DS_PRODUTO NULLS FIRST,
-                                                          DS_LINHA_RECEITA NULLS FIRST) AS rn
-  FROM g_descs) WHERE rn = 1""",
-    "g_fallback": """
-SELECT CD_PRODUTO, DS_PRODUTO, DS_LINHA_RECEITA FROM (
-  SELECT c.CD_PRODUTO, m.DS_PRODUTO, m.DS_LINHA_RECEITA,
-    row_number() OVER (PARTITION BY c.CD_PRODUTO ORDER BY m.DS_PRODUTO NULLS FIRST,
-                                                   m.DS_LINHA_RECEITA NULLS FIRST) AS rn
-  FROM g_codes c JOIN g_client_min m ON c.cd_cliente = m.cd_cliente) WHERE rn = 1""",
+    "g_overlaps": """
+SELECT CD_PRODUTO, DS_PRODUTO, DS_LINHA_RECEITA, count(*) AS n FROM g_codes JOIN g_descs USING (cd_cliente)
+GROUP BY CD_PRODUTO, DS_PRODUTO, DS_LINHA_RECEITA""",
     "g_product_map": """
-SELECT f.CD_PRODUTO,
-  CASE WHEN e.CD_PRODUTO IS NOT NULL THEN e.DS_PRODUTO ELSE f.DS_PRODUTO END AS DS_PRODUTO,
-  CASE WHEN e.CD_PRODUTO IS NOT NULL THEN e.DS_LINHA_RECEITA ELSE f.DS_LINHA_RECEITA END
-    AS DS_LINHA_RECEITA
-FROM g_fallback f LEFT JOIN g_exact e ON f.CD_PRODUTO = e.CD_PRODUTO""",
+SELECT CD_PRODUTO, DS_PRODUTO, DS_LINHA_RECEITA FROM (
+  SELECT *, row_number() OVER (PARTITION BY CD_PRODUTO ORDER BY n DESC, DS_PRODUTO NULLS FIRST,
+                                                            DS_LINHA_RECEITA NULLS FIRST) AS rn
+  FROM g_overlaps) WHERE rn = 1""",
     "g_dim_product": keyed("SK_PRODUTO", ["CD_PRODUTO", "DS_PRODUTO", "DS_LINHA_RECEITA"],
                            "g_product_map", ["CD_PRODUTO"], "INTEGER"),
     "g_products_by_name": """
