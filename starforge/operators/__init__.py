@@ -12,17 +12,22 @@ from starforge.operators.keys import (ROW_ID, dense_key, identity_of, surrogate_
 from starforge.operators.lookup import (broadcast_if_small, enrich, lookup,
                                         rejects, require_in, role_join)
 from starforge.operators.nulls import fill_missing_score, fill_unknown, fill_zero
+from starforge.operators.reasons import Checked, Lookup, lookup_with_reasons, split_by_reasons
+from starforge.operators.registry import (new_keys, unseen,
+                                          with_registered_keys)
 from starforge.operators.setops import observed_dates, union_by_name
 from starforge.operators.shaping import (col, null_col, rename_project,
                                          replace_column, tag, to_gold_names)
 
 __all__ = [
+    "Checked", "Lookup", "lookup_with_reasons", "split_by_reasons",
     "ROW_ID", "identity_of", "with_row_identity",
     "attach_contract_span", "broadcast_if_small", "col", "contract_span",
     "cooccurrence_pairs_per_client", "dense_key", "distinct_rows",
     "drop_duplicates_all", "enrich", "fill_missing_score", "fill_unknown",
-    "fill_zero", "infer_product_map", "keep_one", "lookup", "null_col",
+    "fill_zero", "infer_product_map", "keep_one", "lookup", "new_keys", "null_col",
     "observe_rows", "observed_dates", "rejects", "rename_project",
     "replace_column", "require_in", "role_join", "row_count", "surrogate_key",
-    "tag", "to_gold_names", "total_order", "union_by_name",
+    "tag", "to_gold_names", "total_order", "union_by_name", "unseen",
+    "with_registered_keys",
 ]

@@ -35,8 +35,9 @@ from starforge.plans.silver import (SILVER_JOBS, silver_clients, silver_contract
                                     silver_telemetry, silver_tickets)
 from starforge.plans.warehouse import Warehouse
 from starforge.schemas import BRONZE, BRONZE_FILES, SILVER
+from starforge.plans.pipeline import extend_dim
 from starforge.session import scratch_path
-from starforge.sinks import publish, write_parquet
+from starforge.sinks import feed_sinks, publish, read_version, write_parquet, write_version
 from starforge.sources import read_csv, read_parquet, write_csv
 
 
@@ -142,6 +143,57 @@ def dual_publish(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+@register("atomic_overwrite_roundtrip", O.sql("""
+SELECT * FROM s_contratacoes UNION ALL SELECT * FROM s_contratacoes"""))
+def atomic_overwrite_roundtrip(spark, sf_dir):
+    """K1 / K2 as versions: written, overwritten (one version stands), then
+    appended to; read back through the committed version."""
+    path = scratch_path(spark, "versioned_contracts")
+    df = W(spark, sf_dir).silver("contratacoes")
+    for mode in ("overwrite", "overwrite", "append"):
+        write_version(df, path, mode)
+    return read_version(spark, path)
+
+
+@register("resumed_publish", O.select_all("g_dim_ticket"))
+def resumed_publish(spark, sf_dir):
+    """K5 / K6: the first copy fails, the rerun feeds only that sink; the
+    result is what the sink holds."""
+    path, copy = scratch_path(spark, "versioned_dim_ticket"), scratch_path(spark, "copy_dim_ticket")
+    calls = []
+
+    def sink(df, mode):
+        calls.append(mode)
+        if len(calls) == 1:
+            raise ConnectionError("the sink is down")
+        write_parquet(df, copy, mode)
+    write_version(W(spark, sf_dir).dim_ticket(), path)
+    runs = [feed_sinks(spark, path, {"copy": sink})[0].ok for _ in range(3)]
+    if runs != [False, True, True] or len(calls) != 2:
+        raise RuntimeError((runs, calls))
+    return read_parquet(spark, copy)
+
+
+@register("dim_append_keys", O.sql("""
+SELECT * FROM (
+WITH one AS (SELECT CD_PRODUTO, row_number() OVER (ORDER BY CD_PRODUTO) AS SK_PRODUTO
+             FROM (SELECT DISTINCT cd_prod AS CD_PRODUTO FROM s_historico
+                   WHERE cd_prod IS NOT NULL AND dt_upload < DATE '1995-03-01')),
+two AS (SELECT CD_PRODUTO, row_number() OVER (ORDER BY CD_PRODUTO) + (SELECT max(SK_PRODUTO) FROM one) AS SK_PRODUTO
+        FROM (SELECT DISTINCT cd_prod AS CD_PRODUTO FROM s_historico WHERE cd_prod IS NOT NULL)
+        WHERE CD_PRODUTO NOT IN (SELECT CD_PRODUTO FROM one))
+SELECT SK_PRODUTO, CD_PRODUTO FROM one UNION ALL SELECT SK_PRODUTO, CD_PRODUTO FROM two)"""))
+def dim_append_keys(spark, sf_dir):
+    """Products of the proposals before March 1995, then of all proposals,
+    then of all again, into one dimension: keys stay, only new codes are numbered."""
+    path = scratch_path(spark, "dim_products")
+    items = W(spark, sf_dir).silver("historico").filter("cd_prod is not null")
+    codes = lambda df: df.select(F.col("cd_prod").alias("CD_PRODUTO"))      # noqa: E731
+    for run in (items.filter("dt_upload < date '1995-03-01'"), items, items):
+        extend_dim(codes(run), path, "SK_PRODUTO", ["CD_PRODUTO"])
+    return read_version(spark, path)
+
+
 # -------------------------------------------------------------- shaping
 _HIST_RENAMES = {
     "nr_proposta": "NR_PROPOSTA", "item_proposta": "ITEM_PROPOSTA", "dt_upload": "DT_UPLOAD",
@@ -229,6 +281,27 @@ def q_existence(spark, sf_dir):
     return require_in(t, w.dim_time(), [(as_date("dt_atualizacao"), "DATA")])
 
 
+@register("fact_tickets_rejects", O.sql("""
+SELECT bk_ticket, reasons FROM (
+  SELECT bk_ticket, concat_ws(',',
+    CASE WHEN NOT coalesce(t.cd_cliente IN (SELECT CD_CLIENTE FROM g_client_keys WHERE CD_CLIENTE IS NOT NULL), false)
+         THEN 'client' END,
+    CASE WHEN NOT EXISTS (SELECT 1 FROM g_dim_priority p WHERE p.TIPO_PRIORIDADE = t.prioridade_ticket) THEN 'priority' END,
+    CASE WHEN NOT EXISTS (SELECT 1 FROM g_dim_ticket d WHERE d.tipo_ticket = t.tipo_ticket
+                          AND d.status_ticket = t.status_ticket) THEN 'ticket' END,
+    CASE WHEN NOT EXISTS (SELECT 1 FROM g_dim_time c WHERE c.DATA = t.dt_criacao) THEN 'created' END,
+    CASE WHEN NOT EXISTS (SELECT 1 FROM g_dim_time c WHERE c.DATA = t.dt_atualizacao) THEN 'updated' END) AS reasons
+  FROM s_tickets t) WHERE reasons <> ''"""))
+def q_ticket_rejects(spark, sf_dir):
+    """every ticket that the ticket fact drops, with all lookups it fails,
+    from one pass."""
+    w = W(spark, sf_dir)
+    got = facts.tickets_checked(w.silver("tickets"), w.client_map(), w.dim_priority(), w.dim_ticket(), w.dim_time())
+    if got.rows < got.rejected or got.rejected > sum(got.failed.values()):
+        raise RuntimeError(got)
+    return got.quarantine.select("bk_ticket", F.array_join("reasons", ",").alias("reasons"))
+
+
 @register("lookup_rejects", O.sql("""
 SELECT nr_proposta, item_proposta, cd_cliente, cd_prod, dt_upload, 'cliente' AS reason
 FROM s_historico h WHERE NOT EXISTS (SELECT 1 FROM g_client_keys k WHERE k.CD_CLIENTE = h.cd_cliente)
@@ -537,6 +610,22 @@ def q_infer(spark, sf_dir):
     return infer_product_map(w.silver("historico"), w.silver("clientes"))
 
 
+@register("infer_family_map", O.sql("""
+SELECT CD_PRODUTO, DS_PRODUTO, DS_LINHA_RECEITA FROM (
+  SELECT *, row_number() OVER (PARTITION BY CD_PRODUTO ORDER BY n DESC, DS_PRODUTO NULLS FIRST,
+                                                            DS_LINHA_RECEITA NULLS FIRST) AS rn
+  FROM (SELECT f AS CD_PRODUTO, DS_PRODUTO, DS_LINHA_RECEITA, count(*) AS n
+        FROM (SELECT DISTINCT cd_cliente, substr(CAST(cd_prod AS VARCHAR), 1, 2) AS f FROM s_historico
+              WHERE cd_cliente IS NOT NULL AND cd_prod IS NOT NULL) JOIN g_descs USING (cd_cliente)
+        GROUP BY ALL)) WHERE rn = 1"""))
+def q_infer_family(spark, sf_dir):
+    """A4 where no client sets are equal: the description that shares most
+    clients with a product family (the code's first two digits)."""
+    w = W(spark, sf_dir)
+    family = w.silver("historico").withColumn("cd_prod", F.substring(F.col("cd_prod").cast("string"), 1, 2))
+    return infer_product_map(family, w.silver("clientes"))
+
+
 @register("row_count_audit", O.sql(" UNION ALL ".join(
     f"SELECT '{e}' AS entity, count(*) AS n_rows FROM {cte}" for e, cte in [
         ("clientes", "s_clientes_raw"), ("contratacoes", "s_contratacoes"),

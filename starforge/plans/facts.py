@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.functions import as_date, resolution_days
-from starforge.operators import (dense_key, enrich, fill_zero, identity_of, lookup,
-                                 replace_column, require_in, role_join,
+from starforge.operators import (Checked, Lookup, dense_key, enrich, fill_zero, identity_of, lookup,
+                                 replace_column, require_in, role_join, split_by_reasons,
                                  union_by_name)
 from starforge.plans.dims import products_by_name
 from starforge.schemas import GOLD_COLUMNS
@@ -72,6 +72,20 @@ def tickets_base(tickets: DataFrame, client_map: DataFrame, dim_priority: DataFr
                      *(identity_of(tickets) or []))
 
 
+def tickets_checked(tickets: DataFrame, client_map: DataFrame, dim_priority: DataFrame,
+                    dim_ticket: DataFrame, dim_time: DataFrame) -> Checked:
+    """The lookups of :func:`tickets_base` with the reasons of every dropped
+    ticket: rows kept and rejected add up to the tickets."""
+    return split_by_reasons(tickets, [
+        Lookup("client", client_map, [("cd_cliente", "CD_CLIENTE")], {"_sk_client": "SK_CLIENTE"}),
+        Lookup("priority", dim_priority, [("prioridade_ticket", "TIPO_PRIORIDADE")], {"_sk_priority": "SK_PRIORIDADE"}),
+        Lookup("ticket", dim_ticket, [("tipo_ticket", "tipo_ticket"), ("status_ticket", "status_ticket")],
+               {"_sk_ticket": "sk_ticket"}),
+        Lookup("created", dim_time, [(as_date("dt_criacao"), "DATA")], {"_sk_time": "SK_TEMPO"}),
+        Lookup("updated", dim_time, [(as_date("dt_atualizacao"), "DATA")]),
+    ], "tickets_checked")
+
+
 def fact_tickets(tickets, client_map, dim_priority, dim_ticket, dim_time) -> DataFrame:
     base = tickets_base(tickets, client_map, dim_priority, dim_ticket, dim_time)
     return dense_key(base, "SK_FATO_TICKET", tiebreak=identity_of(base)) \

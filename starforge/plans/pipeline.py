@@ -22,12 +22,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starforge.operators import with_row_identity
+from starforge.operators import keep_one, new_keys, unseen, with_registered_keys, with_row_identity
 from starforge.plans import dims, facts
 from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
 from starforge.schemas import BRONZE, BRONZE_FILES, GOLD_COLUMNS, SILVER, assert_schema
 from starforge.session import materialize, remember_size, scratch_scope, written_size
 from starforge.sinks import JdbcTarget, publish, run_step
+from starforge.sinks.versioned import Version, current, read_version, write_version
 from starforge.sources import Layers, read_csv, read_parquet, write_csv
 from starforge.sources import fixtures
 
@@ -72,7 +73,7 @@ def land_bronze(spark: SparkSession, sf_dir: str, layers: Layers) -> None:
     for entity, (name, sep) in BRONZE_FILES.items():
         df = fixtures.bronze(spark, sf_dir, entity)
         if entity == "telemetria":
-            odd = (F.col("productlineid").cast("int") % 2) == 1
+            odd = F.coalesce((F.col("productlineid").cast("int") % 2) == 1, F.lit(False))
             write_csv(df.filter(odd), layers.bronze("telemetria_a"), sep=sep)
             write_csv(df.filter(~odd), layers.bronze("telemetria_b"), sep=sep)
         else:
@@ -202,6 +203,47 @@ def _dim_job(spark, layers, table, jdbc, calendar_all_dates, parquet_mode) -> St
     return report
 
 
+# the columns that identify a row of a dimension; a contract row is all of its columns
+NATURAL_KEYS = {
+    "dim_cliente": ("SK_CLIENTE", GOLD_COLUMNS["dim_cliente"][1:], "bigint"),
+    "dim_produto": ("SK_PRODUTO", ["CD_PRODUTO"], "int"),
+    "dim_prioridade": ("SK_PRIORIDADE", ["TIPO_PRIORIDADE"], "int"),
+    "dim_ticket": ("sk_ticket", ["tipo_ticket", "status_ticket"], "int"),
+}
+
+
+def extend_dim(rows: DataFrame, path: str, name: str, natural: list[str], key_type: str = "bigint") -> Version:
+    """Append to the dimension at ``path`` (a versioned table) the rows whose
+    natural key it lacks, one each, under keys that last.
+
+    The keys live in a registry beside it (``<path>_chaves``), committed first:
+    if the run dies between the two commits, the next one finds the keys and
+    appends the same rows under them."""
+    spark = rows.sparkSession
+    registry_path = f"{path.rstrip('/')}_chaves"
+    known = current(spark, registry_path)
+    registry = read_version(spark, registry_path, known) if known else None
+    rows = rows.select(*[c for c in rows.columns if c != name])
+    write_version(new_keys(rows, registry, name, natural, key_type), registry_path, "append")
+    registry = read_version(spark, registry_path)
+    stored = current(spark, path)
+    if stored is not None:
+        rows = unseen(rows, read_version(spark, path, stored), natural)
+    return write_version(with_registered_keys(keep_one(rows, natural), registry, name, natural), path, "append")
+
+
+def extend_dim_job(spark: SparkSession, layers: Layers, table: str) -> StepReport:
+    """One incremental dimension run into ``<table>_incremental``: rows already
+    stored keep their keys, new ones are numbered on."""
+    t0 = time.perf_counter()
+    name, natural, key_type = NATURAL_KEYS[table]
+    with scratch_scope(spark):
+        df = DIM_BUILDERS[table](spark, layers)
+        rows = dims.dim_client(df) if table == "dim_cliente" else df
+        version = extend_dim(rows, layers.gold(f"{table}_incremental"), name, natural, key_type)
+    return StepReport(f"gold:{table}", time.perf_counter() - t0, version.rows)
+
+
 def _fact_df(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
     s = lambda e: silver(spark, layers, e)
     # fact rows carry their silver source-row identity (final tie-breaker

@@ -161,8 +161,9 @@ def known_size(df) -> Size | None:
 _WRITTEN: dict[str, tuple[Size, frozenset]] = {}
 
 
-def record_written(spark: SparkSession, path: str, size: Size) -> None:
-    files = frozenset(spark.read.parquet(path).inputFiles())
+def record_written(spark: SparkSession, path: str, size: Size, schema) -> None:
+    """``schema``: of the rows written, so that listing the files reads no footer."""
+    files = frozenset(spark.read.schema(schema).parquet(path).inputFiles())
     with _LOCK:
         _WRITTEN[path.rstrip("/")] = (size, files)
 

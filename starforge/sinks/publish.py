@@ -47,7 +47,7 @@ def publish(df: DataFrame, parquet_path: str, jdbc: JdbcTarget | None = None,
         write_parquet(observed, parquet_path, parquet_mode, sort_within)
         size = read()
         if parquet_mode == "overwrite":
-            record_written(df.sparkSession, parquet_path, size)
+            record_written(df.sparkSession, parquet_path, size, df.schema)
         results.append(SinkResult("parquet", True, size.rows))
     except Exception as e:  # noqa: BLE001 - reported
         results.append(SinkResult("parquet", False, error=str(e)))

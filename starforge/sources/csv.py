@@ -24,7 +24,7 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
     reader = (spark.read.option("sep", sep).option("header", header)
               .option("mode", mode).option("encoding", "UTF-8"))
     if schema is not None and header:
-        names = reader.csv(path).columns
+        names = header_names(spark, path, sep) or reader.csv(path).columns
         missing = [f.name for f in schema if f.name not in names]
         if missing:
             raise ValueError(f"{path}: no column {missing} in the header {names}")
@@ -38,6 +38,35 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
     return reader.csv(path)
 
 
+def header_names(spark: SparkSession, path: str | list[str], sep: str) -> list[str] | None:
+    """Column names in the first line of the first file, read through the
+    file system without a Spark job; None where that line is not plain text
+    (compressed or quoted), which is left to the reader."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path if isinstance(path, str) else path[0])
+    fs = at.getFileSystem(conf)
+    found = sorted(fs.globStatus(at) or [], key=lambda s: s.getPath().toString())
+    files = []
+    for status in found:
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        files += [s for s in inside if s.isFile() and s.getLen() and s.getPath().getName()[0] not in "._"]
+        if files:
+            break
+    if not files:
+        return None
+    file = min(files, key=lambda s: s.getPath().toString()).getPath()
+    if jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file) is not None:
+        return None
+    stream = fs.open(file)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    names = (line or "").removeprefix("\ufeff").split(sep)
+    plain = all(n.strip() == n and n for n in names) and '"' not in line and len({n.lower() for n in names}) == len(names)
+    return names if plain else None
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite") -> None:
     """Land a DataFrame as delimited text with a header (used to stage
     bronze extracts)."""
