@@ -20,7 +20,8 @@ by the sample).  Defined results: NULL or empty text has no match and gets the
 score of a text without matches; NULL labels are ignored, a document labelled
 twice counts as toxic if any label says so; without labelled rows of both
 classes the lexicon is empty and every score is 0.  Rows are scored one by one
-(repeated rows repeat their score).
+(repeated rows repeat their score); a very long text takes time and memory linear
+in its length.
 """
 
 import re
@@ -128,8 +129,17 @@ def match(a, folded: str) -> tuple[float, int, int]:
     if len(a):
         for end, (n, w) in a.iter(folded):
             (hits if w is not None else shield).append((end - n + 1, end, w))
-    if shield:
-        hits = [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e, _ in shield)]
+    if shield:      # both come in order of their ends: one sweep
+        first = [s for s, _, _ in shield]       # smallest start of this exception and the later ones
+        for k in range(len(first) - 2, -1, -1):
+            first[k] = min(first[k], first[k + 1])
+        k, free = 0, []
+        for h in hits:
+            while k < len(shield) and shield[k][1] < h[1]:
+                k += 1
+            if k == len(shield) or first[k] > h[0]:
+                free.append(h)
+        hits = free
     return sum(h[2] for h in hits), len(hits), len({folded[h[0]:h[1] + 1] for h in hits})
 
 
