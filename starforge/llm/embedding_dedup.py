@@ -16,8 +16,9 @@
   greedy beam until no closer vector turns up, then range expansion: every vector
   found with a cosine of ``EXPAND`` or more has its neighbours looked at, until
   none is new.
-* *Verification*: cosines in double precision decide; a link is counted for a
-  vector in the first of the other end's shards that the vector is searched in.
+* *Verification*: cosines in double precision decide; a link is counted once, for
+  both ends: in the first shard that has one end as a member and searches the other,
+  between two parts of it in the task that a bit of the two vectors' hashes names.
 
 Equal vectors are one node with a weight.  A task searches one part for one block
 of queries (about ``PART_ROWS`` each), counts their links and joins them to
@@ -47,12 +48,15 @@ PART_ROWS = 2048
 NEAR, RANDOM, DEGREE, FAR, ALPHA = 32, 32, 16, 4, 1.2
 BEAM, EXPAND, ENTRIES = 8, 0.90, 32
 QUERIES, VISIT_ROWS = 512, 20_000   # searched in step; rows dealt out at a time
+AUDIT_ROWS = 4096                   # queries of the audit held at a time, about
 SEED = 5
 
 
 def unit(raw: list[bytes], dim: int) -> np.ndarray:
-    """Unit vectors (double) of equally long packed vectors."""
+    """Unit vectors (double) of equally long packed vectors, scaled by their
+    largest component first: squares of finite numbers may leave the range."""
     x = np.frombuffer(b"".join(raw), np.float64).reshape(-1, dim)
+    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -187,6 +191,14 @@ def hit_roots(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
+def weighted(hit: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The weights of the columns hit, summed for every row."""
+    out = np.zeros(len(hit), np.int64)
+    for s in range(0, len(hit), QUERIES):
+        out[s:s + QUERIES] = hit[s:s + QUERIES] @ w
+    return out
+
+
 def blocks_of(dealt: DataFrame) -> DataFrame:
     """``dealt`` with the parts of each shard, the blocks of its visitors
     (``more``) and each row's own block: a part's members are the block of the
@@ -215,9 +227,9 @@ def search_tasks(dealt: DataFrame, graph: DataFrame) -> DataFrame:
 FOUND = pa.schema([("node", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
 
 
-def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    cosine: float = COSINE) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every row."""
+def packed_rows(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
+    """(vec_id, raw: the vector's doubles as bytes, NULL where it cannot link)
+    of every row, and the longest vector's length."""
     v = vectors.select(vectors[id_col].cast("long").alias("vec_id"),
                        vectors[vector_col].cast("array<double>").alias("v"))
     dim = v.agg(F.max(F.size("v"))).first()[0] or 1
@@ -231,9 +243,15 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(raw, pa.binary())],
                                              names=["vec_id", "raw"])
 
-    rows = (v.select("vec_id", "v", F.coalesce(good & F.col("vec_id").isNotNull(), F.lit(False)).alias("ok"))
-            .mapInArrow(packed, "vec_id long, raw binary").withColumn("node", F.unhex(F.md5("raw"))))
-    rows = cut(rows, "vec-rows")
+    rows = v.select("vec_id", "v", F.coalesce(good & F.col("vec_id").isNotNull(), F.lit(False)).alias("ok"))
+    return rows.mapInArrow(packed, "vec_id long, raw binary"), dim
+
+
+def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
+                    cosine: float = COSINE) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every row."""
+    rows, dim = packed_rows(vectors, id_col, vector_col)
+    rows = cut(rows.withColumn("node", F.unhex(F.md5("raw"))), "vec-rows")
     nodes = (rows.filter("raw is not null").select("node", "vec_id", "raw").distinct()
              .groupBy("node").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("w"),
                                   F.first("raw").alias("raw")))
@@ -292,7 +310,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         if not len(asking):
             return FOUND.empty_table()
         raw = unit(t.column("raw").to_pylist(), dim)
-        x, w = raw[inside], t.column("w").to_numpy()[inside].astype(np.float64)
+        x, w = raw[inside], t.column("w").to_numpy()
         place = {ids[k]: i for i, k in enumerate(inside)}
         near = t.column("near").to_pylist()
         lists = [np.array([place[v] for v in near[k] if v in place], np.int64) for k in inside]
@@ -306,21 +324,27 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             hit |= hit.T
             np.fill_diagonal(hit, False)
         of_rows, root = hit_roots(hit)
-        # a link is counted where it is looked up first: in the first of the
-        # other end's shards that the query is searched in
-        seen = np.unpackbits(np.frombuffer(b"".join(t.column("seen").take(pa.array(asking)).to_pylist()), np.uint8)
-                             .reshape(len(asking), -1), axis=1).astype(bool)
-        shards = np.array(t.column("shards").take(pa.array(inside)).to_pylist(), np.int64).reshape(len(inside), overlap)
-        for k in range(overlap):
-            early = shards[:, k] < here
-            hit[:, early] &= ~seen[:, shards[early, k]]
-        links = [(hit[s:s + QUERIES] @ w) for s in range(0, len(asking), QUERIES)]
-        links = np.concatenate(links).astype(np.int64) if links else np.zeros(0, np.int64)
+        # a link is counted in the first shard that has one end as a member and
+        # searches the other, between two parts in one of their two tasks
+        if part != block and t.column("member")[int(asking[0])].as_py():
+            bit = np.array([v[0] & 1 for v in ids], np.uint8)
+            hit &= (bit[asking][:, None] ^ bit[inside]) == (part < block)
+        for near_rows, far_rows, of_near in ((inside, asking, hit.T), (asking, inside, hit)):
+            shards = np.array(t.column("shards").take(pa.array(near_rows)).to_pylist(),
+                              np.int64).reshape(len(near_rows), overlap)
+            bits = b"".join(t.column("seen").take(pa.array(far_rows)).to_pylist())
+            seen = np.unpackbits(np.frombuffer(bits, np.uint8).reshape(len(far_rows), -1), axis=1).astype(bool)
+            for k in range(overlap if len(far_rows) else 0):
+                early = shards[:, k] < here
+                of_near[early] &= ~seen[:, shards[early, k]].T
+        links = weighted(hit, w[inside])
+        back = weighted(hit.T, w[asking]) if part != block else np.zeros(len(inside), np.int64)
         name = [ids[k] for k in inside] + [None]
-        moved = np.flatnonzero(root != np.arange(len(inside)))
-        nodes = [ids[k] for k in asking] + [name[k] for k in moved]
-        roots = [name[r] or ids[k] for k, r in zip(asking, of_rows)] + [name[root[k]] for k in moved]
-        return pa.table([pa.array(nodes, pa.binary()), pa.array([*links.tolist(), *[0] * len(moved)], pa.int64()),
+        told = np.flatnonzero((root != np.arange(len(inside))) | (back > 0))
+        nodes = [ids[k] for k in asking] + [name[k] for k in told]
+        roots = [name[r] or ids[k] for k, r in zip(asking, of_rows)] + [name[root[k]] for k in told]
+        links = np.concatenate([links, back[told]])
+        return pa.table([pa.array(nodes, pa.binary()), pa.array(links, pa.int64()),
                          pa.array(roots, pa.binary())], schema=FOUND)
 
     found = cut(queries.groupBy("shard", "part", "block")
@@ -339,23 +363,32 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
 
 def audit_recall(vectors: DataFrame, result: DataFrame, every: int = 50, cosine: float = COSINE,
-                 id_col: str = "vec_id", vector_col: str = "embedding", at_most: int = 2000) -> tuple[int, int]:
-    """(links found, links there are) of the vectors whose id is divisible by
-    ``every`` (``at_most`` of them), by brute force against all vectors."""
-    v = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("v"))
-    asked = v.filter(f"vec_id % {every} = 0").orderBy("vec_id").limit(at_most).toPandas()
-    q = np.array(asked["v"].tolist(), np.float64)
-    q /= np.sqrt((q * q).sum(1, keepdims=True))
-    ids = asked["vec_id"].tolist()
-
-    def count(batches):
-        total = np.zeros(len(ids), np.int64)
-        for b in batches:
-            x = np.array(b["v"].tolist(), np.float64)
-            x /= np.sqrt((x * x).sum(1, keepdims=True))
-            total += ((q @ x.T) >= cosine).sum(1)
-        yield pd.DataFrame({"vec_id": ids, "n": total})
-
-    true = v.mapInPandas(count, "vec_id long, n long").groupBy("vec_id").agg((F.sum("n") - 1).alias("n"))
-    r = true.join(result.select("vec_id", "n_links"), "vec_id").agg(F.sum(F.least("n", "n_links")), F.sum("n")).first()
-    return int(r[0] or 0), int(r[1] or 0)
+                 id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[int, int]:
+    """(links found, links there are) of all vectors whose id is divisible by
+    ``every``, by brute force against all vectors, ``AUDIT_ROWS`` queries at a
+    time.  The operator verifies every link, so found ones are true ones; vectors
+    that cannot link are left out."""
+    rows, dim = packed_rows(vectors, id_col, vector_col)
+    rows = cut(rows.filter("raw is not null").distinct(), "vec-audit")
+    asked = rows.filter(F.col("vec_id") % every == 0)
+    blocks = max(1, -(-2 * asked.count() // AUDIT_ROWS))
+    found = there = 0
+    for k in range(blocks):
+        of_block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == k
+        some = asked.filter(of_block).toPandas()
+        if not len(some):
+            continue
+        ids, q = some["vec_id"].tolist(), unit([bytes(x) for x in some["raw"]], dim)
+
+        def count(batches):
+            total = np.zeros(len(ids), np.int64)
+            for b in batches:
+                if len(b):
+                    total += ((q @ unit([bytes(x) for x in b["raw"]], dim).T) >= cosine).sum(1)
+            yield pd.DataFrame({"vec_id": ids, "n": total})
+
+        true = rows.mapInPandas(count, "vec_id long, n long").groupBy("vec_id").agg((F.sum("n") - 1).alias("n"))
+        mine = result.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.max("n_links").alias("n_links"))
+        r = true.join(mine, "vec_id").agg(F.sum(F.least("n", "n_links")), F.sum("n")).first()
+        found, there = found + int(r[0] or 0), there + int(r[1] or 0)
+    return found, there

@@ -418,3 +418,71 @@ def test_sql_oracles(spark, con, sf_small):
     for name, sql in queries.oracle_sql().items():
         r = compare(queries.queries()[name](spark, sf_small), con, sql)
         assert r["rows_match"] and r["columns_match"] and r["values_match"], (name, r)
+
+
+def test_toxicity_matches_against_every_pair():
+    """One sweep over hits and exceptions equals looking at all pairs, and 16,000
+    words take well under a second."""
+    import random
+    import time
+
+    from starforge.llm.toxicity import automaton, match
+    lexicon = {" ab": 1.0, " abc ": 2.0, " ca": 0.5, " b ": 4.0}
+    exceptions = [" abc ab ", " cab ", " b ab", " ab b ca "]
+    a, pick = automaton(lexicon, exceptions), random.Random(3)
+
+    def spans(text, p):
+        return [(i, i + len(p)) for i in range(len(text)) if text.startswith(p, i)]
+
+    for _ in range(300):
+        text = " " + " ".join(pick.choice(["ab", "abc", "b", "ca", "cab", "x"]) for _ in range(pick.randint(0, 30))) + " "
+        shield = [s for p in exceptions for s in spans(text, p)]
+        hits = [(s, w, p) for p, w in lexicon.items() for s in spans(text, p)
+                if not any(x <= s[0] and s[1] <= y for x, y in shield)]
+        assert match(a, text) == (sum(w for _, w, _ in hits), len(hits), len({p for *_, p in hits}))
+    long = " " + "abc ab b ca " * 4000
+    t0 = time.perf_counter()
+    match(a, long)
+    assert time.perf_counter() - t0 < 1.0
+
+
+def _links_of(x):
+    x = x / np.abs(x).max(1, keepdims=True)
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = x @ x.T >= 0.95
+    np.fill_diagonal(link, False)
+    return link
+
+
+def test_embedding_vectors_of_any_length(spark):
+    """Finite vectors whose squares leave the range of doubles link as any others;
+    the audit passes over vectors that cannot link."""
+    from starforge.llm.embedding_dedup import audit_recall, embedding_dedup
+    b = np.random.default_rng(2).normal(size=(2, 8))
+    x = np.concatenate([[b[0], 1e-200 * b[0], 1e200 * b[0], 2 * b[0]], [1e300 * b[1], -1e300 * b[1]]])
+    rows = [(50 * i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1050, [0.0] * 8), (1100, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = embedding_dedup(df)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    assert [got[50 * i] for i in range(6)] == [(3, 0)] * 4 + [(0, 200), (0, 250)]
+    assert got[1000] == (0, 1000) and got[1050] == (0, 1050)
+    assert audit_recall(df, out) == (12, 12)
+
+
+def test_embedding_links_count_at_both_ends(spark, monkeypatch):
+    """Shards of several parts with visitors: the links of all vectors sum to twice
+    a whole number of links, none too many, and agree with brute force."""
+    from starforge.llm import embedding_dedup as ed
+    monkeypatch.setattr(ed, "PART_ROWS", 64)
+    monkeypatch.setattr(ed, "SHARD_ROWS", 150)
+    r = np.random.default_rng(12)
+    base = r.normal(size=(30, 12))
+    x = np.concatenate([base[i % 30] + 0.1 * r.normal(size=(1, 12)) for i in range(900)]
+                       + [base[0] + 0.12 * r.normal(size=(600, 12))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>")
+    df = df.withColumn("node", F.lit("clash")).withColumn("raw", F.lit(1))
+    got = {v.vec_id: v.n_links for v in ed.embedding_dedup(df).collect()}
+    links, want = np.array([got[i] for i in range(len(x))]), _links_of(x).sum(1)
+    assert (links <= want).all() and links.sum() % 2 == 0
+    assert links.sum() >= 0.999 * want.sum()
