@@ -72,7 +72,7 @@ def main(argv=None) -> int:
         reports += pipeline.run_concurrently(fact_steps, args.parallel)
     for r in reports:
         print(json.dumps({"step": r.step, "seconds": round(r.seconds, 3), "rows": r.rows,
-                          "input_rows": r.input_rows, "dropped": r.dropped,
+                          "input_rows": r.input_rows, "dropped": r.dropped, "unread": r.unread,
                           "sinks": [vars(x) for x in r.sinks]}))
     spark.stop()
     return 0 if all(x.ok for r in reports for x in r.sinks) else 1

@@ -1,7 +1,7 @@
 """DataFrame operators: shaping, null policies, dedup, keys, lookups, set
 operations, product-map inference and audits."""
 
-from starforge.operators.audit import observe_rows, row_count
+from starforge.operators.audit import ParseAudit, observe_rows, row_count
 from starforge.operators.dedup import (attach_contract_span, contract_span,
                                        distinct_rows, drop_duplicates_all,
                                        keep_one)
@@ -20,7 +20,7 @@ from starforge.operators.shaping import (col, null_col, rename_project,
                                          replace_column, tag, to_gold_names)
 
 __all__ = [
-    "Checked", "Lookup", "lookup_with_reasons", "split_by_reasons",
+    "Checked", "Lookup", "ParseAudit", "lookup_with_reasons", "split_by_reasons",
     "ROW_ID", "identity_of", "with_row_identity",
     "attach_contract_span", "broadcast_if_small", "col", "contract_span",
     "cooccurrence_pairs_per_client", "dense_key", "distinct_rows",

@@ -354,3 +354,59 @@ def select_all(cte: str, cols: list[str] | None = None) -> str:
 
 def silver_cols(entity: str) -> list[str]:
     return SILVER[entity].names
+
+
+def number(c: str) -> str:
+    return f"TRY_CAST({c} AS DOUBLE)"
+
+
+def iso_t_date(c: str) -> str:
+    return f"CAST(try_strptime({c}, '%Y-%m-%dT%H:%M:%S') AS DATE)"
+
+
+# fixed values: the parsed columns of every extract, with their source headers
+AUDITED = {
+    "dados_clientes": ("b_clientes", [("vl_total_contrato", "VL_TOTAL_CONTRATO", dcomma),
+                                      ("dt_assinatura_contrato", "DT_ASSINATURA_CONTRATO", iso_date)]),
+    "contratacoes_ultimos_12_meses": ("b_contratacoes", [
+        ("qtd_contratacoes_12m", "QTD_CONTRATACOES_12M", to_int),
+        ("vlr_contratacoes_12m", "VLR_CONTRATACOES_12M", dcomma)]),
+    "historico": ("b_historico", [
+        ("item_proposta", "ITEM_PROPOSTA", to_int), ("dt_upload", "DT_UPLOAD", iso_date), ("qtd", "QTD", dcomma),
+        ("meses_bonif", "MESES_BONIF", to_int), ("vl_total", "VL_TOTAL", dcomma), ("vl_full", "VL_FULL", dcomma),
+        ("vl_desconto", "VL_DESCONTO", dcomma)]),
+    "tickets": ("b_tickets", [("bk_ticket", "BK_TICKET", to_long), ("dt_criacao", "DT_CRIACAO", iso_date),
+                              ("dt_atualizacao", "DT_ATUALIZACAO", iso_date)]),
+    "telemetria": ("b_telemetria", [("duracao_evento", "eventduration", number),
+                                    ("dt_referencia", "referencedatestart", any_date)]),
+    "nps_relacional": ("b_nps_relacional", [
+        ("dt_resposta", "respondedAt", any_date), ("nota_nps", "resposta_NPS", to_int),
+        ("nota_unidade", "resposta_unidade", number), ("nota_suporte_agilidade", "Nota_SupTec_Agilidade", number),
+        ("nota_suporte_atendimento", "Nota_SupTec_Atendimento", number), ("nota_comercial", "Nota_Comercial", number),
+        ("nota_custos", "Nota_Custos", number), ("nota_admfin_atendimento", "Nota_AdmFin_Atendimento", number),
+        ("nota_software", "Nota_Software", number),
+        ("nota_software_atualizacao", "Nota_Software_Atualizacao", number)]),
+    "nps_transacional_produto": ("b_nps_produto", [("dt_resposta", "Data da Resposta", us_date),
+                                                   ("nota_nps", "Nota", to_int)]),
+    "nps_transacional_aquisicao": ("b_nps_aquisicao", [
+        ("dt_resposta", "Data da Resposta", iso_date), ("nota_nps", "Nota NPS", to_int),
+        ("nota_agilidade", "Nota Agilidade", number), ("nota_conhecimento", "Nota Conhecimento", number),
+        ("nota_custo", "Nota Custo", number), ("nota_facilidade", "Nota Facilidade", number),
+        ("nota_flexibilidade", "Nota Flexibilidade", number)]),
+    "nps_transacional_onboarding": ("b_nps_onboarding", [
+        ("dt_resposta", "Data de resposta", iso_t_date), ("nota_nps", "Nota NPS onboarding", to_int),
+        ("nota_atendimento_cs", "Nota atendimento CS", number),
+        ("nota_duracao_reuniao", "Nota duracao reuniao", number),
+        ("nota_clareza_acesso", "Nota clareza acesso", number),
+        ("nota_clareza_informacoes", "Nota clareza informacoes", number),
+        ("nota_expectativas", "Nota expectativas", number)]),
+    "nps_transacional_suporte": ("b_nps_suporte", [
+        ("bk_ticket", "ticket", to_long), ("nota_nps", "resposta_NPS", to_int),
+        ("nota_conhecimento_agente", "Nota_ConhecimentoAgente", number), ("nota_solucao", "Nota_Solucao", number),
+        ("nota_tempo_retorno", "Nota_TempoRetorno", number), ("nota_facilidade", "Nota_Facilidade", number),
+        ("nota_satisfacao", "Nota_Satisfacao", number)]),
+}
+PARSE_FAILURES = sql(" UNION ALL ".join(
+    f"SELECT '{extract}' AS extract, '{dst}' AS column_name, "
+    f"count(*) FILTER (WHERE trim({q(src)}) <> '' AND {parse(q(src))} IS NULL) AS n_failed FROM {cte}"
+    for extract, (cte, columns) in AUDITED.items() for dst, src, parse in columns))

@@ -19,7 +19,7 @@ from starforge.functions import (as_date, calendar_attributes, date_key,
                                  decimal_comma, parse_date, parse_date_us,
                                  parse_ts_date, to_int)
 from starforge.functions.parsing import ISO_DATE
-from starforge.operators import (ROW_ID, contract_span, with_row_identity,
+from starforge.operators import (ROW_ID, ParseAudit, contract_span, with_row_identity,
                                  cooccurrence_pairs_per_client, dense_key,
                                  distinct_rows, drop_duplicates_all, enrich,
                                  fill_zero, infer_product_map, keep_one, lookup,
@@ -32,13 +32,13 @@ from starforge.plans.silver import (SILVER_JOBS, silver_clients, silver_contract
                                     silver_history, silver_nps_acquisition,
                                     silver_nps_onboarding, silver_nps_product,
                                     silver_nps_relational, silver_nps_support,
-                                    silver_telemetry, silver_tickets)
+                                    silver_telemetry, silver_tickets, silver_clients_raw)
 from starforge.plans.warehouse import Warehouse
 from starforge.schemas import BRONZE, BRONZE_FILES, SILVER
 from starforge.plans.pipeline import extend_dim
 from starforge.session import scratch_path
 from starforge.sinks import feed_sinks, publish, read_version, write_parquet, write_version
-from starforge.sources import read_csv, read_parquet, write_csv
+from starforge.sources import read_csv, read_csv_variants, read_parquet, write_csv
 
 
 @dataclass(frozen=True)
@@ -90,6 +90,27 @@ def csv_glob_scan(spark, sf_dir):
     return read_csv(spark, f"{root}/telemetria_*", BRONZE["telemetria"], sep=",")
 
 
+@register("csv_drift_scan", O.sql("""
+SELECT clienteid, eventduration, moduloid, productlineid,
+  CASE WHEN CAST(productlineid AS INTEGER) % 3 = 1 THEN NULL ELSE referencedatestart END AS referencedatestart,
+  statuslicenca FROM b_telemetria"""))
+def csv_drift_scan(spark, sf_dir):
+    """Landings of three headers read as one table: the schema's own; one
+    without a column; one in another order, with other names and one column
+    more."""
+    root = scratch_path(spark, "telemetry_drift")
+    src = W(spark, sf_dir).bronze("telemetria")
+    part = F.col("productlineid").cast("int") % 3
+    write_csv(src.filter(part == 0), f"{root}/telemetria_a", sep=",")
+    write_csv(src.filter(part == 1).drop("referencedatestart"), f"{root}/telemetria_b", sep=",")
+    moved = src.filter(part == 2).select(F.lit("x").alias("versao"), F.col("clienteid").alias("CLIENTEID"),
+                                         F.col("statuslicenca").alias("licenca"), "referencedatestart",
+                                         "productlineid", "moduloid", "eventduration")
+    write_csv(moved, f"{root}/telemetria_c", sep=",")
+    return read_csv_variants(spark, f"{root}/telemetria_*", BRONZE["telemetria"], sep=",",
+                             required=["clienteid"], aliases={"licenca": "statuslicenca"})[0]
+
+
 @register("csv_infer_scan", O.sql("""
 SELECT CAST(CD_CLIENTE AS INTEGER) AS CD_CLIENTE,
        CAST(QTD_CONTRATACOES_12M AS INTEGER) AS QTD_CONTRATACOES_12M, VLR_CONTRATACOES_12M
@@ -110,6 +131,19 @@ def parquet_scan(spark, sf_dir):
     return read_parquet(spark, path, SILVER["tickets"])
 
 
+@register("silver_parse_failures", O.PARSE_FAILURES)
+def silver_parse_failures(spark, sf_dir):
+    """Texts that became NULL, per extract and column, counted by the
+    writes of the ten silver tables themselves."""
+    wh, rows = W(spark, sf_dir), []
+    for entity, (extract, job) in SILVER_JOBS.items():
+        audit = ParseAudit()
+        job = silver_clients_raw if entity == "clientes" else job
+        write_parquet(job(wh.bronze(extract), audit=audit), scratch_path(spark, f"audited_{entity}"))
+        rows += [(extract, c, n) for c, n in audit.failures().items()]
+    return spark.createDataFrame(rows, "extract string, column_name string, n_failed long")
+
+
 # ------------------------------------------------------------------ sinks
 @register("parquet_overwrite_roundtrip", _silver_sql("clientes", "s_clientes"))
 def parquet_overwrite_roundtrip(spark, sf_dir):

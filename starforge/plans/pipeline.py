@@ -22,14 +22,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starforge.operators import keep_one, new_keys, unseen, with_registered_keys, with_row_identity
+from starforge.operators import ParseAudit, keep_one, new_keys, unseen, with_registered_keys, with_row_identity
 from starforge.plans import dims, facts
 from starforge.plans.silver import SILVER_JOBS, silver_clients_raw, with_contract_span
 from starforge.schemas import BRONZE, BRONZE_FILES, GOLD_COLUMNS, SILVER, assert_schema
 from starforge.session import materialize, remember_size, scratch_scope, written_size
 from starforge.sinks import JdbcTarget, publish, run_step
 from starforge.sinks.versioned import Version, current, read_version, write_version
-from starforge.sources import Layers, read_csv, read_parquet, write_csv
+from starforge.sources import Layers, read_csv, read_csv_variants, read_parquet, write_csv
 from starforge.sources import fixtures
 
 # fixed values: gold table name -> JDBC table name
@@ -64,6 +64,7 @@ class StepReport:
     sinks: list = field(default_factory=list)
     input_rows: int | None = None      # facts: source rows before the inner lookups
     dropped: int | None = None         # facts: source rows the inner lookups dropped
+    unread: dict | None = None         # silver: texts per column that no parser could read
 
 
 def land_bronze(spark: SparkSession, sf_dir: str, layers: Layers) -> None:
@@ -82,6 +83,9 @@ def land_bronze(spark: SparkSession, sf_dir: str, layers: Layers) -> None:
 
 def read_bronze(spark: SparkSession, layers: Layers, entity: str) -> DataFrame:
     name, sep = BRONZE_FILES[entity]
+    if "*" in name:         # extracts of several landings: their headers may differ
+        return read_csv_variants(spark, layers.bronze(name), BRONZE[entity], sep=sep,
+                                 required=[BRONZE[entity].names[0]])[0]
     return read_csv(spark, layers.bronze(name), BRONZE[entity], sep=sep)
 
 
@@ -94,19 +98,21 @@ def silver_job(spark: SparkSession, layers: Layers, entity: str) -> StepReport:
 def _silver_job(spark: SparkSession, layers: Layers, entity: str) -> StepReport:
     t0 = time.perf_counter()
     source, job = SILVER_JOBS[entity]
+    audit = ParseAudit()
     bronze = read_bronze(spark, layers, source)
     if entity == "clientes":
         # the per-client span needs the rows twice: parse the text once,
         # then roll up and join back over the written copy
-        raw = materialize(silver_clients_raw(bronze), "silver_clientes_raw")
+        raw = materialize(silver_clients_raw(bronze, audit), "silver_clientes_raw")
         out = with_contract_span(raw)
     else:
-        out = job(bronze)
+        out = job(bronze, audit=audit)
     assert_schema(out, SILVER[entity])      # analysis only: no job
     res = publish(out, layers.silver(entity))
     if not res[0].ok:
         raise RuntimeError(res[0].error)
-    return StepReport(f"silver:{entity}", time.perf_counter() - t0, res[0].rows, res)
+    return StepReport(f"silver:{entity}", time.perf_counter() - t0, res[0].rows, res,
+                      unread=audit.failures())
 
 
 def run_concurrently(steps: list[tuple[str, object]], parallel: int) -> list[StepReport]:

@@ -16,7 +16,7 @@ from starforge.functions import (as_date, decimal_comma, parse_date,
                                  parse_date_us, parse_ts_date, resolution_days,
                                  to_double, to_int, to_long)
 from starforge.functions.parsing import ISO_DATE
-from starforge.operators import (ROW_ID, attach_contract_span, fill_missing_score,
+from starforge.operators import (ROW_ID, ParseAudit, attach_contract_span, fill_missing_score,
                                  fill_unknown, tag)
 from starforge.operators.shaping import col
 from starforge.schemas import FILL_SCORE, FILL_TEXT, NPS_TAGS, RENAMES, SILVER
@@ -53,10 +53,21 @@ def _parser(extract: str, column: str):
     return lambda c: c
 
 
-def clean(bronze: DataFrame, extract: str) -> DataFrame:
-    """Rename, parse and null-fill one extract in a single projection."""
-    df = bronze.select(*[_parser(extract, dst)(col(src)).alias(dst)
-                         for src, dst in RENAMES[extract]])
+def parsed_columns(extract: str) -> list[str]:
+    """The silver columns of an extract that are read from text by a parser."""
+    return [dst for _, dst in RENAMES[extract]
+            if dst in PARSERS[extract] or dst in FILL_SCORE.get(extract, ())]
+
+
+def clean(bronze: DataFrame, extract: str, audit: ParseAudit | None = None) -> DataFrame:
+    """Rename, parse and null-fill one extract in a single projection;
+    ``audit`` counts the texts that became NULL, before the fills."""
+    parsed = {dst: _parser(extract, dst)(col(src)) for src, dst in RENAMES[extract]}
+    if audit is None:
+        df = bronze.select(*[e.alias(dst) for dst, e in parsed.items()])
+    else:
+        source = {dst: src for src, dst in RENAMES[extract]}
+        df = audit.watch(bronze, parsed, {dst: col(source[dst]) for dst in parsed_columns(extract)})
     if extract in FILL_TEXT:
         df = fill_unknown(df, FILL_TEXT[extract])
     if extract in FILL_SCORE:
@@ -70,9 +81,9 @@ def _ordered(df: DataFrame, entity: str) -> DataFrame:
     return df.select(*SILVER[entity].names)
 
 
-def silver_clients_raw(bronze: DataFrame) -> DataFrame:
+def silver_clients_raw(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL1 without the contract span: parsed, renamed, null-filled."""
-    return clean(bronze, "dados_clientes")
+    return clean(bronze, "dados_clientes", audit)
 
 
 def with_contract_span(raw: DataFrame) -> DataFrame:
@@ -83,60 +94,61 @@ def with_contract_span(raw: DataFrame) -> DataFrame:
     return spanned.select(*SILVER["clientes"].names, *keep)
 
 
-def silver_clients(bronze: DataFrame, with_span: bool = True) -> DataFrame:
+def silver_clients(bronze: DataFrame, with_span: bool = True,
+                   audit: ParseAudit | None = None) -> DataFrame:
     """PL1: contract rows.  ``with_span`` adds each client's first and last
     contract date to every row (consumed by the client and calendar
     dimensions)."""
-    raw = silver_clients_raw(bronze)
+    raw = silver_clients_raw(bronze, audit)
     return with_contract_span(raw) if with_span else raw
 
 
-def silver_contracts_12m(bronze: DataFrame) -> DataFrame:
+def silver_contracts_12m(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL2: the pre-aggregated 12-month contract rollup."""
-    return _ordered(clean(bronze, "contratacoes_ultimos_12_meses"), "contratacoes")
+    return _ordered(clean(bronze, "contratacoes_ultimos_12_meses", audit), "contratacoes")
 
 
-def silver_history(bronze: DataFrame) -> DataFrame:
+def silver_history(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL3: proposal items."""
-    return _ordered(clean(bronze, "historico"), "historico")
+    return _ordered(clean(bronze, "historico", audit), "historico")
 
 
-def silver_tickets(bronze: DataFrame) -> DataFrame:
+def silver_tickets(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL4: support tickets with the resolution time in days."""
-    df = clean(bronze, "tickets")
+    df = clean(bronze, "tickets", audit)
     df = df.withColumn("tempo_resolucao_dias", resolution_days("dt_atualizacao", "dt_criacao"))
     return _ordered(df, "tickets")
 
 
-def silver_telemetry(bronze: DataFrame) -> DataFrame:
+def silver_telemetry(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL5: product telemetry (read by no gold job)."""
-    return _ordered(clean(bronze, "telemetria"), "telemetria")
+    return _ordered(clean(bronze, "telemetria", audit), "telemetria")
 
 
-def silver_nps_relational(bronze: DataFrame) -> DataFrame:
+def silver_nps_relational(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL6: relational survey."""
-    return _ordered(clean(bronze, "nps_relacional"), "nps_relacional")
+    return _ordered(clean(bronze, "nps_relacional", audit), "nps_relacional")
 
 
-def silver_nps_product(bronze: DataFrame) -> DataFrame:
+def silver_nps_product(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL7: product survey (US date-time with meridiem)."""
-    return _ordered(clean(bronze, "nps_transacional_produto"), "nps_transacional_produto")
+    return _ordered(clean(bronze, "nps_transacional_produto", audit), "nps_transacional_produto")
 
 
-def silver_nps_acquisition(bronze: DataFrame) -> DataFrame:
+def silver_nps_acquisition(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL8: acquisition survey (ISO date)."""
-    return _ordered(clean(bronze, "nps_transacional_aquisicao"), "nps_transacional_aquisicao")
+    return _ordered(clean(bronze, "nps_transacional_aquisicao", audit), "nps_transacional_aquisicao")
 
 
-def silver_nps_onboarding(bronze: DataFrame) -> DataFrame:
+def silver_nps_onboarding(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL9: onboarding survey (ISO-T timestamp reduced to a date)."""
-    return _ordered(clean(bronze, "nps_transacional_onboarding"),
+    return _ordered(clean(bronze, "nps_transacional_onboarding", audit),
                     "nps_transacional_onboarding")
 
 
-def silver_nps_support(bronze: DataFrame) -> DataFrame:
+def silver_nps_support(bronze: DataFrame, audit: ParseAudit | None = None) -> DataFrame:
     """PL10: support survey (no date of its own; keyed by ticket)."""
-    return _ordered(clean(bronze, "nps_transacional_suporte"), "nps_transacional_suporte")
+    return _ordered(clean(bronze, "nps_transacional_suporte", audit), "nps_transacional_suporte")
 
 
 SILVER_JOBS = {
