@@ -5,6 +5,7 @@ from starforge.operators.audit import ParseAudit, observe_rows, row_count
 from starforge.operators.dedup import (attach_contract_span, contract_span,
                                        distinct_rows, drop_duplicates_all,
                                        keep_one)
+from starforge.operators.hot_keys import hot_keys, known_large, lookup_split
 from starforge.operators.inference import (cooccurrence_pairs_per_client,
                                            infer_product_map)
 from starforge.operators.keys import (ROW_ID, dense_key, identity_of, surrogate_key,
@@ -25,7 +26,8 @@ __all__ = [
     "attach_contract_span", "broadcast_if_small", "col", "contract_span",
     "cooccurrence_pairs_per_client", "dense_key", "distinct_rows",
     "drop_duplicates_all", "enrich", "fill_missing_score", "fill_unknown",
-    "fill_zero", "infer_product_map", "keep_one", "lookup", "new_keys", "null_col",
+    "fill_zero", "hot_keys", "infer_product_map", "keep_one", "known_large", "lookup", "lookup_split", "new_keys",
+    "null_col",
     "observe_rows", "observed_dates", "rejects", "rename_project",
     "replace_column", "require_in", "role_join", "row_count", "surrogate_key",
     "tag", "to_gold_names", "total_order", "union_by_name", "unseen",

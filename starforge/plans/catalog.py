@@ -22,7 +22,7 @@ from starforge.functions.parsing import ISO_DATE
 from starforge.operators import (ROW_ID, ParseAudit, contract_span, with_row_identity,
                                  cooccurrence_pairs_per_client, dense_key,
                                  distinct_rows, drop_duplicates_all, enrich,
-                                 fill_zero, infer_product_map, keep_one, lookup,
+                                 fill_zero, infer_product_map, keep_one, lookup, lookup_split,
                                  observe_rows, observed_dates, rejects, rename_project,
                                  replace_column, require_in, role_join,
                                  surrogate_key, tag, to_gold_names)
@@ -509,6 +509,36 @@ def q_enrich(spark, sf_dir):
         .select("bk_ticket", "cd_cliente", "nota_nps", "dt_resposta")
 
 
+@register("join_enrich_hot_tickets", O.sql(
+    "SELECT bk_ticket, cd_cliente, nota_nps, dt_resposta FROM g_support_enriched"))
+def q_enrich_hot(spark, sf_dir):
+    """J2 with hot tickets kept out of the shuffle."""
+    w = W(spark, sf_dir)
+    return facts.support_enriched(w.silver("nps_transacional_suporte"), w.silver("tickets"), split_hot=True) \
+        .select("bk_ticket", "cd_cliente", "nota_nps", "dt_resposta")
+
+
+@register("lookup_hot_product_name", O.sql(
+    "SELECT cd_cliente, nome_produto, nota_nps, CD_PRODUTO FROM g_product_enriched"))
+def q_lookup_hot_name(spark, sf_dir):
+    """J5 with hot names (a tenth of the answers has the placeholder) kept
+    out of the shuffle."""
+    w = W(spark, sf_dir)
+    return facts.product_enriched(w.silver("nps_transacional_produto"), w.dim_product(), split_hot=True) \
+        .select("cd_cliente", "nome_produto", "nota_nps", "CD_PRODUTO")
+
+
+@register("lookup_hot_name_left", O.sql("""
+SELECT t.bk_ticket, t.nome_grupo, p.SK_PRODUTO
+FROM s_tickets t LEFT JOIN g_products_by_name p ON t.nome_grupo = p.DS_PRODUTO"""))
+def q_lookup_hot_left(spark, sf_dir):
+    """J10 with hot names kept out of the shuffle."""
+    w = W(spark, sf_dir)
+    t = w.silver("tickets").select("bk_ticket", "nome_grupo")
+    return lookup_split(t, dims.products_by_name(w.dim_product()), ("nome_grupo", "DS_PRODUTO"), ["SK_PRODUTO"],
+                        how="left")
+
+
 @register("lookup_client", O.sql("""
 SELECT h.nr_proposta, h.item_proposta, h.cd_cliente, k.SK_CLIENTE
 FROM s_historico h JOIN g_client_keys k ON h.cd_cliente = k.CD_CLIENTE"""))

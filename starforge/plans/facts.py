@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.functions import as_date, resolution_days
-from starforge.operators import (Checked, Lookup, dense_key, enrich, fill_zero, identity_of, lookup,
+from starforge.operators import (known_large, lookup_split,
+                                 Checked, Lookup, dense_key, enrich, fill_zero, identity_of, lookup,
                                  replace_column, require_in, role_join, split_by_reasons,
                                  union_by_name)
 from starforge.plans.dims import products_by_name
@@ -99,13 +100,20 @@ def ticket_dates(tickets: DataFrame) -> DataFrame:
     return m.groupBy("bk_ticket").agg(F.min("dt_resposta").alias("dt_resposta"))
 
 
-def support_enriched(support: DataFrame, tickets: DataFrame):
-    """Support answers dated by their ticket's creation date."""
+def support_enriched(support: DataFrame, tickets: DataFrame, split_hot: bool | None = None):
+    """Support answers dated by their ticket's creation date.
+    ``split_hot`` keeps answers of hot tickets out of the shuffle; by default
+    where the tickets are known to be too many for a broadcast."""
+    if known_large(tickets, ["bk_ticket", "dt_criacao"]) if split_hot is None else split_hot:
+        return lookup_split(support, ticket_dates(tickets), ("bk_ticket", "bk_ticket"), ["dt_resposta"])
     return enrich(support, ticket_dates(tickets), "bk_ticket", "inner")
 
 
-def product_enriched(product_nps: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Product answers resolved to a product code by name."""
+def product_enriched(product_nps: DataFrame, dim_product: DataFrame, split_hot: bool | None = None) -> DataFrame:
+    """Product answers resolved to a product code by name; ``split_hot``
+    as above, by the product dimension's size."""
+    if known_large(dim_product, ["DS_PRODUTO", "CD_PRODUTO"]) if split_hot is None else split_hot:
+        return lookup_split(product_nps, products_by_name(dim_product), ("nome_produto", "DS_PRODUTO"), ["CD_PRODUTO"])
     return lookup(product_nps, products_by_name(dim_product),
                   [("nome_produto", "DS_PRODUTO")], ["CD_PRODUTO"])
 
