@@ -486,3 +486,51 @@ def test_embedding_links_count_at_both_ends(spark, monkeypatch):
     links, want = np.array([got[i] for i in range(len(x))]), _links_of(x).sum(1)
     assert (links <= want).all() and links.sum() % 2 == 0
     assert links.sum() >= 0.999 * want.sum()
+
+
+def test_byte_labels_against_a_plain_loop():
+    """The pooled probabilities of the batched pass equal a loop over one text's
+    bytes and units, forwards and backwards."""
+    import math
+
+    from starforge.llm.language_id import byte_probs, init_params, segments
+    p = init_params(3, hidden=4, seed=9)
+    texts = [b"a", b"some words of a text", "düne, été".encode(), b"", bytes(range(256))]
+    x, owner, used = segments(texts, 32)
+    got = byte_probs(p, x, used)
+
+    def sig(v):
+        return 1 / (1 + math.exp(-v))
+
+    def states(d, row):
+        w, u, b = (p[k + d].astype(float) for k in "WUb")
+        h, out = [0.0] * 4, []
+        for byte in row:
+            pre = [w[i, byte] + b[i, 0] for i in range(12)]
+            rec = [sum(u[i, j] * h[j] for j in range(4)) for i in range(12)]
+            new = []
+            for i in range(4):
+                z, r = sig(pre[i] + rec[i]), sig(pre[4 + i] + rec[4 + i])
+                cand = math.tanh(pre[8 + i] + r * rec[8 + i])
+                new.append((1 - z) * cand + z * h[i])
+            h = new
+            out.append(h)
+        return out
+
+    for k, row in enumerate(x.tolist()):
+        ahead, back = states("f", row), states("b", row[::-1])[::-1]
+        want = np.zeros(3)
+        for t in range(used[k]):
+            e = np.exp(p["V"].astype(float) @ np.array(ahead[t] + back[t]) + p["c"])
+            want += e / e.sum()
+        assert np.allclose(got[k], want, atol=1e-3)
+        assert abs(got[k].sum() - used[k]) < 1e-3
+    assert sorted(set(owner.tolist())) == [0, 1, 2, 4] and used.sum() == sum(map(len, texts))
+
+
+def test_empty_tables_of_learned_operators(spark, docs):
+    from starforge.llm.language_id import language_id
+    from starforge.llm.toxicity import drop_toxic, toxicity
+    empty, labels = docs.filter("false"), spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity(empty, labels).count() == 0 and drop_toxic(empty, labels).count() == 0
+    assert language_id(empty).count() == 0
