@@ -3,7 +3,8 @@
 Blocks are runs of ``BLOCK`` words starting at every ``STRIDE``-th word, so a
 notice of up to ``BLOCK - STRIDE`` words lies whole in one block wherever it
 starts and however its lines wrap.  A block belongs to a template when it
-holds at least ``PERCENT`` per cent of the template's distinct words.  All such
+holds at least ``PERCENT`` per cent of the template's distinct words, or all of
+them if they are fewer than ``SHORT`` (one word tells short notices apart).  All such
 (block, template) pairs are found:
 
 * *frequency order*: one aggregation counts the documents of every template
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from starforge.llm.common import ascii_lower, id_text
 
-BLOCK, STRIDE, PERCENT = 48, 24, 80
+BLOCK, STRIDE, PERCENT, SHORT = 48, 24, 80, 10
 
 # Base phrases (all end in "license") and their labels
 BASE = [("mit", ["mit", "license"]), ("apache", ["apache", "license"]),
@@ -64,7 +65,8 @@ def _template_sets() -> list[tuple[str, list[str], int]]:
     out = []
     for label, text in TEMPLATES:
         words = sorted(set(re.findall("[0-9a-z]+", text.lower())))
-        out.append((label, words, -(-PERCENT * len(words) // 100)))
+        percent = PERCENT if len(words) >= SHORT else 100
+        out.append((label, words, -(-percent * len(words) // 100)))
     return out
 
 

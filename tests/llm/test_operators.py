@@ -534,3 +534,12 @@ def test_empty_tables_of_learned_operators(spark, docs):
     empty, labels = docs.filter("false"), spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity(empty, labels).count() == 0 and drop_toxic(empty, labels).count() == 0
     assert language_id(empty).count() == 0
+
+
+def test_short_notices_need_all_their_words(spark):
+    from starforge.llm.license_scan import license_scan
+    texts = ["the film was released last year under the new broadcasting license of the council",
+             "Licensed under the Eclipse License version 2.0 only", "Licensed under the BSD License, Version 2.0",
+             "released under the MIT license", "Licensed under the Apache License, Version 2.0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.labels for r in license_scan(df).orderBy("doc_id").collect()] == ["", "", "", "mit", "apache"]
