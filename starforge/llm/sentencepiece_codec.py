@@ -1,9 +1,15 @@
 """SentencePiece encoding and decoding.
 
 A vocabulary of pieces with scores is read from a model file (a parameter, read
-on the driver; the pieces travel with the job).  A text is normalised (a space
-in front, spaces as U+2581) and cut into the pieces with the highest sum of
-scores: one Aho-Corasick automaton over the pieces reads the text once; at each
+on the driver; the pieces travel with the job).  A merge-rank file gives ranks,
+not log-probabilities: their sum prefers early short merges ("▁t", "he" for
+"▁the").  ``scores="fewest"`` (the rule unless told otherwise) has each piece cost
+one and ``TIE`` of its rank, so that the fewest pieces win and, among equally
+few, the earlier merges; ``scores="file"`` takes the scores as they stand, for
+files of log-probabilities.  Nothing is trained.
+
+A text is normalised (a space in front, spaces as U+2581) and cut into the pieces
+with the highest sum of scores: one Aho-Corasick automaton over the pieces reads the text once; at each
 position it names, longest first, the pieces that end there (the output links),
 and each relaxes the best score of its end from that of its start.  A character
 no piece covers costs ``UNKNOWN`` below the lowest score and is written as byte
@@ -33,27 +39,32 @@ from starforge.llm.minhash_dedup import portions
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+TIE = 1e-9              # of a rank, against a piece (ranks of 30,000 pieces in a run stay below one)
 UNKNOWN = 10.0          # an uncovered character costs this below the lowest score
 REMEMBER = 200_000      # runs remembered at a time in a task (forgotten all at once)
 
 
-def load_vocabulary(path: str = MODEL) -> dict:
-    """Pieces, scores and byte pieces of a model file."""
+def load_vocabulary(path: str = MODEL, scores: str = "fewest") -> dict:
+    """Pieces, scores (by the rule named) and byte pieces of a model file."""
     import sentencepiece
+    if scores not in ("fewest", "file"):
+        raise ValueError(f"scores: fewest or file, not {scores}")
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces, scores, byte_ids = [], [], [0] * 256
+    pieces, values, byte_ids = [], [], [0] * 256
     normal = []
     for i in range(sp.get_piece_size()):
         piece = sp.id_to_piece(i)
         pieces.append(piece)
-        scores.append(sp.get_score(i))
+        values.append(sp.get_score(i))
         if sp.is_byte(i):
             byte_ids[int(piece[3:5], 16)] = i
         elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
             normal.append(i)
     if any(re.search(f"[^{SPACE}]{SPACE}", pieces[i]) for i in normal):
         raise ValueError("a piece goes on past a space: runs are not independent")
-    return {"pieces": pieces, "scores": scores, "bytes": byte_ids, "normal": normal}
+    if scores == "fewest":      # pieces outside the merges (runs of spaces) count as the last rank
+        values = [-1 + TIE * max(v, -len(pieces)) for v in values]
+    return {"pieces": pieces, "scores": values, "bytes": byte_ids, "normal": normal}
 
 
 class Encoder:

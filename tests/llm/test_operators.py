@@ -261,6 +261,44 @@ def test_sentencepiece_round_trip(spark, docs):
         assert got + unknown * e.unknown == pytest.approx(best[-1][0])
 
 
+def test_whole_texts_against_the_plain_program():
+    from starforge.llm.sentencepiece_codec import Encoder, load_vocabulary
+    texts = [t for _, t, *_ in ROWS if t and "\0" not in t and "▁" not in t][:40] + ["  two  spaces ", "x\ny\n", "日本 語 x"]
+    for rule in ("fewest", "file"):
+        vocab = load_vocabulary(scores=rule)
+        e = Encoder(vocab)
+        scores = {vocab["pieces"][i]: vocab["scores"][i] for i in vocab["normal"]}
+        widest = max(map(len, scores))
+        by_id, bytes_of = vocab["scores"], set(vocab["bytes"])
+        for t in texts:
+            s = "▁" + t.replace(" ", "▁")
+            best = [0.0]
+            for end in range(1, len(s) + 1):
+                best.append(max(best[k] + scores.get(s[k:end], e.unknown if end - k == 1 else -np.inf)
+                                for k in range(max(0, end - widest), end)))
+            ids = e.encode(t)
+            unknown, k = 0, 0
+            raw = [vocab["bytes"].index(i) if i in bytes_of else None for i in ids]
+            while k < len(raw):                 # a run of byte pieces stands for one character
+                if raw[k] is None:
+                    k += 1
+                else:
+                    unknown += 1
+                    k += 1 if raw[k] < 0x80 else 2 if raw[k] < 0xE0 else 3 if raw[k] < 0xF0 else 4
+            total = sum(by_id[i] for i in ids if i not in bytes_of) + unknown * e.unknown
+            assert total == pytest.approx(best[-1], rel=1e-12)
+
+
+def test_fewest_pieces_come_near_the_files_own_encoder():
+    import sentencepiece
+    from starforge.llm.sentencepiece_codec import MODEL, Encoder, load_vocabulary
+    vocab = load_vocabulary()
+    e, sp = Encoder(vocab), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert [vocab["pieces"][i] for i in e.encode("the training data pipeline")] == ["▁the", "▁training", "▁data", "▁pipeline"]
+    words = sorted({w for _, t, *_ in ROWS for w in (t or "").split() if "▁" not in w and "\0" not in w})
+    assert all(len(e.encode(w)) <= len(sp.encode(w)) for w in words if w.isascii())
+
+
 def test_encoder_marks_and_nul(spark):
     from starforge.llm.sentencepiece_codec import Encoder, load_vocabulary, piece_bytes
     vocab = load_vocabulary()
