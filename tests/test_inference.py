@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from starforge.operators import inference
 from starforge.operators import cooccurrence_pairs_per_client, infer_product_map
 
 HIST, CLI = "cd_cliente string, cd_prod string", "cd_cliente string, ds_prod string, ds_lin_rec string"
@@ -93,6 +94,27 @@ def test_copies_of_a_hot_client_meet_once(spark):
     assert got.pop("P0") == ("d9", "L") and set(got.values()) == {("d0", "L")} and len(got) == 1499
 
 
+def test_floors_rule_out_pairs_and_lose_no_winner(spark):
+    """Two families over 200 clients: only descriptions as large as a shared
+    one are paired with a family, and the literal join's winners stay."""
+    r = np.random.default_rng(5)
+    hist = [(f"c{x}", f"F{f}") for f in range(2) for x in range(200) if r.random() < 0.8]
+    clients = [(f"c{x}", f"d{d}", "L") for d in range(300) for x in r.choice(200, 2 + 28 * (d >= 294), replace=False)]
+    want = _argmax(hist, clients)
+    assert _got(spark, hist, clients) == want
+    codes = spark.createDataFrame(hist, HIST).select("cd_cliente", F.col("cd_prod").alias("code"))
+    descs = spark.createDataFrame(clients, CLI).select(
+        "cd_cliente", F.struct(F.col("ds_prod").alias("d"), F.col("ds_lin_rec").alias("l")).alias("pair"))
+    descs = descs.join(descs.groupBy("pair").agg(F.count("*").alias("n_d")), "pair")
+    pairs = inference._light_counts(codes, descs).collect()
+    every = codes.join(descs, "cd_cliente").select("code", "pair").distinct().count()
+    assert every > 500 and len(pairs) <= 2 * 6
+    best = {}
+    for p in pairs:
+        best[p.code] = min(best.get(p.code, (0,)), (-p.n, p.pair.d, p.pair.l))
+    assert {c: b[1:] for c, b in best.items()} == want
+
+
 def test_choice_always_cooccurs(spark):
     hist, clients = _inputs(spark)
     chosen = infer_product_map(hist, clients)
