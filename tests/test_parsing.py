@@ -3,9 +3,12 @@ abort the job under ANSI), odd but valid forms must parse."""
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from starforge.functions import (date_key, decimal_comma, month_name,
                                  parse_date, parse_date_us, parse_ts_date,
                                  quarter_label, resolution_days, to_int)
+from starforge.functions.parsing import ISO_DATE
 from starforge.operators import fill_missing_score, fill_unknown, fill_zero
 
 
@@ -19,6 +22,18 @@ def test_decimal_comma(spark):
     assert got == [12.5, 7.0, None, None, None, None]
 
 
+def test_iso_dates_by_cast_agree_with_the_pattern(spark):
+    """Plain texts are cast, without a formatter per row; whatever the pattern
+    alone reads or refuses stays so."""
+    odd = ["2001-02-28", "2001-02-29", "2001-2-3", "2001-02-03 ", " 2001-02-03", "2001-02-03\n", "2001-02-03 00:00:00",
+           "2001-02-03T", "0000-01-01", "0999-01-01", "+12345-01-01", "12345-01-01", "-0001-01-01", "2001-13-01",
+           "2001-00-10", "9999-12-31", "", "n/d", "1582-10-10", "2001-02-03\r", "２００１-02-03", None]
+    df = spark.createDataFrame([(v,) for v in odd], "s string")
+    rows = df.select(parse_date("s", ISO_DATE).cast("string"), F.try_to_date("s", ISO_DATE).cast("string")).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows]
+    assert "CASE WHEN" in df.select(parse_date("s", ISO_DATE).alias("d"))._jdf.queryExecution().toString()
+
+
 def test_to_int_goes_through_double(spark):
     assert _one(spark, ["7", "7.0", "NA", None], to_int) == [7, 7, None, None]
 

@@ -1,14 +1,29 @@
 """Plan shape: pruned scans, bounded dimensions broadcast, no fact-sized
 single-partition exchange."""
 
-from starforge.plans import facts
+from starforge.plans import catalog, facts
 from starforge.plans.warehouse import Warehouse
+from starforge.schemas import SILVER
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_staged_silver_holds_what_is_read(spark, sf_small):
+    """A staged table keeps the columns that the query reads, a column more
+    is an error; unnamed tables and warehouses without a list keep all."""
+    w = catalog.W(spark, sf_small, "dim_time", historico=("nr_proposta",))
+    assert w.silver("historico").columns == ["nr_proposta", "dt_upload"]
+    assert w.silver("tickets").columns == ["dt_criacao"]
+    assert w.silver("contratacoes").columns == SILVER["contratacoes"].names
+    full = Warehouse(spark, sf_small)
+    assert full.silver("historico").columns == SILVER["historico"].names
+    assert sorted(w.dim_time().collect()) == sorted(full.dim_time().collect())
+    wide = catalog.W(spark, sf_small, "dim_time", "client_map")
+    assert sorted(wide.client_map().collect()) == sorted(full.client_map().collect())
+
+
 def test_fact_plan_has_no_single_partition(spark, sf_small):
     w = Warehouse(spark, sf_small)
     for df in (w.fact_contracts(), w.fact_tickets(), w.fact_nps(), w.dim_client()):
