@@ -115,6 +115,26 @@ def test_floors_rule_out_pairs_and_lose_no_winner(spark):
     assert {c: b[1:] for c, b in best.items()} == want
 
 
+def test_descriptions_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    """Texts go through the shuffles as hashes (NULLs in either column apart);
+    hashes that collide are taken anew."""
+    real, seeds = F.xxhash64, []
+
+    def colliding(*cols):                       # the first seed hashes every description to one number
+        if len(cols) == 5:
+            seeds.append(len(seeds))
+            return F.lit(7).cast("long") if len(seeds) == 1 else real(*cols)
+        return real(*cols)
+    hist = [("c1", "P1"), ("c2", "P1"), ("c2", "P2"), ("c3", "P3"), ("c4", "P3")]
+    clients = [("c1", "x", None), ("c2", "x", None), ("c1", None, "x"), ("c2", None, "y"), ("c3", None, "x"),
+               ("c3", "b", "L"), ("c4", "b", "L"), ("c3", "bL", ""), ("c2", None, None)]
+    assert _got(spark, hist, clients) == _argmax(hist, clients)
+    rows, names = inference._numbered(spark.createDataFrame(clients, CLI))
+    assert dict(rows.dtypes) == {"cd_cliente": "string", "h": "bigint"} and names.count() == len({c[1:] for c in clients})
+    monkeypatch.setattr(F, "xxhash64", colliding)
+    assert _got(spark, hist, clients) == _argmax(hist, clients) and len(seeds) == 2
+
+
 def test_choice_always_cooccurs(spark):
     hist, clients = _inputs(spark)
     chosen = infer_product_map(hist, clients)
