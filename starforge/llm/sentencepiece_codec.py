@@ -32,7 +32,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starforge.llm.common import id_text
 from starforge.llm.minhash_dedup import portions
@@ -181,20 +180,14 @@ def sp_encode(docs: DataFrame, vocab: dict | None = None, id_col: str = "doc_id"
 
 
 def sp_decode(encoded: DataFrame, vocab: dict | None = None, ids_col: str = "ids") -> DataFrame:
-    """The input's columns and ``decoded``, the text the ids stand for."""
+    """The input's columns and ``decoded``, the text the ids stand for: the
+    pieces' bytes are looked up and joined as hex digits by Spark itself, so
+    that no second Python worker stands beside the encoder's."""
     vocab = vocab or load_vocabulary()
-    table = piece_bytes(vocab)
-
-    def run(batches):
-        get = table.__getitem__
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                b = whole.slice(start, 500)
-                texts = [None if not x.is_valid else b"".join(map(get, x.values.to_numpy().tolist()))[1:]
-                         .decode("utf-8", "replace") for x in b.column(ids_col)]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
-                                                 names=[*b.schema.names, "decoded"])
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
+    table = F.split(F.lit(",".join(b.hex() for b in piece_bytes(vocab))), ",")
+    digits = F.array_join(F.transform(ids_col, lambda i: F.element_at(table, i + 1)), "")
+    whole = F.unhex(F.substring(digits, 3, 2 ** 31 - 1))        # without the space in front
+    return encoded.withColumn("decoded", F.make_valid_utf8(whole.cast("string")))
 
 
 def sp_report(docs: DataFrame, vocab: dict | None = None) -> DataFrame:

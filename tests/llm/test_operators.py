@@ -261,6 +261,19 @@ def test_sentencepiece_round_trip(spark, docs):
         assert got + unknown * e.unknown == pytest.approx(best[-1][0])
 
 
+def test_decoding_needs_no_second_python_worker(spark, docs):
+    """The pieces' bytes joined as they stand, with a lone byte piece (no valid
+    text) replaced as Python does; only the encoder runs in Python."""
+    from starforge.llm.sentencepiece_codec import load_vocabulary, piece_bytes, sp_decode, sp_report
+    vocab = load_vocabulary()
+    table, lone = piece_bytes(vocab), [vocab["bytes"][b] for b in (0x20, 0xE6, 0x97, 0x41, 0xFF, 0xC3)]
+    ids = [None, [], [vocab["normal"][0]], lone, lone[2:], *np.random.default_rng(1).integers(0, len(table), (20, 30)).tolist()]
+    got = sp_decode(spark.createDataFrame(list(enumerate(ids)), "doc_id int, ids array<int>"), vocab).collect()
+    assert {r.doc_id: r.decoded for r in got} == {
+        i: None if x is None else b"".join(table[k] for k in x)[1:].decode("utf-8", "replace") for i, x in enumerate(ids)}
+    assert sp_report(docs, vocab)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_whole_texts_against_the_plain_program():
     from starforge.llm.sentencepiece_codec import Encoder, load_vocabulary
     texts = [t for _, t, *_ in ROWS if t and "\0" not in t and "▁" not in t][:40] + ["  two  spaces ", "x\ny\n", "日本 語 x"]
