@@ -71,7 +71,7 @@ def split_by_reasons(fact: DataFrame, lookups: Sequence[Lookup], name: str = "ch
     bit = lambda k: F.sum(F.when(F.col(MASK).bitwiseAND(1 << k) != 0, 1).otherwise(0))      # noqa: E731
     written = materialize(marked.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col(MASK) != 0, 1).otherwise(0)).alias("rejected"),
-        *[bit(k).alias(f"bit_{k}") for k in range(len(lookups))]), name)
+        *[bit(k).alias(f"bit_{k}") for k in range(len(lookups))]), name, codec="zstd")
     got = seen.get
     return Checked(
         kept=written.filter(F.col(MASK) == 0).drop(MASK),
