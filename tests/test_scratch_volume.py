@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from starforge.operators import attach_contract_span, inference, with_row_identity
-from starforge.plans import dims
+from starforge.plans import catalog, dims, facts
 from starforge.plans.silver import with_contract_span
 from starforge.plans.warehouse import Warehouse
 from starforge.session import materialize, scratch_path, scratch_scope, shuffles_dropped
@@ -106,3 +106,11 @@ def test_sets_are_laid_out_together_and_large_ones_spread(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     n = {r.code: r.n for r in at}
     assert n["hot"] >= 3 and max(v for k, v in n.items() if k != "hot") <= 2 and len(n) == 501
+
+
+def test_ticket_rejects_stage_what_they_read(spark, sf_small, monkeypatch):
+    real, seen = facts.tickets_checked, []
+    monkeypatch.setattr(facts, "tickets_checked", lambda t, *dims: seen.append(t.columns) or real(t, *dims))
+    got = catalog.REGISTRY["fact_tickets_rejects"].run(spark, sf_small)
+    assert seen and "nome_grupo" not in seen[0] and "bk_ticket" in seen[0]
+    assert got.columns == ["bk_ticket", "reasons"] and got.count() > 0
